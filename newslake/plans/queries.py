@@ -8,27 +8,15 @@ to strings (``|``-joined, sorted where the operator sorts) so the oracle compare
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.operators.digest import daily_digest, digest_day_status
 from newslake.operators.match import dictionary_from_pairs, tag_entities
 from newslake.plans import sqlparts as S
+from newslake.plans.registry import query
 from newslake.plans.tables import doc_articles, with_published
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
-
-
-def query(name: str, sql: str | None):
-    def deco(fn: QueryFn) -> QueryFn:
-        REGISTRY[name] = (fn, sql)
-        return fn
-
-    return deco
-
 
 def joined(col: str, sep: str = "|"):
     return F.coalesce(F.array_join(F.col(col), sep), F.lit(""))
@@ -131,9 +119,397 @@ def q_daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def all_queries() -> dict[str, QueryFn]:
-    return {k: fn for k, (fn, _) in REGISTRY.items()}
+# --------------------------------------------------------------------------- articles
+
+DIGEST_STATUS_SQL = f"""WITH e AS (
+  SELECT event_type, {extract_day_sql("strftime(ts, '%Y-%m-%dT%H:%M:%S')")} AS day FROM events
+)
+SELECT day, CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN 'hits' ELSE 'no company in the news' END AS status,
+       count(*) AS n_articles, count(*) FILTER (WHERE event_type = 'error') AS n_hits
+FROM e WHERE day IS NOT NULL GROUP BY day
+"""
+
+
+@query("digest_status_only", DIGEST_STATUS_SQL)
+def q_digest_status_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.functions.dates import iso_seconds
+    from newslake.plans.tables import table
+
+    ev = table(spark, sf_dir, "events").select(iso_seconds("ts").alias("published_at"), "event_type")
+    return digest_day_status(ev, hit=F.col("event_type") == F.lit("error"))
+
+
+NORMALIZE_SQL = f"""WITH {S.ARTICLES_CTE}
+SELECT a.id, a.source, a.lang, a.url, a.title, a.content, p.published_at,
+       (a.title <> '' OR a.content <> '') AS valid
+FROM art a LEFT JOIN pub p ON a.id = p.id
+"""
 
 
-def all_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in REGISTRY.items() if sql is not None}
+@query("normalize_articles", NORMALIZE_SQL)
+def q_normalize_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.normalize import normalize_articles
+    from newslake.plans.tables import table
+
+    raw = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "source", "lang",
+        F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("text").alias("content"),
+    )
+    arts = normalize_articles(raw)
+    return with_published(arts, spark, sf_dir).select(
+        "id", "source", "lang", "url", "title", "content", "published_at", "valid"
+    )
+
+
+# An OR query in the collector's syntax over words present in the documents; the
+# missing space before one ``OR`` is kept on purpose (the split ignores it).
+TEST_QUERY = "license OR avecOR Mit OR zebra crossing"
+
+
+def _terms_sql(hay: str, terms: list[str]) -> str:
+    return S.any_contains(hay, terms)
+
+
+QUERY_FILTER_SQL = f"""WITH {S.ARTICLES_CTE}
+SELECT id, url FROM art
+WHERE {_terms_sql("lower(title || ' ' || content)", [t.strip().lower() for t in TEST_QUERY.split("OR")])}
+"""
+
+
+@query("query_filter_or", QUERY_FILTER_SQL)
+def q_query_filter_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.filters import apply_query_filter
+
+    return apply_query_filter(doc_articles(spark, sf_dir), TEST_QUERY, enabled=True).select("id", "url")
+
+
+# Section config: keyword lists for some sections, none (keep all) for the others.
+TEST_SECTIONS = [("src0", ["license", "und"]), ("src1", ["the"]), ("src2", ["zebra"]), ("src3", [])]
+
+
+def _sections_df(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(TEST_SECTIONS, "section string, keywords array<string>")
+
+
+def _sections_sql() -> str:
+    rows = ", ".join(
+        f"({S.lit(s)}, [{', '.join(S.lit(k) for k in kws)}]::VARCHAR[])" for s, kws in TEST_SECTIONS
+    )
+    return f"(VALUES {rows}) AS sec(section, keywords)"
+
+
+SECTION_FILTER_SQL = f"""WITH {S.ARTICLES_CTE}
+SELECT a.id, a.source FROM art a LEFT JOIN {_sections_sql()} ON a.source = sec.section
+WHERE sec.keywords IS NULL OR len(sec.keywords) = 0
+   OR len(list_filter(sec.keywords, lambda k: contains(lower(a.title || ' ' || a.content), k))) > 0
+"""
+
+
+@query("section_keyword_filter", SECTION_FILTER_SQL)
+def q_section_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.filters import section_keyword_filter
+
+    arts = doc_articles(spark, sf_dir)
+    return section_keyword_filter(arts, _sections_df(spark), section_col="source").select("id", "source")
+
+
+# Test lists for the substring detectors and the cascade (words present in documents).
+TEST_LISTS = {
+    "platforms": ["lend", "the", "und"],
+    "competitors": ["license", "zebra"],
+    "funds": ["accial capital", "und"],
+    "brand_keywords": ["licen"],
+}
+TEST_CASCADE = [
+    ("exaloan_reputation", ["licence"]),
+    ("competitor", ["license"]),
+    ("regulation", ["gesetz", "mit"]),
+    ("funding", ["und"]),
+    ("partnership", ["avec"]),
+    ("insolvency_risk", ["the"]),
+    ("platform", ["le"]),
+]
+TEST_RISK_TERMS = ["license", "pour"]
+
+
+def _detect_sql_cols(low: str) -> str:
+    L = TEST_LISTS
+    return (
+        f"array_to_string({S.list_filter_contains(low, L['platforms'])}, ', ') AS platforms_mentioned, "
+        f"array_to_string({S.list_filter_contains(low, L['competitors'])}, ', ') AS competitors_mentioned, "
+        f"array_to_string({S.list_filter_contains(low, L['funds'])}, ', ') AS funds_mentioned, "
+        f"CASE WHEN {S.any_contains(low, L['brand_keywords'])} THEN 'exaloan' ELSE '' END AS companies_mentioned"
+    )
+
+
+DETECT_SQL = f"""WITH {S.ARTICLES_CTE}, x AS (SELECT id, lower(content || ' ' || title) AS low FROM art)
+SELECT id, {_detect_sql_cols("low")} FROM x
+"""
+
+
+def _flat(df: DataFrame, cols: list[str], sep: str = ", ") -> DataFrame:
+    return df.select(*[F.coalesce(F.array_join(F.col(c), sep), F.lit("")).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("detect_entities_substring", DETECT_SQL)
+def q_detect_entities_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.match import detect_entities
+
+    arts = doc_articles(spark, sf_dir)
+    text = F.concat(F.col("content"), F.lit(" "), F.col("title"))
+    out = detect_entities(arts, text=text, **TEST_LISTS).select(
+        "id", "platforms_mentioned", "competitors_mentioned", "funds_mentioned", "companies_mentioned"
+    )
+    return _flat(out, ["platforms_mentioned", "competitors_mentioned", "funds_mentioned", "companies_mentioned"])
+
+
+def _cascade_sql(low: str) -> str:
+    parts = " ".join(f"WHEN {S.any_contains(low, terms)} THEN {S.lit(label)}" for label, terms in TEST_CASCADE)
+    return f"CASE {parts} ELSE 'unknown' END"
+
+
+CLASSIFY_SQL = f"""WITH {S.ARTICLES_CTE}, x AS (SELECT id, lower(content || ' ' || title) AS low FROM art)
+SELECT id, {_cascade_sql("low")} AS category FROM x
+"""
+
+
+@query("classify_articles", CLASSIFY_SQL)
+def q_classify_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.classify import classify
+
+    arts = doc_articles(spark, sf_dir)
+    return arts.select("id", classify(F.concat(F.col("content"), F.lit(" "), F.col("title")), TEST_CASCADE).alias("category"))
+
+
+RISK_SQL = f"""WITH {S.ARTICLES_CTE}
+SELECT id, {S.any_contains("lower(content)", TEST_RISK_TERMS)} AS insolvency_risk FROM art
+"""
+
+
+@query("risk_flag", RISK_SQL)
+def q_risk_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.classify import insolvency_risk
+
+    return doc_articles(spark, sf_dir).select("id", insolvency_risk("content", TEST_RISK_TERMS).alias("insolvency_risk"))
+
+
+def keywords_simple_sql(text: str) -> str:
+    split = f"string_split_regex({S.strip(f'replace(lower({text}), {S.lit(",")}, {S.lit(" ")})')}, '{S.WS_CLASS}+')"
+    return f"list_sort(list_distinct(list_filter({split}, lambda t: length(t) > 3)))"
+
+
+KEYWORDS_SIMPLE_SQL = f"""WITH {S.ARTICLES_CTE}
+SELECT id, array_to_string({keywords_simple_sql("content || ' ' || title")}, '|') AS keywords FROM art
+"""
+
+
+@query("keywords_simple", KEYWORDS_SIMPLE_SQL)
+def q_keywords_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.keywords import simple_keywords
+
+    arts = doc_articles(spark, sf_dir)
+    kw = simple_keywords(F.concat(F.col("content"), F.lit(" "), F.col("title")))
+    return arts.select("id", F.array_join(kw, "|").alias("keywords"))
+
+
+# Test lexicon (term, polarity): multiples of 1/4 so sums are exact in any order.
+TEST_LEXICON = [
+    ("the", 0.25), ("and", 0.5), ("und", -0.75), ("le", 0.25), ("la", -0.25),
+    ("des", 1.0), ("der", -0.5), ("license", -1.0), ("avec", 0.75), ("por", 0.5),
+]
+
+
+def _lexicon(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(TEST_LEXICON, "term string, polarity double")
+
+
+def sentiment_sql(texts_cte: str) -> str:
+    return f"""lex AS (SELECT * FROM {S.values(TEST_LEXICON, ["term", "polarity"])}),
+toks AS (SELECT id, unnest(regexp_extract_all(lower(coalesce(txt, '')), '[\\p{{L}}\\p{{N}}]+')) AS term FROM {texts_cte}),
+sc AS (SELECT toks.id, avg(lex.polarity) AS s FROM toks JOIN lex ON toks.term = lex.term GROUP BY toks.id),
+sent AS (
+  SELECT t.id, coalesce(sc.s, 0.0) AS score FROM {texts_cte} t LEFT JOIN sc ON t.id = sc.id
+)"""
+
+
+SENTIMENT_SQL = f"""WITH texts AS (
+  SELECT 'd:' || CAST(doc_id AS VARCHAR) AS id, text AS txt FROM documents
+  UNION ALL
+  SELECT 'c:' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR), text FROM conversations
+), {sentiment_sql("texts")}
+SELECT id, round(score, 6) AS sentiment_score,
+       CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label
+FROM sent
+"""
+
+
+@query("sentiment_lexicon", SENTIMENT_SQL)
+def q_sentiment_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.sentiment import with_sentiment
+    from newslake.plans.tables import table
+
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("d:"), F.col("doc_id").cast("string")).alias("id"), F.col("text").alias("content")
+    )
+    conv = table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("c:"), F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("id"),
+        F.col("text").alias("content"),
+    )
+    out = with_sentiment(docs.unionByName(conv), _lexicon(spark))
+    return out.select("id", F.round("sentiment_score", 6).alias("sentiment_score"), "sentiment_label")
+
+
+ENRICH_SQL = f"""WITH {S.ARTICLES_CTE},
+texts AS (SELECT id, content AS txt FROM art),
+{sentiment_sql("texts")},
+x AS (SELECT a.*, p.published_at, lower(a.content || ' ' || a.title) AS low,
+             a.content || ' ' || a.title AS full_text
+      FROM art a LEFT JOIN pub p ON a.id = p.id)
+SELECT x.id,
+       CASE WHEN length(coalesce(published_at, '')) >= 10 THEN substring(published_at, 1, 10) ELSE '' END AS date,
+       source, title, url, {_cascade_sql("low")} AS category,
+       CASE WHEN sent.score > 0.1 THEN 'positive' WHEN sent.score < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+       round(sent.score, 6) AS sentiment_score,
+       {_detect_sql_cols("low")},
+       array_to_string({keywords_simple_sql("full_text")}, ', ') AS keywords,
+       {S.any_contains("lower(content)", TEST_RISK_TERMS)} AS insolvency_risk
+FROM x JOIN sent ON x.id = sent.id
+"""
+
+
+@query("enrich_articles", ENRICH_SQL)
+def q_enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.enrich import enrich_articles
+    from newslake.schemas import ENRICHED_LIST_COLUMNS
+
+    arts = with_published(doc_articles(spark, sf_dir), spark, sf_dir)
+    out = enrich_articles(
+        arts, _lexicon(spark), cascade=TEST_CASCADE, insolvency=TEST_RISK_TERMS, **TEST_LISTS
+    ).withColumn("sentiment_score", F.round("sentiment_score", 6))
+    return _flat(out, ENRICHED_LIST_COLUMNS)
+
+
+OBJECT_DEDUPE_SQL = f"""WITH {S.ARTICLES_CTE},
+r AS (SELECT id, lang, content, row_number() OVER (PARTITION BY title, content, lang ORDER BY seq) AS rn FROM art)
+SELECT id, lang, content FROM r WHERE rn = 1
+"""
+
+
+@query("dedupe_object", OBJECT_DEDUPE_SQL)
+def q_dedupe_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.dedupe import dedupe_articles
+
+    # The object carries no link/id, so its key is the canonical JSON of the whole object.
+    arts = doc_articles(spark, sf_dir).select("seq", "title", "content", "lang")
+    out = dedupe_articles(arts, order=["seq"], object_cols=["title", "content", "lang"])
+    return out.select(F.col("seq").alias("id"), "lang", "content")
+
+
+def _blanked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with blanked fields: whitespace title, empty content, headline fallback."""
+    from newslake.plans.tables import table
+
+    src = F.col("source")
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.when(src == "src3", F.lit("   ")).alias("title"),
+        F.when(src == "src4", F.concat(F.lit("Headline "), F.col("doc_id").cast("string"))).alias("headline"),
+        F.when(src.isin("src3", "src5"), F.lit("")).otherwise(F.col("text")).alias("content"),
+        F.when(src == "src5", F.lit("")).alias("text"),
+    )
+
+
+VALIDATE_SQL = f"""WITH raw AS (
+  SELECT doc_id AS id,
+         CASE WHEN source = 'src3' THEN '   ' END AS title,
+         CASE WHEN source = 'src4' THEN 'Headline ' || CAST(doc_id AS VARCHAR) END AS headline,
+         CASE WHEN source IN ('src3', 'src5') THEN '' ELSE text END AS content,
+         CASE WHEN source = 'src5' THEN '' END AS text
+  FROM documents
+), n AS (
+  SELECT id, {S.strip("coalesce(nullif(title, ''), nullif(headline, ''), '')")} AS t,
+         {S.strip("coalesce(nullif(content, ''), nullif(text, ''), '')")} AS c
+  FROM raw
+)
+SELECT id, (t <> '' OR c <> '') AS valid,
+       CASE WHEN t <> '' THEN t ELSE {S.title_from('c')} END AS title,
+       CASE WHEN t = '' AND c = '' THEN 'missing both title and content' END AS reject_reason
+FROM n
+"""
+
+
+@query("validate_split", VALIDATE_SQL)
+def q_validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.normalize import normalize_articles
+
+    return normalize_articles(_blanked_docs(spark, sf_dir)).select("id", "valid", "title", "reject_reason")
+
+
+def _translit_sql(x: str) -> str:
+    from newslake.functions.text import GERMAN_TRANSLITERATION
+
+    out = x
+    for a, b in GERMAN_TRANSLITERATION:
+        out = f"replace({out}, {S.lit(a)}, {S.lit(b)})"
+    return out
+
+
+TRANSLIT_SQL = f"SELECT doc_id AS id, lang, {_translit_sql('text')} AS text_ascii FROM documents"
+
+
+@query("transliterate_de", TRANSLIT_SQL)
+def q_transliterate_de(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.functions.text import transliterate_de
+    from newslake.plans.tables import table
+
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), "lang", transliterate_de("text").alias("text_ascii"))
+
+
+SOURCE_METRICS_SQL = f"""WITH {S.ARTICLES_CTE}, {_tag_sql_parts()}
+SELECT a.source, count(*) AS n_articles, count(*) FILTER (WHERE a.title <> '' OR a.content <> '') AS n_valid,
+       count(*) FILTER (WHERE t.platforms <> '') AS n_tagged, CAST(sum(length(a.content)) AS BIGINT) AS n_chars
+FROM art a JOIN tags t ON a.id = t.id GROUP BY a.source
+"""
+
+
+@query("source_metrics", SOURCE_METRICS_SQL)
+def q_source_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.metrics import source_metrics
+
+    tagged = _tag_docs(spark, sf_dir, "auto").withColumn(
+        "valid", (F.col("title") != F.lit("")) | (F.col("content") != F.lit(""))
+    )
+    return source_metrics(tagged, "source")
+
+
+ALIAS_DICT_SQL = """WITH raw AS (
+  SELECT doc_id AS rn, 'Doc ' || CAST(doc_id AS VARCHAR) AS entity_name, lang AS category,
+         ' ' || upper(source) || ' ;' || lang || ';;' AS aliases
+  FROM documents
+), parts AS (
+  SELECT rn, entity_name, category, unnest(string_split(aliases, ';')) AS part,
+         unnest(range(len(string_split(aliases, ';')))) AS pi
+  FROM raw
+), cand AS (
+  SELECT lower(trim(part)) AS alias, trim(entity_name) AS entity, category,
+         row_number() OVER (PARTITION BY lower(trim(part)) ORDER BY rn DESC, pi DESC) AS r
+  FROM parts WHERE trim(part) <> ''
+)
+SELECT alias, entity, category FROM cand WHERE r = 1
+"""
+
+
+@query("alias_dictionary", ALIAS_DICT_SQL)
+def q_alias_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.operators.match import entity_dictionary
+    from newslake.plans.tables import table
+
+    raw = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("entity_name"),
+        F.col("lang").alias("category"),
+        F.concat(F.lit(" "), F.upper("source"), F.lit(" ;"), F.col("lang"), F.lit(";;")).alias("aliases"),
+        F.col("doc_id").alias("_order"),
+    )
+    return entity_dictionary(raw, alias_sep=";", order="_order")

@@ -44,7 +44,7 @@ def any_contains(hay: str, terms: list[str]) -> str:
 
 def list_filter_contains(hay: str, terms: list[str]) -> str:
     arr = "[" + ", ".join(lit(t) for t in terms) + "]"
-    return f"list_filter({arr}::VARCHAR[], x -> contains({hay}, x))"
+    return f"list_filter({arr}::VARCHAR[], lambda x: contains({hay}, x))"
 
 
 ARTICLES_CTE = f"""

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Settings every job wants, on a laptop or on a 1000-executor cluster.
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
