@@ -16,7 +16,8 @@ from newslake.functions.text import as_col, or_chain, strip_markup_blocks, strip
 from newslake.operators.normalize import absolute_url
 
 ANCHOR = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
-H2_BLOCK = r"(?is)<h2\b[^>]*>(.*?)</h2\s*>((?:(?!<h2\b).)*)"
+H2_OPEN = r"(?i)<h2\b"
+H2_REST = r"(?is)^[^>]*>(.*?)</h2\s*>(.*)$"
 FIRST_P = r"(?is)<p\b[^>]*>(.*?)</p\s*>"
 LD_JSON = r'(?is)<script\b[^>]*type\s*=\s*"application/ld\+json"[^>]*>(.*?)</script\s*>'
 
@@ -73,25 +74,26 @@ def section_teasers(df: DataFrame, *, id_col: str, html: str = "html", base: Col
 
     Output ``id, pos, title, href, url, teaser_p``: link text, raw and absolute link, and
     the first ``p`` after the heading (before the next ``h2``) as the fallback snippet.
-    An ``h2`` without a link yields nothing (FIL10).
+    An ``h2`` without a link yields nothing (FIL10). The page is cut at every ``<h2``
+    (a linear split, safe on pages of any length); segment ``i`` holds heading ``i``
+    and everything up to the next heading.
     """
     body = strip_markup_blocks(F.col(html))
-    blocks = df.select(
+    segs = df.select(
         F.col(id_col), (as_col(base) if base is not None else F.lit("")).alias("_base"),
-        F.arrays_zip(
-            F.regexp_extract_all(body, F.lit(H2_BLOCK), 1).alias("head"),
-            F.regexp_extract_all(body, F.lit(H2_BLOCK), 2).alias("after"),
-        ).alias("_b"),
-    ).select(id_col, "_base", F.posexplode("_b").alias("pos", "b"))
-    href = F.regexp_extract(F.col("b.head"), ANCHOR, 1)
+        F.posexplode(F.split(body, H2_OPEN)).alias("_i", "_seg"),
+    ).filter(F.col("_i") > 0)
+    head = F.regexp_extract(F.col("_seg"), H2_REST, 1)
+    after = F.regexp_extract(F.col("_seg"), H2_REST, 2)
+    href = F.regexp_extract(head, ANCHOR, 1)
     return (
-        blocks.filter(F.col("b.head").rlike(ANCHOR))
+        segs.filter(head.rlike(ANCHOR))
         .select(
-            id_col, "pos",
-            strip_tags(F.regexp_extract(F.col("b.head"), ANCHOR, 2)).alias("title"),
+            id_col, (F.col("_i") - 1).alias("pos"),
+            strip_tags(F.regexp_extract(head, ANCHOR, 2)).alias("title"),
             href.alias("href"),
             absolute_url(href, F.col("_base")).alias("url"),
-            strip_tags(F.regexp_extract(F.col("b.after"), FIRST_P, 1)).alias("teaser_p"),
+            strip_tags(F.regexp_extract(after, FIRST_P, 1)).alias("teaser_p"),
         )
     )
 
