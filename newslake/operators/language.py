@@ -20,28 +20,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import as_col
+from newslake.session import materialize
 
 BROADCAST_MAX = 5_000_000
 MAX_LANGUAGES = 1000
 FALLBACK = "en"
 
 
-def char_grams(text: Column | str, n_max: int = 3) -> Column:
-    """All character 1..n_max-grams of the lowercased text (whole text, in order)."""
-    t = F.lower(F.coalesce(as_col(text), F.lit("")))
-    def gram_at(k: int):
-        return lambda i: F.substring(t, i, k)
+def code_points(text: Column | str) -> Column:
+    """Array of the lowercased text's code points."""
+    return F.regexp_extract_all(F.lower(F.coalesce(as_col(text), F.lit(""))), F.lit("(?s)(.)"), 1)
 
-    parts = []
-    for k in range(1, n_max + 1):
-        last = F.length(t) - k + 1
-        parts.append(
-            F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), gram_at(k)))
-            .otherwise(F.array().cast("array<string>"))
-        )
+
+def grams_of(chars: Column | str, n_max: int = 3) -> Column:
+    """All 1..n_max-grams from a code-point array, in order (linear, via ``zip_with``).
+
+    Pass a column *reference* (see ``gram_counts``) so the array is computed once.
+    """
+    ch = as_col(chars)
+    n = F.size(ch)
+    parts = [ch]
+    grams = ch
+    for k in range(2, n_max + 1):
+        # grams of length k: (k-1)-grams[1 .. n-k+1] joined with chars[k .. n]
+        m = F.greatest(n - k + 1, F.lit(0))
+        grams = F.zip_with(F.slice(grams, 1, m), F.slice(ch, k, m), lambda a, b: F.concat(a, b))
+        parts.append(grams)
     return F.concat(*parts)
 
 
+def char_grams(text: Column | str, n_max: int = 3) -> Column:
+    """All character 1..n_max-grams of the lowercased text (whole text, in order)."""
+    return grams_of(code_points(text), n_max)
+
+
 def gram_total(text: Column | str, n_max: int = 3) -> Column:
     """Number of grams ``char_grams`` yields, computed without exploding."""
     length = F.length(F.coalesce(as_col(text), F.lit("")))
@@ -51,18 +63,42 @@ def gram_total(text: Column | str, n_max: int = 3) -> Column:
     return total.cast("long")
 
 
-def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text") -> DataFrame:
-    """``(lang, gram, n)`` gram counts per language."""
+def gram_counts(df: DataFrame, *, id_col: str = "id", text: str = "content", keys: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, *keys, gram, c)``: gram counts per document.
+
+    Grouped by the document id first, so with input partitioned by id the aggregate needs
+    no shuffle; the explode never leaves its task. Training and scoring can share it.
+    """
     return (
-        labelled.filter(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(char_grams(text)).alias("gram"))
-        .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.col(id_col).alias("_id"), *keys, code_points(text).alias("_ch"))
+        .select("_id", *keys, F.explode(grams_of("_ch")).alias("gram"))
+        .groupBy("_id", *keys, "gram")
+        .agg(F.count(F.lit(1)).alias("c"))
     )
 
 
-def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id", text: str = "content", out: str = "lang_pred") -> DataFrame:
-    """``(id, lang_pred)`` for every row of ``df``."""
+def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text", counts: DataFrame | None = None) -> DataFrame:
+    """``(lang, gram, n)`` gram counts per language (from ``gram_counts`` when given)."""
+    if counts is None:
+        counts = gram_counts(labelled.filter(F.col(lang).isNotNull()), id_col=labelled.columns[0], text=text, keys=(lang,))
+    return (
+        counts.filter(F.col(lang).isNotNull())
+        .groupBy(F.col(lang).alias("lang"), "gram")
+        .agg(F.sum("c").alias("n"))
+    )
+
+
+def identify_language(
+    df: DataFrame, profile: DataFrame, *, id_col: str = "id", text: str = "content", out: str = "lang_pred",
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """``(id, lang_pred)`` for every row of ``df`` (``counts``: precomputed ``gram_counts``).
+
+    The profile (bounded by vocabulary x languages) is written once as a table in the
+    session's checkpoint folder, so the driver-side statistics and the scoring join read
+    it instead of recomputing the training explode.
+    """
+    profile = materialize(profile, "language-profile")
     stats = profile.groupBy("lang").agg(F.sum("n").alias("n_lang")).limit(MAX_LANGUAGES + 1).collect()
     if len(stats) > MAX_LANGUAGES:
         raise ValueError("too many languages in the profile")
@@ -76,12 +112,14 @@ def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id",
     n_prof = prof.limit(BROADCAST_MAX + 1).count()
     prof = F.broadcast(prof) if n_prof <= BROADCAST_MAX else prof
 
-    docs = df.select(F.col(id_col).alias("_id"), as_col(text).alias("_t"))
+    docs = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
+    if counts is None:
+        counts = gram_counts(docs, id_col="_id", text="_t")
     shared = (
-        docs.select("_id", F.explode(char_grams("_t")).alias("gram"))
+        counts.select("_id", "gram", "c")
         .join(prof, "gram")
         .groupBy("_id", "lang")
-        .agg(F.sum("w").alias("s"))
+        .agg(F.sum(F.col("c") * F.col("w")).alias("s"))
     )
     langs = F.array(*[F.lit(k) for k in sorted(norm)])
     base = docs.select("_id", gram_total("_t").alias("_T"), F.explode(langs).alias("lang")).withColumn("s", F.lit(0.0))
@@ -102,4 +140,4 @@ def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id",
     )
 
 
-__all__ = ["char_grams", "gram_total", "identify_language", "train_profile"]
+__all__ = ["char_grams", "gram_counts", "gram_total", "identify_language", "train_profile"]
