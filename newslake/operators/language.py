@@ -1,15 +1,17 @@
 """Language identification by character n-gram profiles (LNG1).
 
-Training is a hash aggregate ``groupBy(lang, gram).count()`` over labelled text. Scoring
-explodes a document's 1..3-grams, joins the profile on the gram (broadcast while a
-bounded count keeps it under ``BROADCAST_MAX`` rows) and sums per (doc, lang):
+Training is a hash aggregate ``groupBy(lang, gram).count()`` over the gram occurrences
+of labelled text (partial aggregation per task keeps the hash tables vocabulary-sized).
+Scoring joins every gram occurrence of a document to a *wide* profile -- one row per
+gram, one weight column ``ln(n_{g,lang} + 1)`` per language, broadcast while a bounded
+count keeps it under ``BROADCAST_MAX`` rows -- and sums the weights per document:
 
     score(lang) = sum_g c_g * ln(n_{g,lang} + 1) - T * ln(N_lang + V)
 
 which equals ``sum_g c_g * ln((n_{g,lang} + 1) / (N_lang + V))`` (add-one smoothing; ``T``
 grams in the document, ``N_lang`` grams of the language, ``V`` distinct grams). The
 highest score wins, ties by language code; a document without grams gets ``en``. The
-language set is small and bounded (it is collected to build one literal array).
+language set is small and bounded (it is collected to build the wide profile).
 """
 
 from __future__ import annotations
@@ -27,33 +29,18 @@ MAX_LANGUAGES = 1000
 FALLBACK = "en"
 
 
-def code_points(text: Column | str) -> Column:
-    """Array of the lowercased text's code points."""
-    return F.regexp_extract_all(F.lower(F.coalesce(as_col(text), F.lit(""))), F.lit("(?s)(.)"), 1)
-
-
-def grams_of(chars: Column | str, n_max: int = 3) -> Column:
-    """All 1..n_max-grams from a code-point array, in order (linear, via ``zip_with``).
+def char_grams(text: Column | str, n_max: int = 3) -> Column:
+    """All character 1..n_max-grams of the lowercased text (whole text, in order).
 
-    Pass a column *reference* (see ``gram_counts``) so the array is computed once.
+    One linear regex pass per gram length: a zero-width lookahead captures the ``k``
+    characters starting at every position (no positional ``substring``, which would
+    rescan the string from its start for every gram).
     """
-    ch = as_col(chars)
-    n = F.size(ch)
-    parts = [ch]
-    grams = ch
-    for k in range(2, n_max + 1):
-        # grams of length k: (k-1)-grams[1 .. n-k+1] joined with chars[k .. n]
-        m = F.greatest(n - k + 1, F.lit(0))
-        grams = F.zip_with(F.slice(grams, 1, m), F.slice(ch, k, m), lambda a, b: F.concat(a, b))
-        parts.append(grams)
+    t = F.lower(F.coalesce(as_col(text), F.lit("")))
+    parts = [F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))"), 1) for k in range(1, n_max + 1)]
     return F.concat(*parts)
 
 
-def char_grams(text: Column | str, n_max: int = 3) -> Column:
-    """All character 1..n_max-grams of the lowercased text (whole text, in order)."""
-    return grams_of(code_points(text), n_max)
-
-
 def gram_total(text: Column | str, n_max: int = 3) -> Column:
     """Number of grams ``char_grams`` yields, computed without exploding."""
     length = F.length(F.coalesce(as_col(text), F.lit("")))
@@ -63,36 +50,22 @@ def gram_total(text: Column | str, n_max: int = 3) -> Column:
     return total.cast("long")
 
 
-def gram_counts(df: DataFrame, *, id_col: str = "id", text: str = "content", keys: tuple[str, ...] = ()) -> DataFrame:
-    """``(id, *keys, gram, c)``: gram counts per document.
-
-    Grouped by the document id first, so with input partitioned by id the aggregate needs
-    no shuffle; the explode never leaves its task. Training and scoring can share it.
-    """
+def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text") -> DataFrame:
+    """``(lang, gram, n)``: gram counts per language over the labelled rows."""
     return (
-        df.select(F.col(id_col).alias("_id"), *keys, code_points(text).alias("_ch"))
-        .select("_id", *keys, F.explode(grams_of("_ch")).alias("gram"))
-        .groupBy("_id", *keys, "gram")
-        .agg(F.count(F.lit(1)).alias("c"))
+        labelled.filter(F.col(lang).isNotNull())
+        .select(F.col(lang).alias("lang"), F.explode(char_grams(text)).alias("gram"))
+        .groupBy("lang", "gram")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text", counts: DataFrame | None = None) -> DataFrame:
-    """``(lang, gram, n)`` gram counts per language (from ``gram_counts`` when given)."""
-    if counts is None:
-        counts = gram_counts(labelled.filter(F.col(lang).isNotNull()), id_col=labelled.columns[0], text=text, keys=(lang,))
-    return (
-        counts.filter(F.col(lang).isNotNull())
-        .groupBy(F.col(lang).alias("lang"), "gram")
-        .agg(F.sum("c").alias("n"))
-    )
+def _lang_col(lang: str) -> str:
+    return "w_" + "".join(ch if ch.isalnum() else "_" for ch in lang)
 
 
-def identify_language(
-    df: DataFrame, profile: DataFrame, *, id_col: str = "id", text: str = "content", out: str = "lang_pred",
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """``(id, lang_pred)`` for every row of ``df`` (``counts``: precomputed ``gram_counts``).
+def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id", text: str = "content", out: str = "lang_pred") -> DataFrame:
+    """``(id, lang_pred)`` for every row of ``df``.
 
     The profile (bounded by vocabulary x languages) is written once as a table in the
     session's checkpoint folder, so the driver-side statistics and the scoring join read
@@ -102,42 +75,39 @@ def identify_language(
     stats = profile.groupBy("lang").agg(F.sum("n").alias("n_lang")).limit(MAX_LANGUAGES + 1).collect()
     if len(stats) > MAX_LANGUAGES:
         raise ValueError("too many languages in the profile")
-    vocab = profile.select("gram").distinct().count()
     if not stats:
         return df.select(F.col(id_col), F.lit(FALLBACK).alias(out))
+    vocab = profile.select("gram").distinct().count()
+    langs = sorted(r["lang"] for r in stats)
     norm = {r["lang"]: math.log(r["n_lang"] + vocab) for r in stats}
-    norm_map = F.create_map(*[x for k, v in sorted(norm.items()) for x in (F.lit(k), F.lit(v))])
 
-    prof = profile.select("gram", "lang", F.log(F.col("n") + F.lit(1.0)).alias("w"))
-    n_prof = prof.limit(BROADCAST_MAX + 1).count()
-    prof = F.broadcast(prof) if n_prof <= BROADCAST_MAX else prof
+    wide = profile.groupBy("gram").agg(
+        *[F.max(F.when(F.col("lang") == F.lit(l), F.log(F.col("n") + F.lit(1.0)))).alias(_lang_col(l)) for l in langs]
+    )
+    n_wide = wide.limit(BROADCAST_MAX + 1).count()
+    wide = F.broadcast(wide) if n_wide <= BROADCAST_MAX else wide
 
     docs = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
-    if counts is None:
-        counts = gram_counts(docs, id_col="_id", text="_t")
-    shared = (
-        counts.select("_id", "gram", "c")
-        .join(prof, "gram")
-        .groupBy("_id", "lang")
-        .agg(F.sum(F.col("c") * F.col("w")).alias("s"))
-    )
-    langs = F.array(*[F.lit(k) for k in sorted(norm)])
-    base = docs.select("_id", gram_total("_t").alias("_T"), F.explode(langs).alias("lang")).withColumn("s", F.lit(0.0))
-    scored = (
-        base.select("_id", "lang", "s", "_T")
-        .unionByName(shared.withColumn("_T", F.lit(None).cast("long")))
-        .groupBy("_id", "lang")
-        .agg(F.sum("s").alias("s"), F.max("_T").alias("_T"))
-        .withColumn("score", F.col("s") - F.col("_T") * F.element_at(norm_map, F.col("lang")))
+    zero = [F.lit(0.0).alias(_lang_col(l)) for l in langs]
+    occurrences = (
+        docs.select("_id", F.explode(char_grams("_t")).alias("gram"))
+        .join(wide, "gram")
+        .select("_id", F.lit(None).cast("long").alias("_T"), *[F.coalesce(F.col(_lang_col(l)), F.lit(0.0)).alias(_lang_col(l)) for l in langs])
     )
-    best = scored.groupBy("_id").agg(
-        F.min_by("lang", F.struct((-F.col("score")).alias("neg"), F.col("lang"))).alias("_best"),
-        F.max("_T").alias("_T"),
+    totals = docs.select("_id", gram_total("_t").alias("_T"), *zero)
+    sums = totals.unionByName(occurrences).groupBy("_id").agg(
+        F.max("_T").alias("_T"), *[F.sum(_lang_col(l)).alias(_lang_col(l)) for l in langs]
     )
-    return best.select(
+    # (-score, lang) pairs; the smallest is the best language (ties by language code).
+    cands = F.array(*[
+        F.struct((F.col("_T") * F.lit(norm[l]) - F.col(_lang_col(l))).alias("neg"), F.lit(l).alias("lang"))
+        for l in langs
+    ])
+    best = F.array_min(cands)["lang"]
+    return sums.select(
         F.col("_id").alias(id_col),
-        F.when(F.col("_T") > 0, F.col("_best")).otherwise(F.lit(FALLBACK)).alias(out),
+        F.when(F.col("_T") > 0, best).otherwise(F.lit(FALLBACK)).alias(out),
     )
 
 
-__all__ = ["char_grams", "gram_counts", "gram_total", "identify_language", "train_profile"]
+__all__ = ["char_grams", "gram_total", "identify_language", "train_profile"]

@@ -35,12 +35,11 @@ SELECT id, CASE WHEN tt > 0 THEN lang ELSE 'en' END AS lang_pred FROM r WHERE rk
 @query("language_id", LANG_SQL)
 def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train gram profiles on the labelled documents, then score every document."""
-    from newslake.operators.language import gram_counts, identify_language, train_profile
+    from newslake.operators.language import identify_language, train_profile
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("text").alias("content"))
-    counts = gram_counts(docs, id_col="id", text="content", keys=("lang",))
-    profile = train_profile(docs, counts=counts)
-    return identify_language(docs, profile, counts=counts.select("_id", "gram", "c"))
+    profile = train_profile(docs, lang="lang", text="content")
+    return identify_language(docs, profile)
 
 
 def _stopwords_sql() -> str:

@@ -90,9 +90,19 @@ def extract_day_sql(x: str, rfc822: bool = False) -> str:
 
 
 def tagged_dated_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tag on the narrow document rows, drop the text, then attach the publication stamp."""
+    """Tag on the narrow document rows, drop the text, then attach the publication stamp.
+
+    The tagged rows are written once as a table in the checkpoint folder (the tagging
+    stage's output, SNK5) and read back: the digest consumes them twice (hit rows and
+    day status), and the lineage is cut after the expensive text work.
+    """
+    from newslake.session import materialize
+
     tagged = tag_entities(doc_articles(spark, sf_dir), _test_dictionary(spark), strategy="auto")
-    return with_published(tagged.drop("content"), spark, sf_dir)
+    narrow = with_published(tagged.drop("content"), spark, sf_dir).select(
+        "id", "seq", "title", "url", "published_at", "platforms_mentioned"
+    )
+    return materialize(narrow, "tagged-articles")
 
 
 DIGEST_SQL = f"""WITH {S.ARTICLES_CTE}, {_tag_sql_parts()},
