@@ -25,8 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import SENTENCE_SPLIT, TOKEN_PATTERN, as_col, whitespace_split
 
+TOKEN_CHAR = r"[\p{L}\p{N}]"
+
 # Our stopword lists (a parameter of the ranking; not reference values).
 DEFAULT_STOPWORDS = {
     "en": "a an and are as at be by for from has have in is it its of on or that the this to was were will with".split(),
@@ -49,32 +52,28 @@ def all_stopwords() -> list[str]:
 def keyword_features(df: DataFrame, *, id_col: str = "id", text: Column | str = "content", stopwords: list[str] | None = None) -> DataFrame:
     """Per (doc, term) features and the doc-level statistics, with the ranking score."""
     stop = all_stopwords() if stopwords is None else stopwords
-    src = df.select(F.col(id_col).alias("_id"), F.coalesce(as_col(text), F.lit("")).alias("_t"))
-    sents = src.select(
-        "_id",
-        F.posexplode(F.split(F.col("_t"), SENTENCE_SPLIT)).alias("s_idx", "sentence"),
-    ).select("_id", "s_idx", F.regexp_extract_all("sentence", F.lit(TOKEN_PATTERN), 0).alias("toks"))
-    sents = sents.filter(F.size("toks") > 0)
-    n_sent = sents.groupBy("_id").agg(F.count(F.lit(1)).alias("n_sent"))
-    low = F.transform("toks", lambda t: F.lower(t))
-    n = F.size("toks")
+    t = F.coalesce(as_col(text), F.lit(""))
+    # Sentences holding at least one token, counted per document without a join.
+    n_sent = F.size(F.filter(F.split(t, SENTENCE_SPLIT), lambda x: x.rlike(TOKEN_CHAR)))
+    src = df.select(F.col(id_col).alias("_id"), t.alias("_t"), n_sent.alias("n_sent"))
+    sents = explode_with_pos(src, ["_id", "n_sent"], F.split(F.col("_t"), SENTENCE_SPLIT), "s_idx", "sentence")
+    toks = sents.select("_id", "n_sent", "s_idx", F.regexp_extract_all("sentence", F.lit(TOKEN_PATTERN), 0).alias("toks"))
+    n = F.greatest(F.size("toks"), F.lit(1))  # sentences without tokens explode to nothing
     null_arr = F.array(F.lit(None).cast("string"))
-    occ = sents.select(
-        "_id", "s_idx",
-        F.posexplode(
-            F.arrays_zip(
-                F.col("toks").alias("tok"),
-                low.alias("term"),
-                F.concat(null_arr, F.slice(low, 1, n - 1)).alias("left"),
-                F.concat(F.slice(low, 2, n - 1), null_arr).alias("right"),
-            )
-        ).alias("t_pos", "o"),
-    ).select("_id", "s_idx", "t_pos", "o.tok", "o.term", "o.left", "o.right")
+    zipped = F.arrays_zip(
+        F.col("toks").alias("tok"),
+        F.concat(null_arr, F.slice("toks", 1, n - 1)).alias("left"),
+        F.concat(F.slice("toks", 2, n - 1), null_arr).alias("right"),
+    )
+    occ = explode_with_pos(toks, ["_id", "n_sent", "s_idx"], zipped, "t_pos", "o").select(
+        "_id", "n_sent", "s_idx", "t_pos", F.col("o.tok").alias("tok"), F.lower("o.tok").alias("term"),
+        F.lower("o.left").alias("left"), F.lower("o.right").alias("right"),
+    )
     cand = occ.filter(~F.col("term").isin(*stop)) if stop else occ
     tok = F.col("tok")
     upper_start = F.substring(tok, 1, 1).rlike(r"\p{Lu}") & (F.col("t_pos") > 0)
     acronym = (tok == F.upper(tok)) & (tok != F.lower(tok)) & (F.length(tok) > 1)
-    feats = cand.groupBy("_id", "term").agg(
+    feats = cand.groupBy("_id", "n_sent", "term").agg(
         F.count(F.lit(1)).alias("tf"),
         F.count_if(upper_start).alias("tf_upper"),
         F.count_if(acronym).alias("tf_acronym"),
@@ -87,8 +86,7 @@ def keyword_features(df: DataFrame, *, id_col: str = "id", text: Column | str =
     )
     w = Window.partitionBy("_id")
     feats = (
-        feats.join(n_sent, "_id")
-        .withColumn("mean_tf", F.avg("tf").over(w))
+        feats.withColumn("mean_tf", F.avg("tf").over(w))
         .withColumn("std_tf", F.stddev_pop("tf").over(w))
         .withColumn("max_tf", F.max("tf").over(w))
     )

@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col
 from newslake.session import materialize
 
@@ -53,8 +54,7 @@ def gram_total(text: Column | str, n_max: int = 3) -> Column:
 def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text") -> DataFrame:
     """``(lang, gram, n)``: gram counts per language over the labelled rows."""
     return (
-        labelled.filter(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(char_grams(text)).alias("gram"))
+        explode_with_pos(labelled.filter(F.col(lang).isNotNull()), [F.col(lang).alias("lang")], char_grams(text), "_p", "gram")
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -90,7 +90,7 @@ def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id",
     docs = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
     zero = [F.lit(0.0).alias(_lang_col(l)) for l in langs]
     occurrences = (
-        docs.select("_id", F.explode(char_grams("_t")).alias("gram"))
+        explode_with_pos(docs, ["_id"], char_grams("_t"), "_p", "gram")
         .join(wide, "gram")
         .select("_id", F.lit(None).cast("long").alias("_T"), *[F.coalesce(F.col(_lang_col(l)), F.lit(0.0)).alias(_lang_col(l)) for l in langs])
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col, lower_tokens
 
 BROADCAST_MAX = 5_000_000
@@ -33,10 +34,10 @@ def sentiment_scores(df: DataFrame, lexicon: DataFrame, *, id_col: str = "id", t
     """``(id, sentiment_score)`` for the articles with at least one lexicon token."""
     by_lang = "lang" in lexicon.columns and "lang" in df.columns
     keys = ["lang", "term"] if by_lang else ["term"]
-    toks = df.select(
-        F.col(id_col), *(["lang"] if by_lang else []),
-        F.explode(lower_tokens(F.coalesce(as_col(text), F.lit("")))).alias("term"),
-    )
+    toks = explode_with_pos(
+        df, [F.col(id_col), *(["lang"] if by_lang else [])],
+        lower_tokens(F.coalesce(as_col(text), F.lit(""))), "_pos", "term",
+    ).drop("_pos")
     lex = lexicon.select(*keys, F.col("polarity").cast("double").alias("polarity"))
     n = lex.limit(BROADCAST_MAX + 1).count()
     lex = F.broadcast(lex) if n <= BROADCAST_MAX else lex

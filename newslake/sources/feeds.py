@@ -141,10 +141,13 @@ def payload_articles(df: DataFrame, payload: Column | str, kind: str = "newsapi"
     article's position in its payload.
     """
     p = F.from_json(F.col(payload) if isinstance(payload, str) else payload, PAYLOAD_SCHEMA)
+    # Parse once into a column; ``posexplode_outer`` avoids the size/not-null filter that
+    # Catalyst infers for ``posexplode`` (which would re-run the JSON parse per row).
+    parsed = df.select(*keep, p.alias("_p"))
+    ok_articles = F.when(F.coalesce(F.col("_p.status"), F.lit("ok")) == F.lit("ok"), F.col("_p.articles"))
     rows = (
-        df.select(*keep, p.alias("_p"))
-        .filter(F.coalesce(F.col("_p.status"), F.lit("ok")) == F.lit("ok"))
-        .select(*keep, F.posexplode("_p.articles").alias("pos", "a"))
+        parsed.select(*keep, F.posexplode_outer(ok_articles).alias("pos", "a"))
+        .filter(F.col("pos").isNotNull())
     )
     a = F.col("a")
     if kind == "newsapi":

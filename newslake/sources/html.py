@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col, or_chain, strip_markup_blocks, strip_tags
 from newslake.operators.normalize import absolute_url
 
@@ -43,15 +44,12 @@ def site_base(url: Column | str) -> Column:
 def page_links(df: DataFrame, *, id_col: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """Every ``a[href]`` of a page: ``id, pos, href, text, abs_url`` (PRJ7 for relative links)."""
     body = strip_markup_blocks(F.col(html))
+    zipped = F.arrays_zip(
+        F.regexp_extract_all(body, F.lit(ANCHOR), 1).alias("href"),
+        F.regexp_extract_all(body, F.lit(ANCHOR), 2).alias("inner"),
+    )
     return (
-        df.select(
-            F.col(id_col), F.col(url).alias("_url"),
-            F.arrays_zip(
-                F.regexp_extract_all(body, F.lit(ANCHOR), 1).alias("href"),
-                F.regexp_extract_all(body, F.lit(ANCHOR), 2).alias("inner"),
-            ).alias("_a"),
-        )
-        .select(id_col, "_url", F.posexplode("_a").alias("pos", "a"))
+        explode_with_pos(df, [F.col(id_col), F.col(url).alias("_url")], zipped, "pos", "a")
         .select(
             id_col, "pos", F.col("a.href").alias("href"), strip_tags(F.col("a.inner")).alias("text"),
             absolute_url(F.col("a.href"), site_base("_url")).alias("abs_url"),
@@ -79,9 +77,9 @@ def section_teasers(df: DataFrame, *, id_col: str, html: str = "html", base: Col
     and everything up to the next heading.
     """
     body = strip_markup_blocks(F.col(html))
-    segs = df.select(
-        F.col(id_col), (as_col(base) if base is not None else F.lit("")).alias("_base"),
-        F.posexplode(F.split(body, H2_OPEN)).alias("_i", "_seg"),
+    segs = explode_with_pos(
+        df, [F.col(id_col), (as_col(base) if base is not None else F.lit("")).alias("_base")],
+        F.split(body, H2_OPEN), "_i", "_seg",
     ).filter(F.col("_i") > 0)
     head = F.regexp_extract(F.col("_seg"), H2_REST, 1)
     after = F.regexp_extract(F.col("_seg"), H2_REST, 2)
@@ -105,9 +103,7 @@ def jsonld_article(df: DataFrame, *, id_col: str = "page_id", html: str = "html"
     NULL and are skipped. ``published`` is the date part of ``datePublished`` (else
     ``uploadDate``) as written, ``snippet`` is ``description or articleBody``.
     """
-    scripts = df.select(
-        F.col(id_col), F.posexplode(F.regexp_extract_all(F.col(html), F.lit(LD_JSON), 1)).alias("s_pos", "body")
-    )
+    scripts = explode_with_pos(df, [F.col(id_col)], F.regexp_extract_all(F.col(html), F.lit(LD_JSON), 1), "s_pos", "body")
     objs = scripts.select(
         id_col, "s_pos", F.posexplode_outer(F.from_json(F.col("body"), LD_SCHEMA)).alias("o_pos", "o")
     ).filter(F.col("o.@type") == F.lit("NewsArticle"))

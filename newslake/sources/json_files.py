@@ -43,9 +43,12 @@ def read_json_arrays(
     except AnalysisException:
         return _empty(spark, out_schema), spark.createDataFrame([], REJECT_SCHEMA)
     n = F.json_array_length("value")
+    # Parse each file once; ``posexplode_outer`` + a filter on the position avoids the
+    # inferred size/not-null filter that would parse the whole file again.
+    parsed = raw.filter(n.isNotNull()).select("file", F.from_json("value", T.ArrayType(schema)).alias("_arr"))
     rows = (
-        raw.filter(n.isNotNull())
-        .select("file", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "item"))
+        parsed.select("file", F.posexplode_outer("_arr").alias("pos", "item"))
+        .filter(F.col("pos").isNotNull())
         .select("file", "pos", "item.*")
     )
     trimmed = F.trim(F.col("value"), F.lit(PY_WHITESPACE))
