@@ -25,7 +25,7 @@ from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col
 from newslake.session import materialize
 
-BROADCAST_MAX = 5_000_000
+BROADCAST_MAX = 1_000_000
 MAX_LANGUAGES = 1000
 FALLBACK = "en"
 

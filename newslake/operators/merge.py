@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from newslake.functions.dates import quarter_label
 from newslake.operators.dedupe import dedupe_first
 
-BROADCAST_MAX_ROWS = 5_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _existing_keys_in_batch(existing: DataFrame, batch_keys: DataFrame, key: str, broadcast_max_rows: int) -> DataFrame:

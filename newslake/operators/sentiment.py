@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col, lower_tokens
 
-BROADCAST_MAX = 5_000_000
+BROADCAST_MAX = 1_000_000
 
 # Label thresholds (strict inequalities).
 POSITIVE_ABOVE = 0.1

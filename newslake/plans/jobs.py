@@ -58,6 +58,20 @@ def collect_batch(
     )
 
 
+def finanzen_snapshot(spark: SparkSession, paths: str | list[str], *, top_k: int = 10) -> DataFrame:
+    """German feed snapshot: transliterated title, ISO time, content = ranked title keywords.
+
+    The keyword ranking runs on the transliterated title (one short text per item), the
+    top terms joined with ``', '`` become the content, as the snapshot writer stores them.
+    """
+    from newslake.sources.feeds import finanzen_articles
+
+    items = finanzen_articles(read_rss_items(spark, paths))
+    keyed = items.withColumn("_kid", F.sha2(F.to_json(F.struct("file", "pos")), 256))
+    kw = with_ranked_keywords(keyed, id_col="_kid", text="title", top_k=top_k)
+    return kw.withColumn("content", F.array_join("keywords", ", ")).drop("_kid", "keywords")
+
+
 def combine_snapshots(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Snapshot compaction: hourly JSON arrays -> first-seen items (``id or url or title``)."""
     rows, rejects = read_json_arrays(spark, paths)
@@ -115,5 +129,5 @@ def enrich_batch(articles: DataFrame, lexicon: DataFrame, **lists) -> DataFrame:
 
 
 __all__ = [
-    "article_key", "collect_batch", "combine_snapshots", "digest_batch", "enrich_batch", "merge_batch", "tag_batch",
+    "article_key", "collect_batch", "combine_snapshots", "finanzen_snapshot", "digest_batch", "enrich_batch", "merge_batch", "tag_batch",
 ]
