@@ -38,12 +38,17 @@ def merge_upsert(
     Both frames carry the key column ``key`` (NULL keys are kept, as in DED2) and the
     ``order`` columns. The result has ``existing``'s columns plus ``origin``.
     """
-    fresh = dedupe_first(batch, F.col(key), order, null_key="keep")
-    keyed = fresh.filter(F.col(key).isNotNull())
-    seen = _existing_keys_in_batch(existing, keyed.select(key).distinct(), key, broadcast_max_rows)
-    added = keyed.join(seen, key, "left_anti").unionByName(fresh.filter(F.col(key).isNull()))
-    return existing.withColumn("origin", F.lit("existing")).unionByName(
-        added.withColumn("origin", F.lit("batch")), allowMissingColumns=True
+    keyed = batch.filter(F.col(key).isNotNull())
+    # First-seen per key inside the batch: one partial aggregate, keys already distinct.
+    fresh = dedupe_first(keyed, F.col(key), order, null_key="drop")
+    seen = _existing_keys_in_batch(existing, fresh.select(key), key, broadcast_max_rows)
+    added = fresh.join(seen, key, "left_anti")
+    # Rows without a key cannot match anything; they are appended as they are.
+    unkeyed = batch.filter(F.col(key).isNull())
+    return (
+        existing.withColumn("origin", F.lit("existing"))
+        .unionByName(added.withColumn("origin", F.lit("batch")), allowMissingColumns=True)
+        .unionByName(unkeyed.withColumn("origin", F.lit("batch")), allowMissingColumns=True)
     )
 
 
