@@ -118,7 +118,7 @@ l AS (SELECT page_id, url, regexp_extract_all(body, {S.lit(ANCHOR_RE)}, 1) AS hr
              regexp_extract_all(body, {S.lit(ANCHOR_RE)}, 2) AS inners FROM pg),
 u AS (SELECT page_id, url, unnest(hrefs) AS href, unnest(inners) AS inner_html,
              unnest(range(len(hrefs))) AS pos FROM l)
-SELECT page_id, pos, href, {strip_tags_sql('inner_html')} AS text,
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href, {strip_tags_sql('inner_html')} AS text,
        CASE WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(url, {S.lit(BASE_RE)}, 1) || href END AS abs_url
 FROM u
 """
