@@ -81,9 +81,14 @@ def digest_day_status(
 
 
 def write_digest(digest: DataFrame, path: str, order: list[str]) -> str:
-    """Write the long-form digest as JSON lines, one folder per day, article order kept."""
+    """Write the long-form digest as JSON lines, one folder per day, article order kept.
+
+    Range partitioning on ``(day, order)`` splits a hot day over several tasks (several
+    files in its folder) instead of sending it whole to one task, and keeps the files of
+    a day in article order.
+    """
     (
-        digest.repartition("day")
+        digest.repartitionByRange("day", *order)
         .sortWithinPartitions("day", *order)
         .write.mode("overwrite")
         .partitionBy("day")
