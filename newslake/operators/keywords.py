@@ -49,15 +49,25 @@ def all_stopwords() -> list[str]:
     return sorted({w for ws in DEFAULT_STOPWORDS.values() for w in ws})
 
 
-def keyword_features(df: DataFrame, *, id_col: str = "id", text: Column | str = "content", stopwords: list[str] | None = None) -> DataFrame:
-    """Per (doc, term) features and the doc-level statistics, with the ranking score."""
+def keyword_features(
+    df: DataFrame, *, id_col: str = "id", text: Column | str = "content", stopwords: list[str] | None = None,
+    lang_col: str | None = None,
+) -> DataFrame:
+    """Per (doc, term) features and the doc-level statistics, with the ranking score.
+
+    With ``lang_col`` (e.g. the output of language identification) each document drops
+    the stopwords of its own language; otherwise the union of all lists is used.
+    """
     stop = all_stopwords() if stopwords is None else stopwords
     t = F.coalesce(as_col(text), F.lit(""))
     # Sentences holding at least one token, counted per document without a join.
     n_sent = F.size(F.filter(F.split(t, SENTENCE_SPLIT), lambda x: x.rlike(TOKEN_CHAR)))
-    src = df.select(F.col(id_col).alias("_id"), t.alias("_t"), n_sent.alias("n_sent"))
-    sents = explode_with_pos(src, ["_id", "n_sent"], F.split(F.col("_t"), SENTENCE_SPLIT), "s_idx", "sentence")
-    toks = sents.select("_id", "n_sent", "s_idx", F.regexp_extract_all("sentence", F.lit(TOKEN_PATTERN), 0).alias("toks"))
+    lang = F.coalesce(F.col(lang_col), F.lit("")) if lang_col else F.lit("")
+    src = df.select(F.col(id_col).alias("_id"), t.alias("_t"), n_sent.alias("n_sent"), lang.alias("_lang"))
+    sents = explode_with_pos(src, ["_id", "n_sent", "_lang"], F.split(F.col("_t"), SENTENCE_SPLIT), "s_idx", "sentence")
+    toks = sents.select(
+        "_id", "n_sent", "_lang", "s_idx", F.regexp_extract_all("sentence", F.lit(TOKEN_PATTERN), 0).alias("toks")
+    )
     n = F.greatest(F.size("toks"), F.lit(1))  # sentences without tokens explode to nothing
     null_arr = F.array(F.lit(None).cast("string"))
     zipped = F.arrays_zip(
@@ -65,11 +75,16 @@ def keyword_features(df: DataFrame, *, id_col: str = "id", text: Column | str =
         F.concat(null_arr, F.slice("toks", 1, n - 1)).alias("left"),
         F.concat(F.slice("toks", 2, n - 1), null_arr).alias("right"),
     )
-    occ = explode_with_pos(toks, ["_id", "n_sent", "s_idx"], zipped, "t_pos", "o").select(
-        "_id", "n_sent", "s_idx", "t_pos", F.col("o.tok").alias("tok"), F.lower("o.tok").alias("term"),
+    occ = explode_with_pos(toks, ["_id", "n_sent", "_lang", "s_idx"], zipped, "t_pos", "o").select(
+        "_id", "n_sent", "_lang", "s_idx", "t_pos", F.col("o.tok").alias("tok"), F.lower("o.tok").alias("term"),
         F.lower("o.left").alias("left"), F.lower("o.right").alias("right"),
     )
-    cand = occ.filter(~F.col("term").isin(*stop)) if stop else occ
+    if lang_col and stopwords is None:
+        # (language, word) pairs as one literal hash set: a per-row lookup, no join.
+        pairs = sorted(f"{lg}|{w}" for lg, ws in DEFAULT_STOPWORDS.items() for w in ws)
+        cand = occ.filter(~F.concat(F.col("_lang"), F.lit("|"), F.col("term")).isin(*pairs))
+    else:
+        cand = occ.filter(~F.col("term").isin(*stop)) if stop else occ
     tok = F.col("tok")
     upper_start = F.substring(tok, 1, 1).rlike(r"\p{Lu}") & (F.col("t_pos") > 0)
     acronym = (tok == F.upper(tok)) & (tok != F.lower(tok)) & (F.length(tok) > 1)
@@ -102,9 +117,12 @@ def keyword_features(df: DataFrame, *, id_col: str = "id", text: Column | str =
     return feats.withColumn("h", h).withColumn("score", F.col("h") / (tf * (F.lit(1.0) + F.col("h"))))
 
 
-def ranked_keywords(df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10, stopwords: list[str] | None = None) -> DataFrame:
+def ranked_keywords(
+    df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10,
+    stopwords: list[str] | None = None, lang_col: str | None = None,
+) -> DataFrame:
     """``(id, keywords)``: the ``top_k`` best terms per document, best first (TOP1)."""
-    feats = keyword_features(df, id_col=id_col, text=text, stopwords=stopwords)
+    feats = keyword_features(df, id_col=id_col, text=text, stopwords=stopwords, lang_col=lang_col)
     w = Window.partitionBy("_id").orderBy(F.col("score").asc(), F.col("term").asc())
     top = feats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k)
     per_doc = top.groupBy("_id").agg(
@@ -113,9 +131,11 @@ def ranked_keywords(df: DataFrame, *, id_col: str = "id", text: Column | str = "
     return per_doc.withColumnRenamed("_id", id_col)
 
 
-def with_ranked_keywords(df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10) -> DataFrame:
+def with_ranked_keywords(
+    df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10, lang_col: str | None = None,
+) -> DataFrame:
     """Add ``keywords`` (``[]`` for empty text) by joining the per-document ranking back."""
-    kw = ranked_keywords(df, id_col=id_col, text=text, top_k=top_k)
+    kw = ranked_keywords(df, id_col=id_col, text=text, top_k=top_k, lang_col=lang_col)
     return df.join(kw, id_col, "left").withColumn(
         "keywords", F.coalesce(F.col("keywords"), F.array().cast("array<string>"))
     )

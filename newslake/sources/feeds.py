@@ -72,11 +72,14 @@ UNION_ORDER = ["bloomberg", "newsapi", "gnews", "investing", "sec", "crunchbase"
 def read_rss_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """RSS ``item`` elements of landed feed files: ``file, pos, <item fields>``.
 
-    ``pos`` is increasing within a file (one file is read by one task in order).
+    ``pos`` is increasing within a file (one file is read by one task in order). Items
+    that do not parse are dropped (a malformed feed contributes nothing, as the
+    collectors skip a feed the parser flags).
     """
     items = (
         spark.read.format("xml")
         .option("rowTag", "item")
+        .option("mode", "DROPMALFORMED")
         .schema(RSS_ITEM_SCHEMA)
         .load(paths)
         .withColumn("file", F.col("_metadata.file_name"))

@@ -14,6 +14,7 @@ Stream checkpoints and sinks live under the session's checkpoint folder.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +53,8 @@ def dedupe_within_watermark(stream: DataFrame, keys: list[str], event_time: str,
 def _first_seen_batch(sink: str, key: str, order: list[str]):
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # The micro-batch (bounded by maxFilesPerTrigger) feeds two branches: read it once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         fresh = dedupe_first(batch, F.col(key), order, null_key="keep")
         if batch_id > 0:
             # Batch 0 created the sink (possibly empty); read it with an explicit schema.
@@ -65,19 +68,31 @@ def _first_seen_batch(sink: str, key: str, order: list[str]):
             .partitionBy("batch_id")
             .parquet(sink)
         )
+        batch.unpersist()
 
     return handle
 
 
-def run_first_seen(stream: DataFrame, *, key: str, order: list[str], sink: str, checkpoint: str) -> DataFrame:
-    """STR3: run ``stream`` to completion (``availableNow``) into a first-seen table."""
+def run_first_seen(
+    stream: DataFrame, *, key: str, order: list[str], sink: str, checkpoint: str, progress: list | None = None,
+) -> DataFrame:
+    """STR3: run ``stream`` to completion (``availableNow``) into a first-seen table.
+
+    Incoming rows are counted with ``observe`` (SNK9); pass a list as ``progress`` to
+    receive each batch's observed metrics.
+    """
+    observed = stream.observe("ingest", F.count(F.lit(1)).alias("rows_in"))
     q = (
-        stream.writeStream.foreachBatch(_first_seen_batch(sink, key, order))
+        observed.writeStream.foreachBatch(_first_seen_batch(sink, key, order))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
+    if progress is not None:
+        progress.extend(
+            p.observedMetrics["ingest"].asDict() for p in q.recentProgress if p.observedMetrics.get("ingest") is not None
+        )
     return stream.sparkSession.read.parquet(sink).drop("batch_id")
 
 

@@ -31,6 +31,13 @@ def test_rss_collectors(spark, tmp_path):
     assert sorted({r["source_ord"] for r in both.collect()}) == [0, 6]
 
 
+def test_malformed_feed_is_skipped(spark, tmp_path):
+    (tmp_path / "Good.xml").write_text(RSS)
+    (tmp_path / "Bad.xml").write_text("<rss><channel><item><title>broken</ti")
+    items = read_rss_items(spark, str(tmp_path / "*.xml"))
+    assert {r["file"] for r in items.collect()} == {"Good.xml"}
+
+
 def test_payloads(spark):
     ok = {"status": "ok", "articles": [
         {"source": {"name": "Wire"}, "title": "T", "url": "u", "publishedAt": "2025-06-21T00:00:00Z", "content": "", "description": "D"},
@@ -55,5 +62,9 @@ def test_stream_first_seen_equals_batch(spark, snapshot_files, tmp_path):
     stream = snapshot_stream(spark, str(land / "*"), schema, max_files_per_trigger=1)
     stream = stream.withColumn("key", key_chain(F.col("id"), F.col("url"), F.col("title")))
     base = scratch_path(spark, "test-stream")
-    out = run_first_seen(stream, key="key", order=["file", "pos"], sink=f"{base}/sink", checkpoint=f"{base}/ckpt")
+    progress = []
+    out = run_first_seen(
+        stream, key="key", order=["file", "pos"], sink=f"{base}/sink", checkpoint=f"{base}/ckpt", progress=progress
+    )
     assert out.count() == 83
+    assert sum(m["rows_in"] for m in progress) == 210

@@ -97,3 +97,6 @@ def test_keywords(spark):
     assert kw[2] == []
     ranked = {r["id"]: r["keywords"] for r in ranked_keywords(df, top_k=3).collect()}
     assert 1 in ranked and len(ranked[1]) == 3 and 2 not in ranked
+    de = spark.createDataFrame([(1, "Die Bank und die Kredite. Die Bank wächst.", "de")], "id long, content string, lang string")
+    by_lang = ranked_keywords(de, lang_col="lang", top_k=5).first()["keywords"]
+    assert "die" not in by_lang and "und" not in by_lang and "bank" in by_lang
