@@ -30,16 +30,31 @@ MAX_LANGUAGES = 1000
 FALLBACK = "en"
 
 
-def char_grams(text: Column | str, n_max: int = 3) -> Column:
-    """All character 1..n_max-grams of the lowercased text (whole text, in order).
+def char_windows(text: Column | str, n_max: int = 3) -> Column:
+    """The up-to-``n_max``-character window starting at every position of the lowercased text.
 
-    One linear regex pass per gram length: a zero-width lookahead captures the ``k``
-    characters starting at every position (no positional ``substring``, which would
-    rescan the string from its start for every gram).
+    One linear regex pass (a zero-width lookahead capture per position). The prefixes of
+    the windows are exactly the text's 1..n_max-grams (see ``window_grams``).
     """
     t = F.lower(F.coalesce(as_col(text), F.lit("")))
-    parts = [F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))"), 1) for k in range(1, n_max + 1)]
-    return F.concat(*parts)
+    return F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{1,{n_max}}}))"), 1)
+
+
+def window_grams(window: Column | str, n_max: int = 3) -> Column:
+    """The prefixes of one window (length 1..len(window)) -- short strings, O(1) each."""
+    w = as_col(window)
+    return F.slice(F.array(*[F.substring(w, 1, k) for k in range(1, n_max + 1)]), 1, F.length(w))
+
+
+def char_grams(text: Column | str, n_max: int = 3) -> Column:
+    """All character 1..n_max-grams of the lowercased text, as one array (small inputs)."""
+    return F.flatten(F.transform(char_windows(text, n_max), lambda w: window_grams(w, n_max)))
+
+
+def explode_grams(df: DataFrame, keep: list[str], text: Column | str, n_max: int = 3) -> DataFrame:
+    """One row per gram occurrence: ``keep`` columns + ``gram`` (windows, then prefixes)."""
+    wins = explode_with_pos(df, keep, char_windows(text, n_max), "_wp", "_w")
+    return explode_with_pos(wins, keep, window_grams("_w", n_max), "_gp", "gram").drop("_gp")
 
 
 def gram_total(text: Column | str, n_max: int = 3) -> Column:
@@ -54,7 +69,7 @@ def gram_total(text: Column | str, n_max: int = 3) -> Column:
 def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text") -> DataFrame:
     """``(lang, gram, n)``: gram counts per language over the labelled rows."""
     return (
-        explode_with_pos(labelled.filter(F.col(lang).isNotNull()), [F.col(lang).alias("lang")], char_grams(text), "_p", "gram")
+        explode_grams(labelled.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text)), ["lang"], text)
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -90,7 +105,7 @@ def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id",
     docs = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
     zero = [F.lit(0.0).alias(_lang_col(l)) for l in langs]
     occurrences = (
-        explode_with_pos(docs, ["_id"], char_grams("_t"), "_p", "gram")
+        explode_grams(docs, ["_id"], "_t")
         .join(wide, "gram")
         .select("_id", F.lit(None).cast("long").alias("_T"), *[F.coalesce(F.col(_lang_col(l)), F.lit(0.0)).alias(_lang_col(l)) for l in langs])
     )
@@ -110,4 +125,4 @@ def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id",
     )
 
 
-__all__ = ["char_grams", "gram_total", "identify_language", "train_profile"]
+__all__ = ["char_grams", "char_windows", "explode_grams", "gram_total", "identify_language", "train_profile", "window_grams"]
