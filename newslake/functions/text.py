@@ -93,14 +93,23 @@ def lower_tokens(c: Column | str) -> Column:
     return tokens(F.lower(as_col(c)))
 
 
-def whitespace_split(c: Column | str) -> Column:
-    """Python ``str.split()``: split on runs of Unicode whitespace, no empty tokens."""
-    ws_class = "[" + "".join(_class_escape(ch) for ch in PY_WHITESPACE) + "]+"
-    return F.filter(F.split(strip(c), ws_class), lambda t: t != F.lit(""))
+def _class_ranges(chars: str) -> str:
+    """A regex character class for ``chars``, consecutive code points merged into ranges."""
+    cps = sorted({ord(ch) for ch in chars})
+    parts, start = [], cps[0]
+    for prev, cur in zip(cps, cps[1:] + [None]):
+        if cur != prev + 1:
+            parts.append(f"\\x{{{start:X}}}" if start == prev else f"\\x{{{start:X}}}-\\x{{{prev:X}}}")
+            start = cur
+    return "[" + "".join(parts) + "]"
+
 
+WHITESPACE_RUN = _class_ranges(PY_WHITESPACE) + "+"
 
-def _class_escape(ch: str) -> str:
-    return f"\\x{{{ord(ch):X}}}"
+
+def whitespace_split(c: Column | str) -> Column:
+    """Python ``str.split()``: split on runs of Unicode whitespace, no empty tokens."""
+    return F.array_remove(F.split(strip(c), WHITESPACE_RUN), "")
 
 
 # German transliteration of umlauts and sharp s.

@@ -42,7 +42,7 @@ DEFAULT_STOPWORDS = {
 def simple_keywords(text: Column | str) -> Column:
     """KEY1: lowercase, commas to spaces, whitespace split, keep length > 3, distinct (sorted)."""
     low = F.replace(F.lower(F.coalesce(as_col(text), F.lit(""))), F.lit(","), F.lit(" "))
-    return F.array_sort(F.array_distinct(F.filter(whitespace_split(low), lambda t: F.length(t) > 3)))
+    return F.sort_array(F.array_distinct(F.filter(whitespace_split(low), lambda t: F.length(t) > 3)))
 
 
 def all_stopwords() -> list[str]:
@@ -126,7 +126,7 @@ def ranked_keywords(
     w = Window.partitionBy("_id").orderBy(F.col("score").asc(), F.col("term").asc())
     top = feats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k)
     per_doc = top.groupBy("_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]).alias("keywords")
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]).alias("keywords")
     )
     return per_doc.withColumnRenamed("_id", id_col)
 

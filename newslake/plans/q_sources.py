@@ -163,7 +163,7 @@ def _section_pages(pages: DataFrame) -> DataFrame:
     grouped = pages.select(
         base.alias("base"), F.floor(F.col("page_id") / SECTION_SIZE).alias("block"), "page_id", frag.alias("frag")
     ).groupBy("base", "block").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "frag"))), lambda x: x["frag"]), "").alias("body")
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "frag"))), lambda x: x["frag"]), "").alias("body")
     )
     return grouped.select(
         F.concat("base", F.lit("#"), F.col("block").cast("string")).alias("section"),
