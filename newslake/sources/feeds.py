@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslake.functions.dates import iso_seconds, parse_published
-from newslake.functions.text import nonempty, or_chain, strip, transliterate_de
+from newslake.functions.text import or_chain, strip, transliterate_de
 from newslake.operators.normalize import uniform_articles
 
 RSS_ITEM_SCHEMA = T.StructType(
@@ -178,5 +178,5 @@ def union_sources(frames: list[tuple[str, DataFrame]]) -> DataFrame:
 
 __all__ = [
     "COLLECTORS", "PAYLOAD_SCHEMA", "RSS_ITEM_SCHEMA", "UNION_ORDER", "finanzen_articles",
-    "nonempty", "payload_articles", "read_rss_items", "rss_articles", "union_sources",
+    "payload_articles", "read_rss_items", "rss_articles", "union_sources",
 ]

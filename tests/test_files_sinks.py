@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from newslake.operators.digest import daily_digest, write_digest
 from newslake.operators.filters import exclude_files

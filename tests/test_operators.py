@@ -100,3 +100,33 @@ def test_keywords(spark):
     de = spark.createDataFrame([(1, "Die Bank und die Kredite. Die Bank wächst.", "de")], "id long, content string, lang string")
     by_lang = ranked_keywords(de, lang_col="lang", top_k=5).first()["keywords"]
     assert "die" not in by_lang and "und" not in by_lang and "bank" in by_lang
+
+
+def test_property_retained_and_expired_partition_all(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.one_of(st.dates().map(lambda d: f"news_{d.isoformat()}.json"), st.text(max_size=8)), max_size=12),
+           st.dates(), st.integers(min_value=0, max_value=30))
+    def check(names, as_of, days):
+        df = spark.createDataFrame([(n,) for n in names], "f string")
+        kept = retain(df, "f", as_of.isoformat(), days).count()
+        gone = expired(df, "f", as_of.isoformat(), days).count()
+        assert kept + gone == len(names)
+
+    check()
+
+
+def test_property_digest_days_are_distinct_valid_days(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+
+    digest = entry.queries()["daily_digest"](spark, SF_SMALL)
+    days = {r["day"] for r in digest.select("day").distinct().collect()}
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    expected = {
+        r["d"] for r in docs.join(ev, docs.doc_id == ev.event_id).select(F.date_format("ts", "yyyy-MM-dd").alias("d")).distinct().collect()
+    }
+    assert days == expected
