@@ -35,8 +35,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     on ``key`` reuses this partitioning instead of shuffling again.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 -- no RDD API (e.g. a Spark Connect session): leave the scan as is
         return df
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(n, 1), key)

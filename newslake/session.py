@@ -58,12 +58,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir``, as a cluster names it). Only when it
     is unset -- tests and local runs -- a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no SparkContext on this client (e.g. Spark Connect)
+        sc = None
+    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="newslake-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
