@@ -20,9 +20,13 @@ from newslake.operators.sentiment import sentiment_label, sentiment_scores
 from newslake.schemas import ENRICHED_COLUMNS
 
 
-def enrich_articles(df: DataFrame, lexicon: DataFrame, *, id_col: str = "id", **lists) -> DataFrame:
+def enrich_articles(df: DataFrame, lexicon: DataFrame, *, id_col: str = "id", texts: DataFrame | None = None, **lists) -> DataFrame:
     """``id`` plus the enriched columns, in their fixed order.
 
+    ``texts`` (``id, content``) is what sentiment scores; by default ``df`` itself. Pass the
+    articles *before* joins that only add columns (e.g. the publication time), so the
+    scoring branch does not repeat them.
+
     ``lists`` may override the entity lists of ``detect_entities`` (platforms,
     competitors, funds, brand_keywords), ``cascade`` of ``classify`` and the
     ``insolvency`` terms of the risk flag.
@@ -48,7 +52,8 @@ def enrich_articles(df: DataFrame, lexicon: DataFrame, *, id_col: str = "id", **
         simple_keywords(F.col("_text")).alias("keywords"),
         (insolvency_risk(content) if risk_terms is None else insolvency_risk(content, risk_terms)).alias("insolvency_risk"),
     )
-    scores = sentiment_scores(df, lexicon, id_col=id_col, text=content)
+    scored = df if texts is None else texts
+    scores = sentiment_scores(scored, lexicon, id_col=id_col, text=F.coalesce(F.col("content"), F.lit("")))
     out = narrow.join(scores, id_col, "left").withColumn(
         "sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(0.0))
     ).withColumn("sentiment_label", sentiment_label("sentiment_score"))

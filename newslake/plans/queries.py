@@ -393,9 +393,11 @@ def q_enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newslake.operators.enrich import enrich_articles
     from newslake.schemas import ENRICHED_LIST_COLUMNS
 
-    arts = with_published(doc_articles(spark, sf_dir), spark, sf_dir)
+    base = doc_articles(spark, sf_dir)
+    arts = with_published(base, spark, sf_dir)
     out = enrich_articles(
-        arts, _lexicon(spark), cascade=TEST_CASCADE, insolvency=TEST_RISK_TERMS, **TEST_LISTS
+        arts, _lexicon(spark), texts=base.select("id", "content"),
+        cascade=TEST_CASCADE, insolvency=TEST_RISK_TERMS, **TEST_LISTS,
     ).withColumn("sentiment_score", F.round("sentiment_score", 6))
     return _flat(out, ENRICHED_LIST_COLUMNS)
 
