@@ -92,13 +92,21 @@ def keyword_features(
         F.count(F.lit(1)).alias("tf"),
         F.count_if(upper_start).alias("tf_upper"),
         F.count_if(acronym).alias("tf_acronym"),
-        F.median("s_idx").alias("med_sent"),
-        F.size(F.collect_set("s_idx")).alias("sf"),
+        F.sort_array(F.collect_list("s_idx")).alias("_sents"),
         F.count("left").alias("left_n"),
         F.size(F.collect_set("left")).alias("left_d"),
         F.count("right").alias("right_n"),
         F.size(F.collect_set("right")).alias("right_d"),
     )
+    # Exact median and distinct sentences from the sorted sentence indices of the term.
+    n_occ = F.size("_sents")
+    lo = F.element_at("_sents", F.floor((n_occ + 1) / 2).cast("int"))
+    hi = F.element_at("_sents", (F.floor(n_occ / 2) + 1).cast("int"))
+    feats = (
+        feats.withColumn("med_sent", (lo + hi) / F.lit(2.0))
+        .withColumn("sf", F.size(F.array_distinct("_sents")))
+        .drop("_sents")
+    )
     w = Window.partitionBy("_id")
     feats = (
         feats.withColumn("mean_tf", F.avg("tf").over(w))
