@@ -27,19 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` when the scan yields fewer tasks than the cluster has cores.
-
-    Large inputs split into many scan tasks and are left alone (no shuffle). Small files
-    with a single row group would otherwise run all per-row text work in one task. The
-    partition count equals the shuffle-partition setting, so a later join or aggregate
-    on ``key`` reuses this partitioning instead of shuffling again.
+    """Hash-partition by ``key`` when the table has fewer files than the cluster has cores.
+
+    Large tables (many files, many row groups) are left alone: their scan already splits
+    into many balanced tasks. A table in a handful of single-row-group files would run all
+    per-row text work in one task -- a file split into byte ranges still puts its only row
+    group in one range, so the split count is not a usable signal; the file count is. The
+    partition count equals the shuffle-partition setting, so a later join or aggregate on
+    ``key`` reuses this partitioning instead of shuffling again.
     """
     spark = df.sparkSession
     try:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 -- no RDD API (e.g. a Spark Connect session): leave the scan as is
+    except Exception:  # noqa: BLE001 -- no SparkContext on this client (e.g. Spark Connect)
+        return df
+    if len(df.inputFiles()) >= cores:
         return df
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(n, 1), key)
