@@ -10,13 +10,64 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import decontam, langid, sentencepieces, simhash, toxicity
+from newslake.llm import chat, decontam, langid, sentencepieces, sharding, simhash, tokenids, toxicity
 from newslake.llm.common import fold, read_table
+from newslake.session import scratch_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+#: The conversation added to the table: its texts are full of control strings.
+ADDED_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ADDED_TEXT).alias("text"),
+    )
+    made = chat.format_conversations(rows.unionByName(added))
+    read = made.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("lost", chat.loss_text(F.col("segments")))
+    newline = F.lit("\n")
+    listed = F.transform("turns", lambda x: F.concat(x["role"], newline, x["text"], newline))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(listed, ""), 256).alias("turns_sha256"),
+        F.length("lost").cast("long").alias("loss_chars"), F.sha2("lost", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
+OP3_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), t AS (
+  SELECT *, replace(replace(replace(text, '\', '\s'), '###', '\h'), '</turn>', '\t') AS escaped,
+         row_number() OVER w AS k, lag(role) OVER w AS before, lead(role) OVER w AS after
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### ' || CASE WHEN role IN ('system', 'user', 'assistant') THEN role
+    ELSE '@' || replace(replace(replace(replace(role, '\', '\s'), '###', '\h'), '</turn>', '\t'), ':', '\c') END
+    || ': ' || escaped || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars,
+  bool_and(CASE role WHEN 'system' THEN before IS NULL
+    WHEN 'user' THEN before IS NULL OR before IN ('system', 'assistant')
+    WHEN 'assistant' THEN coalesce(before = 'user', false) ELSE false END
+    AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM t GROUP BY conv_id
+"""
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels, fold("doc_id", 5) != 0)
@@ -56,12 +107,23 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "r.n_tokens", "r.ids_sha256", "r.decoded_sha256")
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "token-files")
+    tokenids.write_token_files(docs, path, BYTE_PAIRS)
+    copies = docs.groupBy("doc_id").count().select("doc_id", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("copy"))
+    return tokenids.look_up(spark, path, copies).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
+    "op2_sharding": op2_sharding,
+    "op3_chat": op3_chat,
     "op4_toxicity": op4_toxicity,
     "op6_simhash": op6_simhash,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_token_ids": op10_token_ids,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op3_chat": OP3_SQL}

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 BITS = 20  # hashed feature space: bounds the weights at 2**20 whatever the corpus
 MAX_TRAIN_ROWS = 8000  # bound of the labelled sample, smallest xxhash64(id) first
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.5, 0.5
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 0.5
 PRIOR_BIAS = -3.0
 _WORD = re.compile(r"\w+")
 _WORD_CACHE = 400_000  # entries of a task's word-hash memo; it is emptied when full
