@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, decontam, langid, sentencepieces, sharding, simhash, tokenids, toxicity
+from newslake.llm import chat, decontam, embedding_join, langid, sentencepieces, sharding, simhash, tokenids, toxicity
 from newslake.llm.common import fold, read_table
 from newslake.session import scratch_path
 
@@ -82,6 +82,10 @@ def toxicity_scores(docs: DataFrame, model: toxicity.Model) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -119,6 +123,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_chat": op3_chat,
     "op4_toxicity": op4_toxicity,
+    "op5_embedding_join": op5_embedding_join,
     "op6_simhash": op6_simhash,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
