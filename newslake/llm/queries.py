@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, decontam, embedding_join, langid, sentencepieces, sharding, simhash, tokenids, toxicity
+from newslake.llm import chat, decontam, embedding_join, langid, sentencepieces, sharding, simhash, tokenids, toxicity, wrapper
 from newslake.llm.common import fold, read_table
 from newslake.session import scratch_path
 
@@ -18,6 +18,11 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.extract_main_text(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -120,6 +125,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_sharding": op2_sharding,
     "op3_chat": op3_chat,
     "op4_toxicity": op4_toxicity,
