@@ -50,7 +50,8 @@ def _run(x: np.ndarray, p: dict, d: str, keep: bool):
     """States of one direction for byte indices ``x`` [T, B], in reading order; gates too if ``keep``.
 
     Gates are the piecewise-linear sigmoid clip(a / 4 + 1 / 2, 0, 1), the candidate is clip(a, -1, 1):
-    a fraction of the cost of exponentials, and the same in training and use.
+    a fraction of the cost of exponentials, and the same in training and use. Read backwards, the padding (byte 0)
+    of a short window comes first: the state stays zero there, so no window depends on its neighbours' lengths.
     """
     steps, lanes = x.shape
     w, u, s = p["W" + d].copy(), p["U" + d].copy(), p["s" + d]
@@ -60,6 +61,7 @@ def _run(x: np.ndarray, p: dict, d: str, keep: bool):
     h = np.zeros((hid, lanes), w.dtype)
     states = np.empty((steps, hid, lanes), w.dtype)
     gates = []
+    present = (x != 0).astype(w.dtype) if d == "b" else None
     a = g = None
     for t in range(steps):
         if keep:
@@ -78,6 +80,8 @@ def _run(x: np.ndarray, p: dict, d: str, keep: bool):
         h = np.subtract(h, n, out=states[t])
         h *= z
         h += n
+        if present is not None:
+            h *= present[t]
     return states, gates
 
 
@@ -120,6 +124,8 @@ def loss_and_gradients(x: np.ndarray, y: np.ndarray, mask: np.ndarray, p: dict):
         for t in range(steps - 1, -1, -1):
             z, r, n, q, h = gates[t]
             dh = dh + dh_out[t]
+            if d == "b":
+                dh *= xs[t] != 0
             dn = dh * (1 - z) * (np.abs(n) < 1)
             dz = dh * (h - n) * 0.25 * ((z > 0) & (z < 1))
             dr = dn * q * 0.25 * ((r > 0) & (r < 1))
