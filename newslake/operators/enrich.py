@@ -2,8 +2,9 @@
 
 Row-local expressions (substring entity lists, the category cascade, split keywords,
 the risk flag, the date prefix) are one narrow projection; sentiment is the only
-aggregate, computed on (id, tokens) and joined back by id. The text column is dropped
-before that join, so the join moves short rows, never whole texts.
+aggregate, computed per distinct text and joined back by the text's digest (rows that share an
+id keep their own scores). The text column is dropped before that join, so the join moves short
+rows, never whole texts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from newslake.functions.text import or_chain
 from newslake.operators.classify import classify, insolvency_risk
 from newslake.operators.keywords import simple_keywords
 from newslake.operators.match import detect_entities
-from newslake.operators.sentiment import sentiment_label, sentiment_scores
+from newslake.operators.sentiment import sentiment_label, sentiment_scores, text_key
 from newslake.schemas import ENRICHED_COLUMNS
 
 
@@ -41,8 +42,9 @@ def enrich_articles(df: DataFrame, lexicon: DataFrame, *, id_col: str = "id", te
     text = F.concat(content, F.lit(" "), title)
     base = df.withColumn("_text", text)
     tagged = detect_entities(base, text=F.col("_text"), **lists)
+    by_lang = "lang" in lexicon.columns and "lang" in df.columns
     narrow = tagged.select(
-        F.col(id_col),
+        F.col(id_col), text_key(df, content, by_lang).alias("_skey"),
         date_prefix(published).alias("date"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
         title.alias("title"),
@@ -53,8 +55,8 @@ def enrich_articles(df: DataFrame, lexicon: DataFrame, *, id_col: str = "id", te
         (insolvency_risk(content) if risk_terms is None else insolvency_risk(content, risk_terms)).alias("insolvency_risk"),
     )
     scored = df if texts is None else texts
-    scores = sentiment_scores(scored, lexicon, id_col=id_col, text=F.coalesce(F.col("content"), F.lit("")))
-    out = narrow.join(scores, id_col, "left").withColumn(
+    scores = sentiment_scores(scored, lexicon, text=content)
+    out = narrow.join(scores, "_skey", "left").withColumn(
         "sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(0.0))
     ).withColumn("sentiment_label", sentiment_label("sentiment_score"))
     return out.select(id_col, *ENRICHED_COLUMNS)

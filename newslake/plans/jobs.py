@@ -104,17 +104,14 @@ def merge_batch(existing: DataFrame | None, batch: DataFrame, *, processing_date
     return merged, quarter
 
 
-def tag_batch(articles: DataFrame, entities_csv: DataFrame, *, alias_sep: str | None = ";", boundary: str = "lenient", on_error: str = "quarantine") -> DataFrame:
+def tag_batch(articles: DataFrame, entities_csv: DataFrame, *, alias_sep: str | None = ";", boundary: str = "lenient", on_error: str = "quarantine", order: str | None = None) -> DataFrame:
     """Tagger flow: validate/normalize (FIL9, PRJ3) then whole-word dictionary tags (JOI1).
 
     ``platforms_mentioned`` is replaced whole, so re-tagging is idempotent (SNK5).
     """
     norm = normalize_articles(articles, on_error=on_error)
-    dictionary = entity_dictionary(entities_csv, alias_sep=alias_sep)
-    # Row key for the anchor-join path: equal rows get equal keys, which is harmless
-    # (their tags are equal too).
-    keyed = norm.withColumn("_tag_id", article_key(norm))
-    return tag_entities(keyed, dictionary, boundary=boundary, id_col="_tag_id").drop("_tag_id")
+    dictionary = entity_dictionary(entities_csv, alias_sep=alias_sep, order=order)
+    return tag_entities(norm, dictionary, boundary=boundary)
 
 
 def digest_batch(tagged: DataFrame, *, formats: str = "iso") -> DataFrame:

@@ -18,7 +18,7 @@ gl AS (
   FROM ch
 ),
 grams AS (SELECT id, lang, unnest(gs) AS gram FROM gl),
-prof AS (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY lang, gram),
+prof AS (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL AND id % 2 = 0 GROUP BY lang, gram),
 stats AS (SELECT lang, sum(n) AS n_lang FROM prof GROUP BY lang),
 v AS (SELECT count(DISTINCT gram) AS v FROM prof),
 sh AS (SELECT grams.id, prof.lang, sum(ln(prof.n + 1)) AS s FROM grams JOIN prof ON grams.gram = prof.gram GROUP BY grams.id, prof.lang),
@@ -28,18 +28,18 @@ cand AS (
   FROM tot CROSS JOIN stats CROSS JOIN v LEFT JOIN sh ON sh.id = tot.id AND sh.lang = stats.lang
 ),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS rk FROM cand)
-SELECT id, CASE WHEN tt > 0 THEN lang ELSE 'en' END AS lang_pred FROM r WHERE rk = 1
+SELECT id, CASE WHEN tt > 0 THEN lang ELSE 'en' END AS lang_pred FROM r WHERE rk = 1 AND id % 2 <> 0
 """
 
 
 @query("language_id", LANG_SQL)
 def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train gram profiles on the labelled documents, then score every document."""
+    """Train gram profiles on the labelled documents of even id, then score those of odd id."""
     from newslake.operators.language import identify_language, train_profile
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("text").alias("content"))
-    profile = train_profile(docs, lang="lang", text="content")
-    return identify_language(docs, profile)
+    profile = train_profile(docs.where("id % 2 = 0"), lang="lang", text="content")
+    return identify_language(docs.where("id % 2 <> 0"), profile)
 
 
 def _stopwords_sql() -> str:
@@ -91,15 +91,16 @@ h0 AS (
 ),
 h AS (SELECT id, term, tf, rel * pos / (cas + norm / rel + spread / rel) AS h FROM h0),
 r AS (SELECT id, term, row_number() OVER (PARTITION BY id ORDER BY h / (tf * (1.0 + h)), term) AS rk FROM h)
-SELECT id, string_agg(term, '|' ORDER BY rk) AS keywords FROM r WHERE rk <= 10 GROUP BY id
+SELECT d.id, coalesce(string_agg(term, '|' ORDER BY rk), '') AS keywords
+FROM d LEFT JOIN r ON d.id = r.id AND rk <= 10 GROUP BY d.id
 """
 
 
 @query("keywords_ranked", KEYWORDS_RANKED_SQL)
 def q_keywords_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from newslake.operators.keywords import ranked_keywords
+    from newslake.operators.keywords import with_ranked_keywords
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
-    return ranked_keywords(docs, id_col="id", text="content", top_k=10).select(
+    return with_ranked_keywords(docs, id_col="id", text="content", top_k=10).select(
         "id", F.array_join("keywords", "|").alias("keywords")
     )

@@ -36,14 +36,18 @@ TEST_DICTIONARY = [
 ]
 
 
+# As many aliases as a real dictionary has: most of them occur nowhere.
+FULL_DICTIONARY = TEST_DICTIONARY + [(f"Holding {i}", f"zq{i} {('capital', 'fund', '& co', 'lending')[i % 4]}") for i in range(300)]
+
+
 def _test_dictionary(spark: SparkSession) -> DataFrame:
-    return dictionary_from_pairs(spark, TEST_DICTIONARY)
+    return dictionary_from_pairs(spark, FULL_DICTIONARY)
 
 
 def _tag_sql_parts() -> str:
     branches = [
         f"SELECT id, {S.lit(e)} AS entity FROM hay WHERE {S.word_match('h', a.lower())}"
-        for e, a in TEST_DICTIONARY
+        for e, a in FULL_DICTIONARY
     ]
     return (
         "hay AS (SELECT id, lower(title || ' ' || content) AS h FROM art),\n"
@@ -63,12 +67,31 @@ TAG_SQL = f"WITH {S.ARTICLES_CTE}, {_tag_sql_parts()}\nSELECT id, platforms FROM
 
 @query("tag_entities_word", TAG_SQL)
 def q_tag_entities_word(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tag_docs(spark, sf_dir, "inline").select("id", joined("platforms_mentioned").alias("platforms"))
+    return _tag_docs(spark, sf_dir, "literal").select("id", joined("platforms_mentioned").alias("platforms"))
 
 
 @query("tag_entities_anchor", TAG_SQL)
 def q_tag_entities_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tag_docs(spark, sf_dir, "anchor").select("id", joined("platforms_mentioned").alias("platforms"))
+    return _tag_docs(spark, sf_dir, "join").select("id", joined("platforms_mentioned").alias("platforms"))
+
+
+SHARED_URL_SQL = f"""WITH {S.ARTICLES_CTE}, {_tag_sql_parts()}
+SELECT art.id, 'src://' || coalesce(source, '') AS url, platforms AS literal_platforms, platforms AS join_platforms
+FROM art JOIN tags ON art.id = tags.id
+"""
+
+
+def _shared_url(df: DataFrame) -> DataFrame:
+    """Articles that name their source as URL: a few URLs for all rows."""
+    return df.withColumn("url", F.concat(F.lit("src://"), F.coalesce(F.col("source"), F.lit(""))))
+
+
+@query("tag_shared_url", SHARED_URL_SQL)
+def q_tag_shared_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that share a URL keep their own tags, whatever way the dictionary travels."""
+    arts, d = _shared_url(doc_articles(spark, sf_dir)), _test_dictionary(spark)
+    out = tag_entities(tag_entities(arts, d, strategy="literal", out="a"), d, strategy="join", out="b")
+    return out.select("id", "url", joined("a").alias("literal_platforms"), joined("b").alias("join_platforms"))
 
 
 EXTRACT_DAY_SQL = (
@@ -402,6 +425,26 @@ def q_enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(out, ENRICHED_LIST_COLUMNS)
 
 
+ENRICH_SHARED_SQL = f"""WITH {S.ARTICLES_CTE},
+texts AS (SELECT id, content AS txt FROM art),
+{sentiment_sql("texts")}
+SELECT 'src://' || coalesce(source, '') AS url, title, round(sent.score, 6) AS sentiment_score,
+       CASE WHEN sent.score > 0.1 THEN 'positive' WHEN sent.score < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label
+FROM art JOIN sent ON art.id = sent.id
+"""
+
+
+@query("enrich_shared_url", ENRICH_SHARED_SQL)
+def q_enrich_shared_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analyzer job over articles whose only key is a shared URL: each is scored by itself."""
+    from newslake.plans.jobs import enrich_batch
+
+    arts = _shared_url(doc_articles(spark, sf_dir)).drop("id")
+    return enrich_batch(arts, _lexicon(spark)).select(
+        "url", "title", F.round("sentiment_score", 6).alias("sentiment_score"), "sentiment_label"
+    )
+
+
 OBJECT_DEDUPE_SQL = f"""WITH {S.ARTICLES_CTE},
 r AS (SELECT id, lang, content, row_number() OVER (PARTITION BY title, content, lang ORDER BY seq) AS rn FROM art)
 SELECT id, lang, content FROM r WHERE rn = 1

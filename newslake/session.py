@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
+# A side of a join is broadcast only if its measured bytes stay under this bound.
+BROADCAST_BYTES = 32 << 20
+
 # Settings every job wants, on a laptop or on a 1000-executor cluster.
 BASE_CONF = {
     "spark.ui.enabled": "false",
@@ -55,8 +60,9 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir``, as a cluster names it). Only when it
-    is unset -- tests and local runs -- a fresh folder is created and registered.
+    Read from the session (``spark.checkpoint.dir``, as a cluster names it). Only when it is
+    unset on a local master -- tests and local runs -- a fresh folder is created and registered;
+    on a cluster a missing setting is an error, since executors do not share local disks.
     """
     try:
         sc = spark.sparkContext
@@ -64,6 +70,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master or ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="newslake-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -80,6 +89,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/newslake/{name}-{token}"
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def drop_scratch() -> None:
+    """Delete the tables that ``materialize`` wrote: call it when their readers are done.
+
+    Runs by itself at the end of the driver process, while its session is still up.
+    """
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001 -- the session is gone; its shared folder is cleaned by its owner
+            return
+
+
+atexit.register(drop_scratch)
+
+
 def materialize(df, name: str):
     """Write ``df`` once as a Parquet table under the checkpoint folder and read it back.
 
@@ -87,5 +117,6 @@ def materialize(df, name: str):
     plan exactly once, unlike an uncached ``checkpoint()``, which runs it twice.
     """
     path = scratch_path(df.sparkSession, name)
+    _SCRATCH.append((df.sparkSession, path))
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
