@@ -2,20 +2,22 @@
 
 Training is a hash aggregate ``groupBy(lang, gram).count()`` over the gram occurrences
 of labelled text (partial aggregation per task keeps the hash tables vocabulary-sized).
-Scoring joins every gram occurrence of a document to a *wide* profile -- one row per
-gram, one weight column ``ln(n_{g,lang} + 1)`` per language, broadcast while a bounded
-count keeps it under ``BROADCAST_MAX`` rows -- and sums the weights per document:
+Scoring counts the grams of each text first, so a frequent gram is one row per text, then
+joins (text, gram, count) with the profile, one row per (gram, language), broadcast only
+while its measured bytes allow, and sums per (text, language):
 
     score(lang) = sum_g c_g * ln(n_{g,lang} + 1) - T * ln(N_lang + V)
 
 which equals ``sum_g c_g * ln((n_{g,lang} + 1) / (N_lang + V))`` (add-one smoothing; ``T``
 grams in the document, ``N_lang`` grams of the language, ``V`` distinct grams). The
-highest score wins, ties by language code; a document without grams gets ``en``. The
-language set is small and bounded (it is collected to build the wide profile).
+highest score wins, ties by language code; a document without grams gets ``en``. Texts are
+keyed by their digest: rows that share an id are scored by themselves. Grams are taken by
+code point. Only one number per language comes to the driver.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -23,21 +25,26 @@ from pyspark.sql import functions as F
 
 from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col
-from newslake.session import materialize
+from newslake.session import BROADCAST_BYTES, materialize
 
-BROADCAST_MAX = 1_000_000
-MAX_LANGUAGES = 1000
 FALLBACK = "en"
 
 
 def char_windows(text: Column | str, n_max: int = 3) -> Column:
-    """The up-to-``n_max``-character window starting at every position of the lowercased text.
+    """The up-to-``n_max``-character window starting at every code point of the lowercased text.
 
-    One linear regex pass (a zero-width lookahead capture per position). The prefixes of
-    the windows are exactly the text's 1..n_max-grams (see ``window_grams``).
+    One linear regex pass cuts the text into code points. The prefixes of the windows are
+    exactly the text's 1..n_max-grams (see ``window_grams``).
     """
     t = F.lower(F.coalesce(as_col(text), F.lit("")))
-    return F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{1,{n_max}}}))"), 1)
+    points = F.regexp_extract_all(t, F.lit("(?s)(.)"), 1)
+
+    def windows(c: Column) -> Column:
+        def window(x: Column, i: Column) -> Column:
+            return F.concat(x, *[F.coalesce(F.get(c, i + k), F.lit("")) for k in range(1, n_max)])
+        return F.transform(c, window)
+
+    return F.element_at(F.transform(F.array(points), windows), 1)
 
 
 def window_grams(window: Column | str, n_max: int = 3) -> Column:
@@ -46,11 +53,6 @@ def window_grams(window: Column | str, n_max: int = 3) -> Column:
     return F.slice(F.array(*[F.substring(w, 1, k) for k in range(1, n_max + 1)]), 1, F.length(w))
 
 
-def char_grams(text: Column | str, n_max: int = 3) -> Column:
-    """All character 1..n_max-grams of the lowercased text, as one array (small inputs)."""
-    return F.flatten(F.transform(char_windows(text, n_max), lambda w: window_grams(w, n_max)))
-
-
 def explode_grams(df: DataFrame, keep: list[str], text: Column | str, n_max: int = 3) -> DataFrame:
     """One row per gram occurrence: ``keep`` columns + ``gram`` (windows, then prefixes)."""
     wins = explode_with_pos(df, keep, char_windows(text, n_max), "_wp", "_w")
@@ -58,8 +60,8 @@ def explode_grams(df: DataFrame, keep: list[str], text: Column | str, n_max: int
 
 
 def gram_total(text: Column | str, n_max: int = 3) -> Column:
-    """Number of grams ``char_grams`` yields, computed without exploding."""
-    length = F.length(F.coalesce(as_col(text), F.lit("")))
+    """Number of grams of the text, computed without exploding."""
+    length = F.length(F.lower(F.coalesce(as_col(text), F.lit(""))))
     total = F.lit(0)
     for k in range(1, n_max + 1):
         total = total + F.greatest(length - k + 1, F.lit(0))
@@ -75,54 +77,40 @@ def train_profile(labelled: DataFrame, *, lang: str = "lang", text: str = "text"
     )
 
 
-def _lang_col(lang: str) -> str:
-    return "w_" + "".join(ch if ch.isalnum() else "_" for ch in lang)
-
-
 def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id", text: str = "content", out: str = "lang_pred") -> DataFrame:
     """``(id, lang_pred)`` for every row of ``df``.
 
     The profile (bounded by vocabulary x languages) is written once as a table in the
-    session's checkpoint folder, so the driver-side statistics and the scoring join read
+    session's checkpoint folder, so the per-language totals and the scoring join read
     it instead of recomputing the training explode.
     """
     profile = materialize(profile, "language-profile")
-    stats = profile.groupBy("lang").agg(F.sum("n").alias("n_lang")).limit(MAX_LANGUAGES + 1).collect()
-    if len(stats) > MAX_LANGUAGES:
-        raise ValueError("too many languages in the profile")
+    stats = profile.groupBy("lang").agg(
+        F.sum("n").alias("n_lang"), F.sum(F.octet_length("gram") + F.octet_length("lang") + 8).alias("size")).collect()
     if not stats:
         return df.select(F.col(id_col), F.lit(FALLBACK).alias(out))
     vocab = profile.select("gram").distinct().count()
-    langs = sorted(r["lang"] for r in stats)
-    norm = {r["lang"]: math.log(r["n_lang"] + vocab) for r in stats}
-
-    wide = profile.groupBy("gram").agg(
-        *[F.max(F.when(F.col("lang") == F.lit(l), F.log(F.col("n") + F.lit(1.0)))).alias(_lang_col(l)) for l in langs]
-    )
-    n_wide = wide.limit(BROADCAST_MAX + 1).count()
-    wide = F.broadcast(wide) if n_wide <= BROADCAST_MAX else wide
-
-    docs = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
-    zero = [F.lit(0.0).alias(_lang_col(l)) for l in langs]
-    occurrences = (
-        explode_grams(docs, ["_id"], "_t")
-        .join(wide, "gram")
-        .select("_id", F.lit(None).cast("long").alias("_T"), *[F.coalesce(F.col(_lang_col(l)), F.lit(0.0)).alias(_lang_col(l)) for l in langs])
-    )
-    totals = docs.select("_id", gram_total("_t").alias("_T"), *zero)
-    sums = totals.unionByName(occurrences).groupBy("_id").agg(
-        F.max("_T").alias("_T"), *[F.sum(_lang_col(l)).alias(_lang_col(l)) for l in langs]
+    side = profile.select("gram", "lang", F.log(F.col("n") + F.lit(1.0)).alias("w"))
+    if 4 * sum(r["size"] for r in stats) <= BROADCAST_BYTES:
+        side = F.broadcast(side)
+    docs = df.select(F.col(id_col), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_k"), F.col(text).alias("_t"))
+    grams = explode_grams(docs, ["_k"], "_t").groupBy("_k", "gram").agg(F.count(F.lit(1)).alias("n"))
+    found = (
+        grams.join(side, "gram").groupBy("_k", "lang").agg(F.sum(F.col("n") * F.col("w")).alias("s"))
+        .groupBy("_k").agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("_s"))
     )
+    # Equal texts were counted together: their totals add up like their grams.
+    keyed = docs.select(id_col, "_k", gram_total("_t").alias("_T"))
+    totals = keyed.groupBy("_k").agg(F.sum("_T").alias("_sum"))
     # (-score, lang) pairs; the smallest is the best language (ties by language code).
-    cands = F.array(*[
-        F.struct((F.col("_T") * F.lit(norm[l]) - F.col(_lang_col(l))).alias("neg"), F.lit(l).alias("lang"))
-        for l in langs
-    ])
-    best = F.array_min(cands)["lang"]
-    return sums.select(
-        F.col("_id").alias(id_col),
-        F.when(F.col("_T") > 0, best).otherwise(F.lit(FALLBACK)).alias(out),
-    )
+    norms = [{"lang": r["lang"], "norm": math.log(r["n_lang"] + vocab)} for r in sorted(stats, key=lambda r: r["lang"])]
+    langs = F.from_json(F.lit(json.dumps(norms)), "array<struct<lang: string, norm: double>>")
+    best = F.array_min(F.transform(langs, lambda g: F.struct(
+        (F.col("_sum") * g["norm"] - F.coalesce(F.try_element_at("_s", g["lang"]), F.lit(0.0))).alias("neg"),
+        g["lang"].alias("lang"))))["lang"]
+    scored = totals.join(found, "_k", "left").select("_k", best.alias("_best"))
+    return keyed.join(scored, "_k").select(
+        F.col(id_col), F.when(F.col("_T") > 0, F.col("_best")).otherwise(F.lit(FALLBACK)).alias(out))
 
 
-__all__ = ["char_grams", "char_windows", "explode_grams", "gram_total", "identify_language", "train_profile", "window_grams"]
+__all__ = ["char_windows", "explode_grams", "gram_total", "identify_language", "train_profile", "window_grams"]
