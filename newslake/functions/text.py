@@ -141,9 +141,38 @@ def strip_markup_blocks(html: Column | str) -> Column:
     )
 
 
+# The named references that prose and links use; the ampersand comes last.
+NAMED_REFERENCES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&hellip;", "…"),
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+    ("&amp;", "&"),
+]
+
+
+def _code_point(ref: Column) -> Column:
+    """The character of a numeric reference's digits (decimal, or hex behind an x), NULL if none."""
+    number = F.when(ref.rlike("^[xX]"), F.conv(F.substr(ref, F.lit(2)), 16, 10)).otherwise(ref).cast("long")
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32"))
+
+
+def decode_references(c: Column | str) -> Column:
+    """Decode HTML character references: numeric ones and those of ``NAMED_REFERENCES``."""
+    text = as_col(c)
+    numeric = r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+    def piece(p: Column, i: Column) -> Column:
+        ref = F.regexp_extract(p, numeric, 1)
+        ch = F.when((i > 0) & (ref != ""), _code_point(ref))
+        return F.when(ch.isNotNull(), F.concat(ch, F.substr(p, F.length(ref) + 2))).when(
+            i > 0, F.concat(F.lit("&#"), p)).otherwise(p)
+
+    out = F.when(text.contains("&#"), F.array_join(F.transform(F.split(text, "&#"), piece), "")).otherwise(text)
+    for ref, ch in NAMED_REFERENCES:
+        out = F.replace(out, F.lit(ref), F.lit(ch))
+    return F.when(text.contains("&"), out).otherwise(text)
+
+
 def strip_tags(c: Column | str) -> Column:
-    """Remove tags, decode the common entities, collapse whitespace and strip."""
-    out = F.regexp_replace(as_col(c), r"<[^>]*>", "")
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return strip(out)
+    """Remove tags, decode character references, strip."""
+    return strip(decode_references(F.regexp_replace(as_col(c), r"<[^>]*>", "")))

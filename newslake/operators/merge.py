@@ -1,11 +1,12 @@
 """Upsert of a batch into an accumulated table (SNK3, SNK4, JOI6, SET2).
 
 ``existing`` is the big side (all history), ``batch`` the increment. The merge never
-re-deduplicates history: it dedupes the batch first-seen, finds which batch keys already
-exist, and appends the rest. Finding the existing keys is a *semi-join of existing
-against the batch keys*: when the batch has at most ``broadcast_max_rows`` keys (checked
-with a bounded count) the batch keys are broadcast and existing is filtered map-side
-without a shuffle; otherwise both sides shuffle on the key (AQE handles skew).
+re-deduplicates history: it dedupes the batch first-seen, once, into a written table,
+finds which batch keys already exist, and appends the rest. Finding the existing keys is a
+*semi-join of existing against the batch keys*: while the keys' measured bytes allow, the
+batch keys are broadcast and existing is filtered map-side without a shuffle; otherwise
+both sides shuffle on the key (AQE handles skew). ``new_rows`` is what a table that is
+appended to needs; ``merge_upsert`` puts history in front of it.
 """
 
 from __future__ import annotations
@@ -15,58 +16,42 @@ from pyspark.sql import functions as F
 
 from newslake.functions.dates import quarter_label
 from newslake.operators.dedupe import dedupe_first
+from newslake.session import BROADCAST_BYTES, materialize
 
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def _existing_keys_in_batch(existing: DataFrame, batch_keys: DataFrame, key: str, broadcast_max_rows: int) -> DataFrame:
-    n = batch_keys.limit(broadcast_max_rows + 1).count()
-    right = F.broadcast(batch_keys) if n <= broadcast_max_rows else batch_keys
-    return existing.select(key).join(right, key, "left_semi")
+def new_rows(existing: DataFrame, batch: DataFrame, *, key: str, order: list[Column | str]) -> DataFrame:
+    """The batch rows whose key is new, first-seen within the batch; rows without a key as they are."""
+    # First-seen per key inside the batch: one partial aggregate, keys already distinct.
+    fresh = materialize(dedupe_first(batch.filter(F.col(key).isNotNull()), F.col(key), order, null_key="drop"), "merge-batch")
+    keys = fresh.select(key)
+    size = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
+    seen = existing.select(key).join(F.broadcast(keys) if 4 * size <= BROADCAST_BYTES else keys, key, "left_semi")
+    # Rows without a key cannot match anything.
+    return fresh.join(seen, key, "left_anti").unionByName(batch.filter(F.col(key).isNull()))
 
 
-def merge_upsert(
-    existing: DataFrame,
-    batch: DataFrame,
-    *,
-    key: str,
-    order: list[Column | str],
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def merge_upsert(existing: DataFrame, batch: DataFrame, *, key: str, order: list[Column | str]) -> DataFrame:
     """``existing`` plus the batch rows whose key is new, first-seen within the batch.
 
     Both frames carry the key column ``key`` (NULL keys are kept, as in DED2) and the
     ``order`` columns. The result has ``existing``'s columns plus ``origin``.
     """
-    keyed = batch.filter(F.col(key).isNotNull())
-    # First-seen per key inside the batch: one partial aggregate, keys already distinct.
-    fresh = dedupe_first(keyed, F.col(key), order, null_key="drop")
-    seen = _existing_keys_in_batch(existing, fresh.select(key), key, broadcast_max_rows)
-    added = fresh.join(seen, key, "left_anti")
-    # Rows without a key cannot match anything; they are appended as they are.
-    unkeyed = batch.filter(F.col(key).isNull())
-    return (
-        existing.withColumn("origin", F.lit("existing"))
-        .unionByName(added.withColumn("origin", F.lit("batch")), allowMissingColumns=True)
-        .unionByName(unkeyed.withColumn("origin", F.lit("batch")), allowMissingColumns=True)
-    )
+    added = new_rows(existing, batch, key=key, order=order)
+    return existing.withColumn("origin", F.lit("existing")).unionByName(
+        added.withColumn("origin", F.lit("batch")), allowMissingColumns=True)
 
 
-def merge_metrics(existing: DataFrame, batch: DataFrame, merged: DataFrame) -> DataFrame:
-    """Run metrics in long form ``(metric, value)``: existing, incoming, kept, dropped."""
-    inc = batch.agg(F.count(F.lit(1)).alias("n"))
-    kept = merged.agg(F.count_if(F.col("origin") == F.lit("batch")).alias("n"))
-    rows = [
-        existing.agg(F.count(F.lit(1)).alias("value")).select(F.lit("existing").alias("metric"), "value"),
-        inc.select(F.lit("incoming").alias("metric"), F.col("n").alias("value")),
-        kept.select(F.lit("kept").alias("metric"), F.col("n").alias("value")),
-    ]
-    out = rows[0].unionByName(rows[1]).unionByName(rows[2])
-    dropped = out.agg(
-        (F.sum(F.when(F.col("metric") == "incoming", F.col("value")).otherwise(0))
-         - F.sum(F.when(F.col("metric") == "kept", F.col("value")).otherwise(0))).alias("value")
-    ).select(F.lit("dropped").alias("metric"), "value")
-    return out.unionByName(dropped)
+def merge_metrics(existing: DataFrame, batch: DataFrame, added: DataFrame) -> DataFrame:
+    """Run metrics in long form ``(metric, value)``: existing, incoming, kept, dropped.
+
+    ``added`` is what ``new_rows`` gave. One aggregate over the three, each read once.
+    """
+    rows = existing.select(F.lit("existing").alias("m")).unionByName(batch.select(F.lit("incoming").alias("m")))
+    rows = rows.unionByName(added.select(F.lit("kept").alias("m")))
+    n = rows.agg(*[F.count_if(F.col("m") == m).alias(m) for m in ("existing", "incoming", "kept")])
+    named = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("existing", "incoming", "kept")]
+    dropped = F.struct(F.lit("dropped").alias("metric"), (F.col("incoming") - F.col("kept")).alias("value"))
+    return n.select(F.inline(F.array(*named, dropped)))
 
 
 def merge_quarter(
@@ -76,7 +61,6 @@ def merge_quarter(
     key: str,
     order: list[Column | str],
     processing_date: Column | str,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """SNK4: upsert into a table partitioned by ``quarter``.
 
@@ -92,7 +76,7 @@ def merge_quarter(
     bk = b.withColumn(
         qkey, F.when(F.col(key).isNotNull(), F.concat_ws("\u0001", "quarter", F.col(key).cast("string")))
     )
-    merged = merge_upsert(ex, bk, key=qkey, order=order, broadcast_max_rows=broadcast_max_rows)
+    merged = merge_upsert(ex, bk, key=qkey, order=order)
     return merged.drop(qkey)
 
 
@@ -105,4 +89,4 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     return path
 
 
-__all__ = ["merge_metrics", "merge_quarter", "merge_upsert", "write_table"]
+__all__ = ["merge_metrics", "merge_quarter", "merge_upsert", "new_rows", "write_table"]

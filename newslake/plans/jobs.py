@@ -17,10 +17,12 @@ from newslake.operators.digest import daily_digest
 from newslake.operators.enrich import enrich_articles
 from newslake.operators.filters import QUERY, apply_query_filter
 from newslake.operators.keywords import with_ranked_keywords
+from newslake.operators.language import identify_language
 from newslake.operators.match import entity_dictionary, tag_entities
-from newslake.operators.merge import merge_upsert
+from newslake.operators.merge import merge_quarter, merge_upsert
 from newslake.operators.normalize import normalize_articles
-from newslake.sources.feeds import payload_articles, read_rss_items, rss_articles, union_sources
+from newslake.operators.order import newest_first
+from newslake.sources.feeds import COLLECTORS, landed_texts, payload_articles, read_rss_items, rss_articles, union_sources
 from newslake.sources.json_files import read_json_arrays, with_seq
 from newslake.schemas import ARTICLE_FIELDS
 
@@ -34,19 +36,26 @@ def collect_batch(
     query: str = QUERY,
     filtering: bool = False,
     top_k: int = 10,
+    labels: DataFrame | None = None,
+    collected: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Collector flow: every landed source -> uniform articles -> union -> keywords.
 
     ``landed`` maps a collector kind to its landed files (RSS XML, or JSON payloads for
-    ``newsapi``/``gnews``). ``seq`` orders the batch: collector order, file, position.
+    ``newsapi``/``gnews``); ``labels`` names feeds by file (``rss_articles``); ``collected`` holds
+    articles that are already uniform, such as those of ``section_articles``. ``seq`` orders the batch: collector order, file, position.
     """
     frames = []
     for kind, paths in landed.items():
         if kind in PAYLOAD_KINDS:
-            raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+            raw = landed_texts(spark, paths)
             arts = payload_articles(raw, "value", kind, keep=("file",))
+        elif kind in COLLECTORS and kind != "crunchbase":
+            arts = rss_articles(read_rss_items(spark, paths, whole_feed=COLLECTORS[kind].whole_feed), kind, labels=labels)
         else:
-            arts = rss_articles(read_rss_items(spark, paths), kind)
+            raise ValueError(f"unknown collector kind {kind!r}; pages are collected by section_articles")
+        frames.append((kind, apply_query_filter(arts, query, enabled=filtering)))
+    for kind, arts in (collected or {}).items():
         frames.append((kind, apply_query_filter(arts, query, enabled=filtering)))
     batch = union_sources(frames)
     batch = batch.withColumn("seq", F.struct("source_ord", "file", "pos")).withColumn(
@@ -58,17 +67,24 @@ def collect_batch(
     )
 
 
-def finanzen_snapshot(spark: SparkSession, paths: str | list[str], *, top_k: int = 10) -> DataFrame:
+def finanzen_snapshot(
+    spark: SparkSession, paths: str | list[str], *, top_k: int = 10, profile: DataFrame | None = None,
+) -> DataFrame:
     """German feed snapshot: transliterated title, ISO time, content = ranked title keywords.
 
     The keyword ranking runs on the transliterated title (one short text per item), the
-    top terms joined with ``', '`` become the content, as the snapshot writer stores them.
+    top terms joined with ``', '`` become the content, as the snapshot writer stores them. With a
+    language ``profile`` (``train_profile``) each title loses the stopwords of its own language.
     """
     from newslake.sources.feeds import finanzen_articles
 
     items = finanzen_articles(read_rss_items(spark, paths))
     keyed = items.withColumn("_kid", F.sha2(F.to_json(F.struct("file", "pos")), 256))
-    kw = with_ranked_keywords(keyed, id_col="_kid", text="title", top_k=top_k)
+    lang_col = None
+    if profile is not None:
+        keyed = keyed.join(identify_language(keyed, profile, id_col="_kid", text="title", out="_lang"), "_kid")
+        lang_col = "_lang"
+    kw = with_ranked_keywords(keyed, id_col="_kid", text="title", top_k=top_k, lang_col=lang_col).drop("_lang")
     return kw.withColumn("content", F.array_join("keywords", ", ")).drop("_kid", "keywords")
 
 
@@ -89,19 +105,27 @@ def article_key(df: DataFrame, object_cols: list[str] | None = None) -> Column:
     return key_chain(link, ident, F.col("url"), object_key(df, cols))
 
 
-def merge_batch(existing: DataFrame | None, batch: DataFrame, *, processing_date: str) -> tuple[DataFrame, DataFrame]:
-    """All-time and quarter upserts of one batch (SNK3, SNK4). Returns (all_time, quarter rows).
+def merge_batch(
+    existing: DataFrame | None, batch: DataFrame, *, processing_date: str, quarter_table: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """All-time and quarter upserts of one batch (SNK3, SNK4). Returns (all_time, quarter table).
 
-    The quarter is that of the processing date; the all-time table keeps its history and
-    appends only new keys.
+    The two tables are merged on their own: an article known to the all-time table still enters the
+    quarter of the processing date if that quarter does not hold it. Both come newest first (ORD1).
     """
     b = batch.withColumn("_key", article_key(batch))
-    ex = existing.withColumn("_key", article_key(existing)) if existing is not None else b.limit(0)
-    merged = merge_upsert(ex.drop("origin") if "origin" in ex.columns else ex, b, key="_key", order=["seq"]).drop("_key")
-    quarter = merged.filter(F.col("origin") == F.lit("batch")).withColumn(
-        "quarter", quarter_label(F.to_date(F.lit(processing_date)))
-    )
-    return merged, quarter
+
+    def known(df: DataFrame | None, like: DataFrame) -> DataFrame:
+        if df is None:
+            return like.limit(0)
+        return (df.drop("origin") if "origin" in df.columns else df).withColumn("_key", article_key(df))
+
+    day = F.to_date(F.lit(processing_date))
+    merged = merge_upsert(known(existing, b), b, key="_key", order=["seq"]).drop("_key")
+    with_quarter = b.withColumn("quarter", quarter_label(day))
+    quarter = merge_quarter(
+        known(quarter_table, with_quarter), b, key="_key", order=["seq"], processing_date=day).drop("_key")
+    return newest_first(merged, ["seq"]), newest_first(quarter, ["seq"])
 
 
 def tag_batch(articles: DataFrame, entities_csv: DataFrame, *, alias_sep: str | None = ";", boundary: str = "lenient", on_error: str = "quarantine", order: str | None = None) -> DataFrame:

@@ -70,18 +70,25 @@ def q_compact_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("day", "event_id", "user_id", "event_type")
 
 
-TOPN_SQL = """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts
-FROM events ORDER BY events.ts DESC, event_id ASC LIMIT 100
+TOPN_SQL = """SELECT event_id, event_type FROM events
+ORDER BY CASE WHEN event_type IN ('click', 'view', 'purchase') THEN date_trunc('second', ts) ELSE TIMESTAMP '1970-01-01' END DESC,
+         event_id ASC LIMIT 100
 """
 
 
 @query("newest_first_topn", TOPN_SQL)
 def q_newest_first_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 100 newest by the fallback chain: time tuple, ISO ``published``, ISO ``published_at``, epoch."""
     from newslake.operators.order import newest_n
 
-    ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    top = newest_n(ev, 100, seq=["event_id"], ts=F.col("ts"))
-    return top.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"))
+    et, ts = F.col("event_type"), F.col("ts")
+    parts = F.array(*[F.date_format(ts, p).cast("int") for p in ("yyyy", "MM", "dd", "HH", "mm", "ss")])
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.when(et == "purchase", parts).alias("published_parsed"),
+        F.when(et == "click", iso_seconds("ts")).otherwise(F.lit("n/a")).alias("published"),
+        F.when(et == "view", iso_seconds("ts")).alias("published_at"),
+    )
+    return newest_n(ev, 100, seq=["event_id"]).select("event_id", "event_type")
 
 
 def _raw_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,21 +228,23 @@ UNION ALL SELECT 'dropped', (SELECT count(*) FROM b) - (SELECT n FROM kept)
 
 @query("merge_metrics", MERGE_METRICS_SQL)
 def q_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from newslake.operators.merge import merge_metrics, merge_upsert
+    from newslake.operators.merge import merge_metrics, new_rows
 
     ex, b = _existing_first_orders(spark, sf_dir), _batch(spark, sf_dir)
-    merged = merge_upsert(ex, b, key="o_custkey", order=["o_orderdate", "o_orderkey"])
-    return merge_metrics(ex, b, merged)
+    return merge_metrics(ex, b, new_rows(ex, b, key="o_custkey", order=["o_orderdate", "o_orderkey"]))
 
 
+#: The batch is processed on one day, whatever its articles' dates: all of it goes to that day's quarter.
+PROCESSED_ON = "1997-11-15"
 QUARTER_SQL = f"""WITH q AS (
   SELECT *, CAST(year(o_orderdate) AS VARCHAR) || '_Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter FROM orders
 ), ex AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY quarter, o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
                  FROM q WHERE o_orderdate < TIMESTAMP '{MERGE_CUT}') WHERE rn = 1
 ), b AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY quarter, o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
-                 FROM q WHERE o_orderdate >= TIMESTAMP '{BATCH_FROM}') WHERE rn = 1
+  SELECT * EXCLUDE (quarter), '1997_Q4' AS quarter
+  FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+        FROM q WHERE o_orderdate >= TIMESTAMP '{BATCH_FROM}') WHERE rn = 1
 ), m AS (
   SELECT quarter, 'existing' AS origin FROM ex
   UNION ALL
@@ -258,7 +267,7 @@ def q_quarter_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     merged = merge_quarter(
         existing, _batch(spark, sf_dir), key="o_custkey", order=["o_orderdate", "o_orderkey"],
-        processing_date="o_orderdate",
+        processing_date=F.to_date(F.lit(PROCESSED_ON)),
     )
     return merged.groupBy("quarter").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("origin") == F.lit("batch")).alias("n_added")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.functions.dates import iso_seconds
-from newslake.functions.text import strip, truncate_title
+from newslake.functions.text import NAMED_REFERENCES, strip, truncate_title
 from newslake.plans import sqlparts as S
 from newslake.plans.registry import query
 from newslake.plans.tables import doc_articles, table
@@ -15,14 +15,18 @@ from newslake.sources.html import site_base
 BLOCKS_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 HOST_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)"
 BASE_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)"
-ANCHOR_RE = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
+ANCHOR_RE = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
+
+
+def decode_sql(x: str) -> str:
+    """The named character references (the tables' texts hold no numeric ones)."""
+    for ent, ch in NAMED_REFERENCES:
+        x = f"replace({x}, {S.lit(ent)}, {S.lit(ch)})"
+    return x
 
 
 def strip_tags_sql(x: str) -> str:
-    out = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = f"replace({out}, {S.lit(ent)}, {S.lit(ch)})"
-    return S.strip(out)
+    return S.strip(decode_sql(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
 
 
 def first_tag_sql(body: str, tag: str) -> str:
@@ -61,7 +65,7 @@ def q_uniform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         published_at=F.lit(""), content="content", extra={"source_ord": F.lit(0)},
     )
     pages = table(spark, sf_dir, "pages")
-    meta = page_meta(pages.select("page_id", "url", "html"), id_col="page_id").join(pages.select("page_id", "url"), "page_id")
+    meta = page_meta(pages.select("page_id", "url", "html"), id_col="page_id", keep=("url",))
     pages_u = uniform_articles(
         meta, source=F.concat(F.regexp_extract("url", HOST_RE, 1), F.lit(" [Web]")), url="url",
         title="title", published_at=F.lit(""), content="first_p", extra={"source_ord": F.lit(1)},
@@ -116,8 +120,9 @@ def q_payload_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINKS_SQL = f"""WITH {PAGES_CTE},
 l AS (SELECT page_id, url, regexp_extract_all(body, {S.lit(ANCHOR_RE)}, 1) AS hrefs,
              regexp_extract_all(body, {S.lit(ANCHOR_RE)}, 2) AS inners FROM pg),
-u AS (SELECT page_id, url, unnest(hrefs) AS href, unnest(inners) AS inner_html,
-             unnest(range(len(hrefs))) AS pos FROM l)
+q AS (SELECT page_id, url, unnest(hrefs) AS raw, unnest(inners) AS inner_html,
+             unnest(range(len(hrefs))) AS pos FROM l),
+u AS (SELECT *, {decode_sql("""regexp_replace(raw, '^["'']|["'']$', '', 'g')""")} AS href FROM q)
 SELECT page_id, CAST(pos AS INTEGER) AS pos, href, {strip_tags_sql('inner_html')} AS text,
        CASE WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(url, {S.lit(BASE_RE)}, 1) || href END AS abs_url
 FROM u
@@ -131,6 +136,93 @@ def q_html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(table(spark, sf_dir, "pages"))
 
 
+QUOTING_SQL = """SELECT page_id, pos, CASE pos WHEN 0 THEN 'http://h/c?x=1&y=' || CAST(page_id AS VARCHAR) WHEN 1 THEN '/bare' ELSE '/Ω"é' END AS href,
+       CASE pos WHEN 0 THEN 'single é ’' WHEN 1 THEN 'bare' ELSE 'double &#xD800;' END AS text
+FROM pages CROSS JOIN (VALUES (0), (1), (2)) AS p(pos)
+"""
+
+
+@query("html_links_quoting", QUOTING_SQL)
+def q_html_links_quoting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links in single, no and double quotes, with character references in links and texts."""
+    from newslake.sources.html import page_links
+
+    pid = F.col("page_id").cast("string")
+    added = F.concat(
+        F.lit("<A class=x HREF = 'http://h/c?x=1&amp;y="), pid, F.lit("'>single &#233; &#x2019;</A><script><a href='no'>no</a></script>"),
+        F.lit("<a href=/bare>bare</a><a data-x='1' href=\"/&#937;&quot;&#xe9;\">double &#xD800;</a>"),
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", added.alias("html"))
+    return page_links(pages).select("page_id", "pos", "href", "text")
+
+
+FEED_KINDS = 5  # every fifth event's feed is broken in one way or another
+
+
+def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed per event with two items; by id the second one is sound, holds a bare &, or is cut off."""
+    ev = table(spark, sf_dir, "events").select("event_id")
+    eid = F.col("event_id").cast("string")
+    first = F.concat(F.lit("<item><title>A &amp; "), eid, F.lit("</title><link>http://x/"), eid, F.lit("</link></item>"))
+    kind = F.col("event_id") % FEED_KINDS
+    second = (
+        F.when(kind == 1, F.concat(F.lit("<item><title>B & "), eid, F.lit("</title></item></channel></rss>")))
+        .when(kind == 2, F.concat(F.lit("<item><title>cut "), eid))
+        .otherwise(F.concat(F.lit("<item><title>B "), eid, F.lit("</title><description/></item></channel></rss>")))
+    )
+    feed = F.concat(F.lit("<?xml version='1.0'?><rss><channel><title>feed</title>"), F.when(kind != 4, first).otherwise(""),
+                    F.when(kind != 4, second).otherwise(F.lit("</channel></rss>")))
+    return ev.select("event_id", F.concat(F.lit("f"), eid, F.lit(".xml")).alias("file"), feed.alias("value"))
+
+
+FEED_ITEMS_SQL = f"""WITH e AS (SELECT event_id, 'f' || CAST(event_id AS VARCHAR) || '.xml' AS file, event_id % {FEED_KINDS} AS k FROM events)
+SELECT file, 0 AS pos, 'A & ' || CAST(event_id AS VARCHAR) AS title, k NOT IN (1, 2) AS in_whole FROM e WHERE k <> 4
+UNION ALL SELECT file, 1, 'B ' || CAST(event_id AS VARCHAR), true FROM e WHERE k IN (0, 3)
+"""
+
+
+@query("feed_items", FEED_ITEMS_SQL)
+def q_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound items with their place in the feed; ``in_whole``: also kept where a broken item drops its feed."""
+    from newslake.sources.feeds import feed_items, parse_feeds
+
+    parsed = parse_feeds(_feeds(spark, sf_dir))
+    whole = feed_items(parsed, whole_feed=True).select("file", "pos", F.lit(True).alias("in_whole"))
+    return feed_items(parsed).join(whole, ["file", "pos"], "left").select(
+        "file", "pos", "title", F.coalesce("in_whole", F.lit(False)).alias("in_whole"))
+
+
+FEED_REJECTS_SQL = f"""SELECT 'f' || CAST(event_id AS VARCHAR) || '.xml' AS file, 1 AS pos, 'malformed item' AS reason
+FROM events WHERE event_id % {FEED_KINDS} IN (1, 2)
+"""
+
+
+@query("feed_rejects", FEED_REJECTS_SQL)
+def q_feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.sources.feeds import feed_rejects, parse_feeds
+
+    return feed_rejects(parse_feeds(_feeds(spark, sf_dir)))
+
+
+PAYLOAD_REJECTS_SQL = """SELECT event_id, CASE event_type WHEN 'error' THEN 'error status' WHEN 'view' THEN 'malformed JSON'
+  ELSE 'no articles' END AS reason FROM events WHERE event_type IN ('error', 'view', 'click')
+"""
+
+
+@query("payload_rejects", PAYLOAD_REJECTS_SQL)
+def q_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newslake.sources.feeds import payload_rejects
+
+    et = F.col("event_type")
+    payload = (
+        F.when(et == "error", F.lit('{"status": "error", "message": "limit"}'))
+        .when(et == "view", F.lit('{"status": "ok", "articles": ['))
+        .when(et == "click", F.lit('{"status": "ok"}'))
+        .otherwise(F.lit('{"status": "ok", "articles": [{"title": "t"}]}'))
+    )
+    return payload_rejects(table(spark, sf_dir, "events").select("event_id", payload.alias("p")), "p", keep=("event_id",))
+
+
 META_SQL = f"""WITH {PAGES_CTE}
 SELECT page_id, {first_tag_sql('body', 'title')} AS title, {first_tag_sql('body', 'h1')} AS h1,
        {first_tag_sql('body', 'p')} AS first_p
@@ -155,9 +247,15 @@ def _section_pages(pages: DataFrame) -> DataFrame:
     grouped concatenation never gathers an unbounded group.
     """
     base = site_base("url")
-    href = F.substring(F.col("url"), F.length(base) + 1, 1 << 20)
+    path = F.replace(F.substr(F.col("url"), F.length(base) + 1), F.lit("&"), F.lit("&amp;"))
+    third = F.col("page_id") % 3
+    link = (
+        F.when(third == 0, F.concat(F.lit('"'), base, path, F.lit('"')))  # absolute
+        .when(third == 1, F.concat(F.lit("'"), path, F.lit("'")))
+        .otherwise(F.concat(F.lit('"'), path, F.lit('"')))
+    )
     frag = F.concat(
-        F.lit('<h2><a href="'), href, F.lit('">Story '), F.col("page_id").cast("string"),
+        F.lit("<h2><a href="), link, F.lit(">Story "), F.col("page_id").cast("string"),
         F.lit('</a></h2><div class="meta">by desk</div><p>Teaser '), F.col("page_id").cast("string"), F.lit("</p>"),
     )
     grouped = pages.select(
@@ -172,36 +270,6 @@ def _section_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-DEEP_SQL = f"""WITH p AS (
-  SELECT page_id, url, regexp_extract(url, {S.lit(BASE_RE)}, 1) AS base, CAST(floor(page_id / {SECTION_SIZE}) AS BIGINT) AS block
-  FROM pages
-)
-SELECT base || '#' || CAST(block AS VARCHAR) AS section,
-       CAST(row_number() OVER (PARTITION BY base, block ORDER BY page_id) AS BIGINT) AS pos,
-       'Story ' || CAST(page_id AS VARCHAR) AS title, url, page_id,
-       'Teaser ' || CAST(page_id AS VARCHAR) AS content, '' AS published
-FROM p
-"""
-
-
-@query("link_deep_join", DEEP_SQL)
-def q_link_deep_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section pages -> teasers -> join the article pages by url -> JSON-LD or teaser text."""
-    from newslake.functions.text import or_chain
-    from newslake.sources.html import jsonld_article, section_teasers
-
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    teasers = section_teasers(_section_pages(pages), id_col="section", base=F.col("base"))
-    deep = teasers.join(pages.select("url", "page_id"), "url", "inner")
-    ld = jsonld_article(pages)
-    out = deep.join(ld, "page_id", "left")
-    content = F.coalesce(or_chain(F.col("snippet"), F.coalesce(F.col("teaser_p"), F.lit(""))), F.lit(""))
-    return out.select(
-        "section", F.col("pos").cast("long").alias("pos"), "title", "url", "page_id",
-        content.alias("content"), F.coalesce(F.col("published"), F.lit("")).alias("published"),
-    )
-
-
 def _ld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a synthesized JSON-LD block whose shape depends on the page language."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -222,6 +290,42 @@ def _ld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", F.concat("html", block).alias("html"))
 
 
+DEEP_SQL = f"""WITH p AS (
+  SELECT page_id, url, regexp_extract(url, {S.lit(BASE_RE)}, 1) AS base, CAST(floor(page_id / {SECTION_SIZE}) AS BIGINT) AS block,
+         regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang,
+         strftime(TIMESTAMP '2024-01-01 00:00:00' + page_id * INTERVAL 1 MINUTE, '%Y-%m-%d') AS d
+  FROM pages
+), a AS (
+  SELECT base || '#' || CAST(block AS VARCHAR) AS section, block,
+         CAST(row_number() OVER (PARTITION BY base, block ORDER BY page_id) AS BIGINT) AS pos,
+         'Story ' || CAST(page_id AS VARCHAR) AS title, url, page_id,
+         CASE lang WHEN 'en' THEN 'D' WHEN 'fr' THEN 'B' WHEN 'de' THEN 'G' ELSE 'Teaser ' END || CAST(page_id AS VARCHAR) AS content,
+         CASE lang WHEN 'en' THEN d WHEN 'fr' THEN d WHEN 'de' THEN 'not a date' ELSE '' END AS published
+  FROM p
+)
+SELECT section, pos, title, url, page_id, content, published FROM a
+WHERE block % 4 <> 0 OR contains(lower(title || ' ' || content), 'teaser') OR contains(lower(title || ' ' || content), 'story 1')
+"""
+
+
+@query("link_deep_join", DEEP_SQL)
+def q_link_deep_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page collector: absolute and relative links, JSON-LD or teaser text, sections with keyword lists."""
+    from newslake.sources.html import section_articles
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    sections = _section_pages(pages)
+    block = F.split_part("section", F.lit("#"), F.lit(2)).cast("long")
+    words = F.array(F.lit("teaser"), F.lit("story 1"))
+    config = sections.select("section", F.when(block % 4 == 0, words).otherwise(F.array().cast("array<string>")).alias("keywords"))
+    fetched = pages.select("page_id", "url").join(_ld_pages(spark, sf_dir), "page_id")
+    out = section_articles(sections, fetched, config, keep=("page_id",))
+    return out.select(
+        F.col("source").alias("section"), F.col("pos").cast("long").alias("pos"), "title", "url", "page_id", "content",
+        F.col("published_at").alias("published"),
+    )
+
+
 JSONLD_SQL = """WITH p AS (
   SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang,
          strftime(TIMESTAMP '2024-01-01 00:00:00' + page_id * INTERVAL 1 MINUTE, '%Y-%m-%d') AS d

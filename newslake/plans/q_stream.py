@@ -6,16 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.plans.registry import query
-from newslake.session import pin_session
+from newslake.session import pin_session, scratch_path
 from newslake.streaming.ingest import (
     daily_counts, dedupe_within_watermark, run_daily_counts, run_first_seen, snapshot_stream, stream_paths,
 )
 
 
+FILES = 6
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events landed as ``FILES`` files one after the other in time order, one file a micro-batch."""
     pin_session(spark)
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    s = snapshot_stream(spark, sf_dir, schema, glob="events.parquet", max_files_per_trigger=1)
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    landed = scratch_path(spark, "landed-events")
+    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    step = ((hi or 0) - (lo or 0)) // FILES + 1
+    place = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)) / F.lit(step))
+    for i in range(FILES):
+        events.where(place == i).coalesce(1).write.mode("append").parquet(landed)
+    s = snapshot_stream(spark, landed, events.schema, max_files_per_trigger=1)
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -40,8 +50,8 @@ STREAM_WM_SQL = "SELECT DISTINCT user_id, event_type FROM events"
 
 @query("stream_watermark_dedupe", STREAM_WM_SQL)
 def q_stream_watermark_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys surviving a one-day watermark dedupe (one micro-batch: every key once)."""
-    s = dedupe_within_watermark(_events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "1 day")
+    """Keys surviving a watermark dedupe longer than the data's span, over several micro-batches: every key once."""
+    s = dedupe_within_watermark(_events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "400 days")
     sink, ckpt = stream_paths(spark, "stream-watermark")
     q = s.select("user_id", "event_type").writeStream.format("parquet").option("path", sink).option(
         "checkpointLocation", ckpt

@@ -112,6 +112,17 @@ def extract_day_sql(x: str, rfc822: bool = False) -> str:
     return base[:-1] + f", {rfc})"
 
 
+def _spread_days(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publication stamps over more than a year, so some days are quiet; every eleventh row has no date."""
+    from newslake.functions.dates import iso_seconds
+    from newslake.plans.tables import table
+
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts")
+    moved = F.col("ts") + F.make_dt_interval(days=(F.col("id") % 400).cast("int"))
+    stamp = F.when(F.col("id") % 11 == 0, F.lit("n/a")).otherwise(iso_seconds(moved))
+    return df.join(ev.select("id", stamp.alias("published_at")), "id", "left")
+
+
 def tagged_dated_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tag on the narrow document rows, drop the text, then attach the publication stamp.
 
@@ -122,7 +133,7 @@ def tagged_dated_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newslake.session import materialize
 
     tagged = tag_entities(doc_articles(spark, sf_dir), _test_dictionary(spark), strategy="auto")
-    narrow = with_published(tagged.drop("content"), spark, sf_dir).select(
+    narrow = _spread_days(tagged.drop("content"), spark, sf_dir).select(
         "id", "seq", "title", "url", "published_at", "platforms_mentioned"
     )
     return materialize(narrow, "tagged-articles")
@@ -130,8 +141,11 @@ def tagged_dated_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DIGEST_SQL = f"""WITH {S.ARTICLES_CTE}, {_tag_sql_parts()},
 dated AS (
-  SELECT a.id, a.seq, a.title, a.url, t.platforms, {extract_day_sql("coalesce(p.published_at, '')")} AS day
-  FROM art a JOIN tags t ON a.id = t.id LEFT JOIN pub p ON a.id = p.id
+  SELECT a.id, a.seq, a.title, a.url, t.platforms, {extract_day_sql("coalesce(p.stamp, '')")} AS day
+  FROM art a JOIN tags t ON a.id = t.id LEFT JOIN (
+    SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'n/a'
+      ELSE strftime(ts + CAST(event_id % 400 AS INTEGER) * INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S') END AS stamp FROM events
+  ) p ON a.id = p.event_id
 ),
 valid AS (SELECT * FROM dated WHERE day IS NOT NULL)
 SELECT day, CAST(NULL AS VARCHAR) AS status, seq, {S.strip('title')} AS title, url, platforms
@@ -155,10 +169,11 @@ def q_daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- articles
 
 DIGEST_STATUS_SQL = f"""WITH e AS (
-  SELECT event_type, {extract_day_sql("strftime(ts, '%Y-%m-%dT%H:%M:%S')")} AS day FROM events
+  SELECT event_type = 'error' AND event_id % 29 = 0 AS hit,
+         {extract_day_sql("CASE WHEN event_id % 13 = 0 THEN 'undated' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END")} AS day FROM events
 )
-SELECT day, CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN 'hits' ELSE 'no company in the news' END AS status,
-       count(*) AS n_articles, count(*) FILTER (WHERE event_type = 'error') AS n_hits
+SELECT day, CASE WHEN count(*) FILTER (WHERE hit) > 0 THEN 'hits' ELSE 'no company in the news' END AS status,
+       count(*) AS n_articles, count(*) FILTER (WHERE hit) AS n_hits
 FROM e WHERE day IS NOT NULL GROUP BY day
 """
 
@@ -168,8 +183,9 @@ def q_digest_status_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newslake.functions.dates import iso_seconds
     from newslake.plans.tables import table
 
-    ev = table(spark, sf_dir, "events").select(iso_seconds("ts").alias("published_at"), "event_type")
-    return digest_day_status(ev, hit=F.col("event_type") == F.lit("error"))
+    stamp = F.when(F.col("event_id") % 13 == 0, F.lit("undated")).otherwise(iso_seconds("ts"))
+    ev = table(spark, sf_dir, "events").select(stamp.alias("published_at"), "event_type", "event_id")
+    return digest_day_status(ev, hit=(F.col("event_type") == "error") & (F.col("event_id") % 29 == 0))
 
 
 NORMALIZE_SQL = f"""WITH {S.ARTICLES_CTE}

@@ -3,12 +3,15 @@
 Collectors differ only in labels and fallback rules, so each is a row of
 ``COLLECTORS``: the label template, whether the title/content are stripped, and whether
 a fallback applies when the first field is *absent* (``presence``) or also when it is
-*empty* (``empty``). RSS items come from Spark's XML source (``rowTag=item``); search-API
-payloads are JSON documents exploded on ``articles``.
+*empty* (``empty``). Feeds are cut at their items, each parsed by ``from_xml``; search-API
+payloads are JSON documents exploded on ``articles``. What cannot be read gives a reject row.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,56 +55,129 @@ PAYLOAD_SCHEMA = T.StructType(
     ]
 )
 
+class Collector(NamedTuple):
+    """Label template and rules of one collector."""
+
+    label: str
+    stripped: bool  # title and content
+    summary: str  # fallback: presence, empty or none
+    published: str
+    whole_feed: bool = False  # one broken item drops the feed
+
+
 # Per-collector label templates and fallback rules, in union order.
-# (kind, label template, title/content stripped, summary fallback, published fallback)
 COLLECTORS = {
-    "bloomberg": ("Bloomberg – {name} [RSS]", False, "presence", "none"),
-    "newsapi": ("{name} [NewsAPI]", False, "empty", "none"),
-    "gnews": ("{name} [GNews]", False, "none", "none"),
-    "investing": ("{name}", False, "none", "none"),
-    "sec": ("SEC Press Releases [RSS]", False, "none", "none"),
-    "crunchbase": ("{name}", False, "empty", "none"),
-    "cnbc": ("{name} [RSS]", True, "empty", "presence"),
-    "yahoo": ("{name} [RSS]", True, "empty", "empty"),
-    "sifted": ("Sifted — {name} [RSS]", False, "presence", "none"),
-    "finanzen": ("finanzen.net", False, "none", "none"),
+    "bloomberg": Collector("Bloomberg – {name} [RSS]", False, "presence", "none"),
+    "newsapi": Collector("{name} [NewsAPI]", False, "empty", "none"),
+    "gnews": Collector("{name} [GNews]", False, "none", "none"),
+    "investing": Collector("{name}", False, "none", "none"),
+    "sec": Collector("SEC Press Releases [RSS]", False, "none", "none"),
+    "crunchbase": Collector("{name}", False, "empty", "none"),
+    "cnbc": Collector("{name} [RSS]", True, "empty", "presence", True),
+    "yahoo": Collector("{name} [RSS]", True, "empty", "empty", True),
+    "sifted": Collector("Sifted — {name} [RSS]", False, "presence", "none"),
+    "finanzen": Collector("finanzen.net", False, "none", "none"),
 }
 UNION_ORDER = ["bloomberg", "newsapi", "gnews", "investing", "sec", "crunchbase", "cnbc", "yahoo", "sifted"]
 
 
-def read_rss_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+ITEM_START = r"(?i)(?=<item[\s>])"
+ITEM = r"(?is)^(<item\b.*?</item\s*>)"
+
+
+def landed_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(file, value)`` of landed files; paths that match nothing give no rows."""
+    try:
+        raw = spark.read.text(paths, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, value string")
+    return raw.select(F.col("_metadata.file_name").alias("file"), "value")
+
+
+def parse_feeds(raw: DataFrame) -> DataFrame:
+    """``file, pos, item, broken``: every ``item`` element of ``(file, value)`` feeds, in feed order.
+
+    A feed is cut at its items, so ``pos`` is the item's place in its own file whatever other files there
+    are, and one broken item does not hide the others. A feed without any item gives one row with ``pos`` -1,
+    broken unless the feed is closed properly.
+    """
+    parts = F.split("value", ITEM_START)
+    parts = raw.select("file", "value", F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))).alias("_items"))
+    end = F.rtrim("value", F.lit(" \t\r\n"))
+    rows = parts.select("file", end.alias("_feed"), F.posexplode_outer("_items").alias("pos", "_part"))
+    rows = rows.withColumn("xml", F.nullif(F.regexp_extract("_part", ITEM, 1), F.lit("")))
+    schema = T.StructType([*RSS_ITEM_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
+    item = F.from_xml("xml", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = rows.withColumn("item", item)
+    closed = F.col("_feed").rlike(r"(?i)</(?:rss|feed|rdf:RDF)>$")
+    return rows.select(
+        "file", F.coalesce("pos", F.lit(-1)).alias("pos"), "item",
+        F.when(F.col("pos").isNull(), ~closed).otherwise(
+            F.col("item").isNull() | F.col("item._corrupt_record").isNotNull()).alias("broken"),
+    )
+
+
+def read_rss_items(spark: SparkSession, paths: str | list[str], *, whole_feed: bool = False) -> DataFrame:
     """RSS ``item`` elements of landed feed files: ``file, pos, <item fields>``.
 
-    ``pos`` is increasing within a file (one file is read by one task in order). Items
-    that do not parse are dropped (a malformed feed contributes nothing, as the
-    collectors skip a feed the parser flags).
+    Broken items are left out and reported by ``feed_rejects``; with ``whole_feed`` a feed that holds a broken
+    item contributes nothing, as the collectors that check the parser's flag do it.
     """
-    items = (
-        spark.read.format("xml")
-        .option("rowTag", "item")
-        .option("mode", "DROPMALFORMED")
-        .schema(RSS_ITEM_SCHEMA)
-        .load(paths)
-        .withColumn("file", F.col("_metadata.file_name"))
+    return feed_items(parse_feeds(landed_texts(spark, paths)), whole_feed=whole_feed)
+
+
+def feed_items(parsed: DataFrame, *, whole_feed: bool = False) -> DataFrame:
+    """The sound items of ``parse_feeds`` rows."""
+    items = parsed.where(~F.col("broken") & (F.col("pos") >= 0))
+    if whole_feed:
+        items = items.join(parsed.where("broken").select("file").distinct(), "file", "left_anti")
+    return items.select("file", "pos", *[F.col(f"item.{f.name}").alias(f.name) for f in RSS_ITEM_SCHEMA.fields])
+
+
+def feed_rejects(parsed: DataFrame) -> DataFrame:
+    """``(file, pos, reason)`` of what ``parse_feeds`` could not read."""
+    reason = F.when(F.col("pos") < 0, F.lit("no item")).otherwise(F.lit("malformed item"))
+    return parsed.where("broken").select("file", "pos", reason.alias("reason"))
+
+
+def payload_rejects(df: DataFrame, payload: Column | str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(<keep>, reason)`` of payloads that give no articles: malformed JSON, an error status, no list."""
+    text = F.col(payload) if isinstance(payload, str) else payload
+    parsed = df.select(*keep, text.alias("_t"), F.from_json(text, PAYLOAD_SCHEMA).alias("_p"))
+    sound = F.try_parse_json("_t").isNotNull()
+    reason = (
+        F.when(~sound, F.lit("malformed JSON"))
+        .when(F.coalesce(F.col("_p.status"), F.lit("ok")) != "ok", F.lit("error status"))
+        .when(F.col("_p.articles").isNull(), F.lit("no articles"))
     )
-    return items.withColumn("pos", F.monotonically_increasing_id())
+    return parsed.select(*keep, reason.alias("reason")).where("reason is not null")
 
 
 def _label(kind: str, name: Column) -> Column:
-    template = COLLECTORS[kind][0]
+    template = COLLECTORS[kind].label
     if "{name}" not in template:
         return F.lit(template)
     pre, post = template.split("{name}")
     return F.concat(F.lit(pre), name, F.lit(post))
 
 
-def rss_articles(items: DataFrame, kind: str, feed_name: Column | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
+def rss_articles(
+    items: DataFrame, kind: str, feed_name: Column | None = None, extra: dict[str, Column] | None = None,
+    labels: DataFrame | None = None,
+) -> DataFrame:
     """Uniform articles from RSS items under one collector's rules (PRJ1, PRJ2).
 
     ``summary`` is the item's description (the feed parser's name for it). ``presence``
     fallback applies only when the field is absent (NULL); ``empty`` also when ``''``.
+    The feed's name is ``feed_name``, else that of its file in the config table ``labels(file,
+    label)``, else the file name without its ending.
     """
-    _, stripped, summary_rule, pub_rule = COLLECTORS[kind]
+    _, stripped, summary_rule, pub_rule, _ = COLLECTORS[kind]
+    if labels is not None:
+        items = items.join(labels.select("file", F.col("label").alias("_label")), "file", "left")
+        feed_name = F.coalesce(F.col("_label"), F.regexp_replace(F.col("file"), r"\.[^.]*$", ""))
     name = feed_name if feed_name is not None else F.regexp_replace(F.col("file"), r"\.[^.]*$", "")
     summary = F.coalesce(F.col("summary"), F.col("description")) if "summary" in items.columns else F.col("description")
     if summary_rule == "presence":
@@ -177,6 +253,7 @@ def union_sources(frames: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 __all__ = [
-    "COLLECTORS", "PAYLOAD_SCHEMA", "RSS_ITEM_SCHEMA", "UNION_ORDER", "finanzen_articles",
-    "payload_articles", "read_rss_items", "rss_articles", "union_sources",
+    "COLLECTORS", "PAYLOAD_SCHEMA", "RSS_ITEM_SCHEMA", "UNION_ORDER", "Collector", "feed_items", "feed_rejects",
+    "finanzen_articles", "landed_texts", "parse_feeds", "payload_articles", "payload_rejects", "read_rss_items",
+    "rss_articles", "union_sources",
 ]

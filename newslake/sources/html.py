@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslake.functions.arrays import explode_with_pos
-from newslake.functions.text import as_col, or_chain, strip_markup_blocks, strip_tags
-from newslake.operators.normalize import absolute_url
+from newslake.functions.text import as_col, decode_references, or_chain, strip_markup_blocks, strip_tags
+from newslake.operators.filters import section_keyword_filter
+from newslake.operators.normalize import absolute_url, uniform_articles
 
-ANCHOR = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
+VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""  # an attribute value in double, single or no quotes
+ANCHOR = rf"(?is)<a\b[^>]*?\bhref\s*=\s*{VALUE}[^>]*>(.*?)</a\s*>"
 H2_OPEN = r"(?i)<h2\b"
 H2_REST = r"(?is)^[^>]*>(.*?)</h2\s*>(.*)$"
 FIRST_P = r"(?is)<p\b[^>]*>(.*?)</p\s*>"
-LD_JSON = r'(?is)<script\b[^>]*type\s*=\s*"application/ld\+json"[^>]*>(.*?)</script\s*>'
+LD_JSON = r"""(?is)<script\b[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script\s*>"""
 
 LD_SCHEMA = T.ArrayType(
     T.StructType(
@@ -41,6 +43,11 @@ def site_base(url: Column | str) -> Column:
     return F.regexp_extract(as_col(url), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
 
 
+def attribute(raw: Column | str) -> Column:
+    """An attribute value as written: without its quotes, character references decoded."""
+    return decode_references(F.regexp_replace(as_col(raw), r"""^["']|["']$""", ""))
+
+
 def page_links(df: DataFrame, *, id_col: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """Every ``a[href]`` of a page: ``id, pos, href, text, abs_url`` (PRJ7 for relative links)."""
     body = strip_markup_blocks(F.col(html))
@@ -50,21 +57,19 @@ def page_links(df: DataFrame, *, id_col: str = "page_id", html: str = "html", ur
     )
     return (
         explode_with_pos(df, [F.col(id_col), F.col(url).alias("_url")], zipped, "pos", "a")
-        .select(
-            id_col, "pos", F.col("a.href").alias("href"), strip_tags(F.col("a.inner")).alias("text"),
-            absolute_url(F.col("a.href"), site_base("_url")).alias("abs_url"),
-        )
+        .select(id_col, "pos", attribute("a.href").alias("href"), strip_tags(F.col("a.inner")).alias("text"), "_url")
+        .withColumn("abs_url", absolute_url("href", site_base("_url"))).drop("_url")
     )
 
 
-def page_meta(df: DataFrame, *, id_col: str = "page_id", html: str = "html") -> DataFrame:
+def page_meta(df: DataFrame, *, id_col: str = "page_id", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """``id, title, h1, first_p``: text of ``<title>``, the first ``<h1>`` and ``<p>``."""
     body = strip_markup_blocks(F.col(html))
 
     def first(tag: str) -> Column:
         return strip_tags(F.regexp_extract(body, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
 
-    return df.select(F.col(id_col), first("title").alias("title"), first("h1").alias("h1"), first("p").alias("first_p"))
+    return df.select(F.col(id_col), *keep, first("title").alias("title"), first("h1").alias("h1"), first("p").alias("first_p"))
 
 
 def section_teasers(df: DataFrame, *, id_col: str, html: str = "html", base: Column | str | None = None) -> DataFrame:
@@ -83,7 +88,7 @@ def section_teasers(df: DataFrame, *, id_col: str, html: str = "html", base: Col
     ).filter(F.col("_i") > 0)
     head = F.regexp_extract(F.col("_seg"), H2_REST, 1)
     after = F.regexp_extract(F.col("_seg"), H2_REST, 2)
-    href = F.regexp_extract(head, ANCHOR, 1)
+    href = attribute(F.regexp_extract(head, ANCHOR, 1))
     return (
         segs.filter(head.rlike(ANCHOR))
         .select(
@@ -115,4 +120,28 @@ def jsonld_article(df: DataFrame, *, id_col: str = "page_id", html: str = "html"
     return first.select(id_col, day.alias("published"), snippet.alias("snippet"))
 
 
-__all__ = ["jsonld_article", "page_links", "page_meta", "section_teasers", "site_base"]
+def section_articles(
+    sections: DataFrame, pages: DataFrame, keywords: DataFrame | None = None, *, keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """The page collector: section pages -> teasers -> linked pages -> uniform articles (JOI5, JOI7, FIL3).
+
+    ``sections(section, base, html)`` are the section pages, ``pages(url, html)`` the fetched article pages,
+    ``keywords(section, keywords)`` the sections' keyword lists (none: keep all). A teaser whose page was not
+    fetched is dropped; the article's text is the page's JSON-LD text, else the teaser's paragraph. Adds
+    ``file`` (the section), ``pos`` and the page columns named by ``keep``.
+    """
+    teasers = section_teasers(sections, id_col="section", base=F.col("base"))
+    ld = jsonld_article(pages, id_col="url").select("url", "published", "snippet")
+    deep = teasers.join(pages.select("url", *keep), "url").join(ld, "url", "left")
+    content = F.coalesce(or_chain("snippet", F.coalesce(F.col("teaser_p"), F.lit(""))), F.lit(""))
+    found = deep.withColumn("content", content)
+    if keywords is not None:
+        found = section_keyword_filter(found, keywords)
+    return uniform_articles(
+        found, source=F.col("section"), url=F.col("url"), title=F.col("title"),
+        published_at=F.coalesce(F.col("published"), F.lit("")), content=F.col("content"),
+        extra={"file": F.col("section"), "pos": F.col("pos"), **{k: F.col(k) for k in keep}},
+    )
+
+
+__all__ = ["attribute", "jsonld_article", "page_links", "page_meta", "section_articles", "section_teasers", "site_base"]

@@ -40,7 +40,9 @@ def read_json_arrays(
         raw = spark.read.text(paths, wholetext=True).select(
             F.col("_metadata.file_name").alias("file"), F.col("value")
         )
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return _empty(spark, out_schema), spark.createDataFrame([], REJECT_SCHEMA)
     n = F.json_array_length("value")
     # Parse each file once; ``posexplode_outer`` + a filter on the position avoids the

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslake.operators.dedupe import dedupe_first
-from newslake.session import scratch_path
+from newslake.session import BROADCAST_BYTES, scratch_path
 
 
 def snapshot_stream(
@@ -55,20 +55,26 @@ def _first_seen_batch(sink: str, key: str, order: list[str]):
         spark = batch.sparkSession
         # The micro-batch (bounded by maxFilesPerTrigger) feeds two branches: read it once.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = dedupe_first(batch, F.col(key), order, null_key="keep")
-        if batch_id > 0:
-            # Batch 0 created the sink (possibly empty); read it with an explicit schema.
-            schema = T.StructType(fresh.schema.fields + [T.StructField("batch_id", T.LongType())])
-            seen = spark.read.schema(schema).parquet(sink).filter(F.col("batch_id") < F.lit(batch_id)).select(key)
-            fresh = fresh.join(seen, key, "left_anti")
-        (
-            fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(sink)
-        )
-        batch.unpersist()
+        try:
+            fresh = dedupe_first(batch, F.col(key), order, null_key="keep")
+            if batch_id > 0:
+                # Batch 0 created the sink (possibly empty); read it with an explicit schema. History is
+                # filtered by the batch's keys, map-side while their measured bytes allow.
+                schema = T.StructType(fresh.schema.fields + [T.StructField("batch_id", T.LongType())])
+                seen = spark.read.schema(schema).parquet(sink).filter(F.col("batch_id") < F.lit(batch_id)).select(key)
+                keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+                size = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
+                seen = seen.join(F.broadcast(keys) if 4 * size <= BROADCAST_BYTES else keys, key, "left_semi")
+                fresh = fresh.join(seen, key, "left_anti")
+            (
+                fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(sink)
+            )
+        finally:
+            batch.unpersist()
 
     return handle
 

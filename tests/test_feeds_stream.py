@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from newslake.operators.dedupe import key_chain
 from newslake.session import scratch_path
-from newslake.sources.feeds import payload_articles, read_rss_items, rss_articles, union_sources
+from newslake.sources.feeds import (
+    feed_rejects, landed_texts, parse_feeds, payload_articles, read_rss_items, rss_articles, union_sources,
+)
 from newslake.sources.json_files import read_json_arrays
 from newslake.streaming.ingest import run_first_seen, snapshot_stream
 
@@ -38,6 +40,23 @@ def test_malformed_feed_is_skipped(spark, tmp_path):
     assert {r["file"] for r in items.collect()} == {"Good.xml"}
 
 
+def test_rejects_and_whole_feeds(spark, tmp_path):
+    (tmp_path / "Mixed.xml").write_text(RSS.replace("No summary", "Bare & ampersand"))
+    (tmp_path / "Empty.xml").write_text("<rss><channel></channel></rss>")
+    (tmp_path / "Good.xml").write_text(RSS)
+    at = str(tmp_path / "*.xml")
+    parsed = parse_feeds(landed_texts(spark, at))
+    assert [(r["file"], r["pos"], r["reason"]) for r in feed_rejects(parsed).collect()] == [("Mixed.xml", 1, "malformed item")]
+    got = sorted((r["file"], r["pos"]) for r in read_rss_items(spark, at).collect())
+    assert got == [("Good.xml", 0), ("Good.xml", 1), ("Good.xml", 2), ("Mixed.xml", 0), ("Mixed.xml", 2)]
+    whole = read_rss_items(spark, at, whole_feed=True)
+    assert {r["file"] for r in whole.collect()} == {"Good.xml"}
+    labels = spark.createDataFrame([("Good.xml", "Top Markets")], "file string, label string")
+    named = rss_articles(read_rss_items(spark, at), "bloomberg", labels=labels)
+    assert {r["source"] for r in named.collect()} == {"Bloomberg – Top Markets [RSS]", "Bloomberg – Mixed [RSS]"}
+    assert read_rss_items(spark, str(tmp_path / "none-*.xml")).count() == 0
+
+
 def test_payloads(spark):
     ok = {"status": "ok", "articles": [
         {"source": {"name": "Wire"}, "title": "T", "url": "u", "publishedAt": "2025-06-21T00:00:00Z", "content": "", "description": "D"},

@@ -56,3 +56,19 @@ def test_collect_batch(spark, tmp_path):
     assert [r["source"] for r in rows] == ["Bloomberg – Markets [RSS]", "Wire [NewsAPI]"]
     assert all(len(r["keywords"]) > 0 for r in rows)
     assert collect_batch(spark, {"newsapi": str(tmp_path / "news.json")}, query="zebra", filtering=True).count() == 0
+
+
+def test_quarter_is_merged_on_its_own(spark):
+    cols = "id string, url string, title string, content string, published_at string, seq long"
+    known = spark.createDataFrame([("a", "u", "t", "c", "2025-05-01", 0)], cols)
+    batch = spark.createDataFrame([("a", "u", "t", "c", "2025-05-01", 1), ("b", "v", "t", "c", "2025-07-01", 2)], cols)
+    merged, quarter = merge_batch(known, batch, processing_date="2025-07-02")
+    assert [r["id"] for r in merged.collect()] == ["b", "a"]  # newest first
+    assert sorted((r["quarter"], r["id"]) for r in quarter.collect()) == [("2025_Q3", "a"), ("2025_Q3", "b")]
+    _, again = merge_batch(merged, batch, processing_date="2025-07-03", quarter_table=quarter)
+    assert again.count() == 2
+
+
+def test_unknown_collector_kind_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown collector"):
+        collect_batch(spark, {"crunchbase": str(tmp_path)})

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from newslake.plans import catalog
 from conftest import SF_SMALL
 from newslake.operators.dedupe import dedupe_first
 from newslake.operators.merge import merge_upsert
@@ -15,11 +15,11 @@ def plan_of(df, capsys):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_no_cartesian_or_nested_loop_joins(spark, capsys, name):
     if name.startswith("stream_"):
         pytest.skip("streaming queries run to completion before returning")
-    out = plan_of(entry.queries()[name](spark, SF_SMALL), capsys)
+    out = plan_of(catalog.all_queries()[name](spark, SF_SMALL), capsys)
     assert "CartesianProduct" not in out and "BroadcastNestedLoopJoin" not in out
 
 
@@ -39,5 +39,5 @@ def test_merge_filters_history_with_broadcast_batch_keys(spark, capsys):
 
 
 def test_digest_never_collects_a_day(spark, capsys):
-    out = plan_of(entry.queries()["daily_digest"](spark, SF_SMALL), capsys)
+    out = plan_of(catalog.all_queries()["daily_digest"](spark, SF_SMALL), capsys)
     assert "collect_list" not in out and "collect_set" not in out
