@@ -1,4 +1,4 @@
-"""Run metrics as DataFrames (AGG6, SNK9): counts per source/file, before/after deltas."""
+"""Run metrics as DataFrames (AGG6, SNK9): counts per source/file."""
 
 from __future__ import annotations
 
@@ -20,15 +20,4 @@ def source_metrics(df: DataFrame, by: str = "source") -> DataFrame:
     )
 
 
-def dedupe_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
-    """``(metric, value)`` rows: rows before and after a dedupe, and the difference."""
-    b = before.agg(F.count(F.lit(1)).alias("value")).select(F.lit("before").alias("metric"), "value")
-    a = after.agg(F.count(F.lit(1)).alias("value")).select(F.lit("after").alias("metric"), "value")
-    both = b.unionByName(a)
-    diff = both.agg(
-        F.sum(F.when(F.col("metric") == "before", F.col("value")).otherwise(-F.col("value"))).alias("value")
-    ).select(F.lit("removed").alias("metric"), "value")
-    return both.unionByName(diff)
-
-
-__all__ = ["dedupe_metrics", "source_metrics"]
+__all__ = ["source_metrics"]

@@ -57,7 +57,7 @@ def normalize_articles(df: DataFrame, *, on_error: str = "quarantine") -> DataFr
     """Normalize title/content and flag invalid rows (both empty) -- FIL9.
 
     Adds ``valid`` (boolean) and ``reject_reason``. ``on_error='fail'`` raises before any
-    write if an invalid row exists; ``'quarantine'`` keeps them flagged for ``split_valid``.
+    write if an invalid row exists; ``'quarantine'`` keeps them, flagged by ``valid``.
     """
     title, content = normalized_title_content(df)
     out = (
@@ -81,11 +81,6 @@ def normalize_articles(df: DataFrame, *, on_error: str = "quarantine") -> DataFr
     return out
 
 
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows) of a normalized article frame."""
-    return df.filter(F.col("valid")), df.filter(~F.col("valid"))
-
-
 def haystack(title: Column | str = "title", content: Column | str = "content", order: str = "title_first") -> Column:
     """Lowercased match text: ``title + ' ' + content`` (tagger) or content first (analyzer)."""
     t = F.coalesce(as_col(title), F.lit(""))
@@ -100,12 +95,7 @@ def absolute_url(href: Column | str, base: Column | str) -> Column:
     return F.when(h.startswith("http"), h).otherwise(F.concat(as_col(base), h))
 
 
-def keep_core(df: DataFrame, *extra: str) -> DataFrame:
-    """Project the core article fields plus named extras, in the collectors' order."""
-    return df.select(*ARTICLE_FIELDS, *extra)
-
-
 __all__ = [
-    "absolute_url", "haystack", "keep_core", "nonempty", "normalize_articles",
-    "normalized_title_content", "split_valid", "uniform_articles",
+    "absolute_url", "haystack", "nonempty", "normalize_articles",
+    "normalized_title_content", "uniform_articles",
 ]

@@ -44,8 +44,4 @@ ENTITY_CSV_SCHEMA = T.StructType(
     [T.StructField("entity_name", STR), T.StructField("category", STR), T.StructField("aliases", STR)]
 )
 
-DIGEST_ARTICLE = T.StructType(
-    [T.StructField("title", STR), T.StructField("url", STR), T.StructField("platforms_mentioned", STR_ARRAY)]
-)
-
 NO_HIT_STATUS = "no company in the news"

@@ -89,6 +89,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/newslake/{name}-{token}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
@@ -100,9 +106,7 @@ def drop_scratch() -> None:
     while _SCRATCH:
         spark, path = _SCRATCH.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            delete_path(spark, path)
         except Exception:  # noqa: BLE001 -- the session is gone; its shared folder is cleaned by its owner
             return
 

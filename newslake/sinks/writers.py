@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newslake.session import delete_path, materialize
+
 LIST_SEPARATOR = ", "
 
 
@@ -35,9 +37,21 @@ def write_json(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return path
 
 
-def replace_column(df: DataFrame, name: str, value) -> DataFrame:
-    """SNK5 building block: replace a column whole, so re-running is idempotent."""
-    return df.withColumn(name, value)
+def rewrite_partitions(spark, path: str, change, partition_by: list[str], only: Column | None = None) -> str:
+    """Rewrite the partitions of a Parquet table in place (SNK5, SNK8): ``change`` maps the old rows to the new.
+
+    ``only`` limits the work to the partitions it selects. The new rows are written beside the table first, so
+    the table is never read while it is overwritten; a partition that loses all its rows is emptied.
+    """
+    table = spark.read.parquet(path)
+    old = table if only is None else table.where(only)
+    new = materialize(change(old), "rewrite")
+    emptied = old.select(*partition_by).distinct().join(new.select(*partition_by).distinct(), partition_by, "left_anti")
+    folders = ["/".join(f"{c}={row[c]}" for c in partition_by) for row in emptied.collect()]
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    for folder in folders:
+        delete_path(spark, f"{path}/{folder}")
+    return path
 
 
-__all__ = ["flatten_lists", "replace_column", "write_csv", "write_json"]
+__all__ = ["flatten_lists", "rewrite_partitions", "write_csv", "write_json"]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import as_col, decode_references, or_chain, strip_markup_blocks, strip_tags
-from newslake.operators.filters import section_keyword_filter
+from newslake.operators.filters import SECTION_KEYWORDS, section_keyword_filter
 from newslake.operators.normalize import absolute_url, uniform_articles
 
 VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""  # an attribute value in double, single or no quotes
@@ -126,7 +126,8 @@ def section_articles(
     """The page collector: section pages -> teasers -> linked pages -> uniform articles (JOI5, JOI7, FIL3).
 
     ``sections(section, base, html)`` are the section pages, ``pages(url, html)`` the fetched article pages,
-    ``keywords(section, keywords)`` the sections' keyword lists (none: keep all). A teaser whose page was not
+    ``keywords(section, keywords)`` the sections' keyword lists (default: ``SECTION_KEYWORDS``; a section
+    without a list keeps all). A teaser whose page was not
     fetched is dropped; the article's text is the page's JSON-LD text, else the teaser's paragraph. Adds
     ``file`` (the section), ``pos`` and the page columns named by ``keep``.
     """
@@ -135,8 +136,10 @@ def section_articles(
     deep = teasers.join(pages.select("url", *keep), "url").join(ld, "url", "left")
     content = F.coalesce(or_chain("snippet", F.coalesce(F.col("teaser_p"), F.lit(""))), F.lit(""))
     found = deep.withColumn("content", content)
-    if keywords is not None:
-        found = section_keyword_filter(found, keywords)
+    if keywords is None:
+        keywords = pages.sparkSession.createDataFrame(
+            list(SECTION_KEYWORDS.items()), "section string, keywords array<string>")
+    found = section_keyword_filter(found, keywords)
     return uniform_articles(
         found, source=F.col("section"), url=F.col("url"), title=F.col("title"),
         published_at=F.coalesce(F.col("published"), F.lit("")), content=F.col("content"),

@@ -68,11 +68,6 @@ def with_seq(df: DataFrame, *, origin: int = 0) -> DataFrame:
     return df.withColumn("seq", F.struct(F.lit(origin).alias("origin"), F.col("file"), F.col("pos")))
 
 
-def name_day_column(file: str = "file") -> F.Column:
-    """First ``dddd-dd-dd`` in a landed file name, as a string (NULL if absent)."""
-    return F.nullif(F.regexp_extract(F.col(file), r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
-
-
 # Landed-file naming (SRC2): each selection is a path glob, so only matching files are listed.
 def daily_batch_glob(base: str, day: str) -> str:
     return f"{base.rstrip('/')}/news_{day}*.json"
@@ -95,6 +90,6 @@ def write_if_any(df: DataFrame, path: str, fmt: str = "json") -> bool:
 
 
 __all__ = [
-    "daily_batch_glob", "name_day_column", "quarter_glob", "read_json_arrays",
+    "daily_batch_glob", "quarter_glob", "read_json_arrays",
     "snapshot_glob", "with_seq", "write_if_any",
 ]
