@@ -33,18 +33,12 @@ FALLBACK = "en"
 def char_windows(text: Column | str, n_max: int = 3) -> Column:
     """The up-to-``n_max``-character window starting at every code point of the lowercased text.
 
-    One linear regex pass cuts the text into code points. The prefixes of the windows are
-    exactly the text's 1..n_max-grams (see ``window_grams``).
+    One linear regex pass (a zero-width lookahead capture per position; the second half of a
+    surrogate pair starts no window). The prefixes of the windows are exactly the text's
+    1..n_max-grams (see ``window_grams``).
     """
     t = F.lower(F.coalesce(as_col(text), F.lit("")))
-    points = F.regexp_extract_all(t, F.lit("(?s)(.)"), 1)
-
-    def windows(c: Column) -> Column:
-        def window(x: Column, i: Column) -> Column:
-            return F.concat(x, *[F.coalesce(F.get(c, i + k), F.lit("")) for k in range(1, n_max)])
-        return F.transform(c, window)
-
-    return F.element_at(F.transform(F.array(points), windows), 1)
+    return F.regexp_extract_all(t, F.lit(f"(?s)(?=([^\\uDC00-\\uDFFF].{{0,{n_max - 1}}}))"), 1)
 
 
 def window_grams(window: Column | str, n_max: int = 3) -> Column:

@@ -131,3 +131,12 @@ def test_property_digest_days_are_distinct_valid_days(spark):
     expected = {r["d"] for r in dated.select(F.date_format(moved, "yyyy-MM-dd").alias("d")).distinct().collect()}
     assert digest.where("status is not null").count() > 0  # quiet days are there
     assert days == expected
+
+
+def test_grams_are_cut_by_code_point(spark):
+    from newslake.operators.language import explode_grams, gram_total
+
+    df = spark.createDataFrame([(1, "a😀b"), (2, "É"), (3, "")], "id long, t string")
+    grams = explode_grams(df, ["id"], "t").groupBy("id").agg(F.sort_array(F.collect_list("gram")).alias("g"))
+    assert {r["id"]: r["g"] for r in grams.collect()} == {1: sorted(["a", "😀", "b", "a😀", "😀b", "a😀b"]), 2: ["é"]}
+    assert [r[0] for r in df.orderBy("id").select(gram_total("t")).collect()] == [6, 1, 0]
