@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from newslake.llm.common import worker_belongs_to
+
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BLOCK_ENTRIES = 500_000
 _WORD = re.compile(r"\w+")
-_WORD_CACHE = 400_000
+_WORD_CACHE = 200_000
 
 
 class _WordHash(dict):
@@ -175,6 +177,7 @@ def without_benchmark(
 def _clean_udf(sketches: Sketches):
     @F.pandas_udf("boolean")
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_belongs_to("decontam")
         memo = _WordHash()
         for texts in parts:
             yield pd.Series([not sketches.matches(x, memo) for x in texts], dtype=bool)

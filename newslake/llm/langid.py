@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newslake.llm.common import worker_belongs_to
+
 HIDDEN = 8
 WINDOW = 128
 LANES = 2048  # windows computed side by side: bounds the memory of a step
@@ -205,6 +207,7 @@ def train(docs: DataFrame, may_learn, docs_per_lang: int = DOCS_PER_LANG) -> Mod
     sample = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_lang)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_belongs_to("langid")
         for f in frames:
             f = f.sort_values(["lang", "rank"])
             out = {"lang": [], "k": [], "w": []}
@@ -247,6 +250,7 @@ def predict_udf(model: Model):
 
     @F.pandas_udf(SCHEMA)
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_belongs_to("langid")
         for texts in parts:
             lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             read = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if model.langs else []

@@ -12,7 +12,7 @@ symbols join to a piece that is due before either is absorbed by its own parent
 
 Pieces hold the space mark only at their front, so a text is cut before each run of space marks into words
 that encode independently; words and pair tests are memoized per Python worker in dictionaries that are
-emptied at a fixed size. Characters that no piece holds become byte pieces.
+bounded in size. Characters that no piece holds become byte pieces.
 
 The vocabulary file is a parameter (a path that every worker can read). Defined results: NULL and empty
 texts have no ids and decode to the empty text.
@@ -30,22 +30,28 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import functions as F
 
+from newslake.llm.common import worker_belongs_to
+
 MARK = "▁"
-_WORD_CACHE, _PART_CACHE, _PAIR_CACHE = 500_000, 400_000, 1_000_000
+_WORD_CACHE, _PART_CACHE, _PAIR_CACHE = 100_000, 100_000, 250_000
 _UNRANKED = 1 << 60
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class _Memo(dict):
-    """Results of ``make`` by key; emptied when it holds ``size`` of them."""
+    """Results of ``make`` by key, in two generations of at most ``size``: what is in use stays."""
 
     def __init__(self, make, size: int):
-        self.make, self.size = make, size
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
         if len(self) >= self.size:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -78,7 +84,9 @@ class Coder:
         # Rank of a piece = when it is made; a single character is there from the start.
         self.text = {i: p for p, i in self.id_of.items()}
         self.rank = {i: (rank[i] if len(p) > 1 else -1) for p, i in self.id_of.items()}
-        self.length = {i: len(p) for p, i in self.id_of.items()}
+        self.length = [0] * n
+        for p, i in self.id_of.items():
+            self.length[i] = len(p)
         self._build_splits()
         self.pairs: list[dict[int, bool]] = [{} for _ in range(n)]
         self.n_pairs = 0
@@ -156,9 +164,10 @@ class Coder:
                 continue
             start = end - length[t]
             if start:
-                ok = pairs[last[start]].get(t)
+                before = last[start]
+                ok = pairs[before].get(t)
                 if ok is None:
-                    ok = self.compatible(last[start], t)
+                    ok = self.compatible(before, t)
                 if not ok:
                     continue
             last[end] = t
@@ -231,11 +240,24 @@ _CODERS: dict[str, Coder] = {}
 
 def coder(path: str) -> Coder:
     """The worker's coder for a vocabulary file, built once per Python worker."""
+    worker_belongs_to("sentencepieces", _CODERS.clear)
     if path not in _CODERS:
         _CODERS[path] = Coder(path)
     return _CODERS[path]
 
 
+def _groups(texts: pd.Series, chars: int = 2_000_000) -> Iterator[pd.Series]:
+    """A batch in slices of bounded text length, at least one text each: bounds the ids held at once."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) if t else 0
+        if size >= chars:
+            yield texts.iloc[first:i + 1]
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield texts.iloc[first:]
+
+
 def encode_udf(path: str):
     """Pandas UDF text -> array<int> of ids."""
 
@@ -243,7 +265,8 @@ def encode_udf(path: str):
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = coder(path)
         for texts in parts:
-            yield pd.Series([c.encode(t) for t in texts], dtype=object)
+            for group in _groups(texts):
+                yield pd.Series([c.encode(t) for t in group], dtype=object)
 
     return encode
 
@@ -287,7 +310,8 @@ def encoded_udf(path: str):
     def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = coder(path)
         for texts in parts:
-            rows = [(*_digest(c, ids), ids) for ids in map(c.encode, texts)]
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+            for group in _groups(texts):
+                rows = [(*_digest(c, ids), ids) for ids in map(c.encode, group)]
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     return encoded

@@ -23,13 +23,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newslake.llm.common import worker_belongs_to
+
 BITS = 20  # hashed feature space: bounds the weights at 2**20 whatever the corpus
 MAX_TRAIN_ROWS = 8000  # bound of the labelled sample, smallest xxhash64(id) first
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 0.5
 PRIOR_BIAS = -3.0
 _WORD = re.compile(r"\w+")
-_WORD_CACHE = 400_000  # entries of a task's word-hash memo; it is emptied when full
+_WORD_CACHE = 200_000  # entries of a task's word-hash memo; it is emptied when full
 
 
 class _WordHash(dict):
@@ -109,6 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn, max_rows: int = MAX_TRA
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("k", "doc_id", "text", "y")
 
     def featurize(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_belongs_to("toxicity")
         memo = _WordHash()
         for f in frames:
             yield pd.DataFrame({
@@ -138,6 +141,7 @@ def score_udf(model: Model):
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_belongs_to("toxicity")
         table, memo = model.table(), _WordHash()
         for texts in parts:
             out = np.empty(len(texts))
