@@ -44,6 +44,8 @@ BUCKET_KEYS = 256
 ROWS_PER_SHARD = 20_000
 _PIECE_CACHE = 500_000
 _CUT = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
+_SPACES = re.compile(" (?:[\\s\u180e\u200b\ufeff]|\\Z)")  # a space that is no place to cut
+_STEM = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")  # letters, then ASCII punctuation but the apostrophe
 _NULL_KEY = -(1 << 63)  # with a negative copy number: a NULL key
 
 PAYLOAD = "shard int, block int, width int, ids binary, keys array<long>, copies array<long>, offsets array<int>, lengths array<int>"
@@ -51,28 +53,97 @@ SLOTS = "fingerprint array<int>, shard array<int>, block array<int>, offset arra
 INDEX = "bucket int, buckets int, seed int, pilots array<int>, " + SLOTS
 
 
+def _parts(word: str) -> list[tuple[bool, str]] | None:
+    """Parts of a word that the pre-tokenizer always parts: lines, line ends, letters, punctuation behind them.
+
+    Each with whether it stands behind the word's space; None if the word is one part.
+    """
+    lines = word.split("\n")
+    if len(lines) > 1 and word.split() != lines:
+        return None
+    out = []
+    for k, line in enumerate(lines):
+        if k:
+            out.append((False, "\n"))
+        m = _STEM.fullmatch(line)
+        out += [(k == 0, m.group(1)), (False, m.group(2))] if m else [(k == 0, line)]
+    return out if len(out) > 1 else None
+
+
 class Encoder:
-    """Whole-text encoding by the tokenizers library, one call per batch of unseen pieces."""
+    """Whole-text encoding by the tokenizers library, unseen words in one call for thousands."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # ids of a piece
+        self.words: dict[str, bytes] = {}  # ids of a word behind a space
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaced = any(" " in t for t in added)  # an added token across a cut would forbid cutting
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text as packed little-endian integers, the end id not included."""
-        pieces = [([t] if self.spaced else _CUT.split(t)) if t else [] for t in texts]
+        self.whole = any(" " in t or "\n" in t for t in added)  # such a token would forbid cutting
+        newline = self._ids(["\n"])[0]
+        self.newline = newline if len(newline) == self.width else None
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
+
+    def _learn_words(self, unseen: list[str]) -> None:
+        """Ids of words behind a space: thousands of them as one text, a line each, cut at the line ends."""
+        plain = [w for w in unseen if "\n" not in w] if self.newline else []
+        end = int.from_bytes(self.newline, "little") if self.newline else -1
+        for at in range(0, len(plain), 4096):
+            part = plain[at:at + 4096]
+            lines = "\n".join([" " + w for w in part]) + "\n"
+            ids = np.array(self.tokenizer.encode(lines, add_special_tokens=False).ids, f"<u{self.width}")
+            ends = np.flatnonzero(ids == end)
+            if len(ends) != len(part):
+                self.words.update(zip(part, self._ids([" " + w for w in part]), strict=True))
+                continue
+            raw, first = ids.tobytes(), 0
+            for w, stop in zip(part, (ends * self.width).tolist(), strict=True):
+                self.words[w] = raw[first:stop]
+                first = stop + self.width
+        rest = [w for w in unseen if "\n" in w] if self.newline else unseen
+        self.words.update(zip(rest, self._ids([" " + w for w in rest]), strict=True))
+
+    def _encode_simple(self, texts: list[str]) -> list[bytes]:
+        """Texts in which every space is followed by a non-space: cut at all spaces."""
+        if len(self.words) > _PIECE_CACHE:
+            self.words.clear()
+        cut = [t.split(" ") for t in texts]
+        seen = self.words
+        unseen = set(chain.from_iterable(c[1:] for c in cut)).difference(seen)
+        apart = {w: parts for w in unseen if (parts := _parts(w))}
+        stems = {x for parts in apart.values() for behind_space, x in parts if behind_space}.difference(seen)
+        self._learn_words(sorted(unseen.difference(apart) | stems))
+        bare = list({x for parts in apart.values() for behind_space, x in parts if not behind_space})
+        ids_of = dict(zip(bare, self._pieces(bare), strict=True))
+        for w, parts in apart.items():
+            seen[w] = b"".join([seen[x] if behind_space else ids_of[x] for behind_space, x in parts])
+        first = self._pieces([c[0] for c in cut])
+        return [a + b"".join(map(seen.__getitem__, c[1:])) for a, c in zip(first, cut, strict=True)]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
         memo = self.memo
-        if len(memo) > _PIECE_CACHE:
+        if len(memo) > _PIECE_CACHE // 4:
             memo.clear()
-        unseen = list({p for p in chain.from_iterable(pieces) if p not in memo})
+        unseen = list(set(pieces).difference(memo))
         for at in range(0, len(unseen), 4096):
             part = unseen[at:at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                memo[p] = np.array(e.ids, f"<u{self.width}").tobytes()
-        return [b"".join(map(memo.__getitem__, p)) for p in pieces]
+            memo.update(zip(part, self._ids(part), strict=True))
+        return [memo[p] for p in pieces]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text as packed little-endian integers, the end id not included."""
+        out = [b""] * len(texts)
+        simple = [i for i, t in enumerate(texts) if t and not self.whole and not _SPACES.search(t)]
+        for i, ids in zip(simple, self._encode_simple([texts[i] for i in simple]), strict=True):
+            out[i] = ids
+        rest = set(range(len(texts))).difference(simple)
+        for i in rest:
+            if texts[i]:
+                out[i] = b"".join(self._pieces([texts[i]] if self.whole else _CUT.split(texts[i])))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
