@@ -24,8 +24,10 @@ number; NULL keys sort first and are indexed like others; an empty table gives e
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,15 +38,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newslake.llm.common import sorted_groups
+from newslake.llm.common import sorted_groups, worker_belongs_to
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
 BUCKET_KEYS = 256
 ROWS_PER_SHARD = 20_000
-_PIECE_CACHE = 500_000
+_PIECE_CACHE = 300_000
 _CUT = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
 _SPACES = re.compile(" (?:[\\s\u180e\u200b\ufeff]|\\Z)")  # a space that is no place to cut
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Bytes that a byte-level vocabulary shows as characters from 256 on, in order; all others show as themselves.
+_SHOWN = {b: 256 + i for i, b in enumerate([*range(0, 33), *range(127, 161), 173])}
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, but the apostrophe: it opens contractions
 _STEM = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")  # letters, then ASCII punctuation but the apostrophe
 _NULL_KEY = -(1 << 63)  # with a negative copy number: a NULL key
 
@@ -78,8 +84,14 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.memo: dict[str, bytes] = {}  # ids of a piece
         self.words: dict[str, bytes] = {}  # ids of a word behind a space
+        self.older: dict[str, bytes] = {}  # the generation before
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = any(" " in t or "\n" in t for t in added)  # such a token would forbid cutting
+        self.code = "H" if self.width == 2 else "I"
+        # Letters behind a space are one piece of a byte-level pre-tokenizer: the model takes it directly.
+        plain = self.tokenizer.normalizer is None and self.tokenizer.pre_tokenizer is not None
+        shown = self.tokenizer.pre_tokenizer.pre_tokenize_str(" Zé") if plain else []
+        self.direct = [piece for piece, _ in shown] == ["ĠZÃ©"]
         newline = self._ids(["\n"])[0]
         self.newline = newline if len(newline) == self.width else None
 
@@ -88,7 +100,23 @@ class Encoder:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
     def _learn_words(self, unseen: list[str]) -> None:
-        """Ids of words behind a space: thousands of them as one text, a line each, cut at the line ends."""
+        """Ids of words behind a space.
+
+        Words of letters alone go to the tokenizer's model as one piece each; of the others thousands are encoded
+        as one text, a line each, and cut at the line ends.
+        """
+        if self.direct:
+            tokenize, words, code = self.tokenizer.model.tokenize, self.words, self.code
+            rest = []
+            for w in unseen:
+                if w.isascii() and w.isalpha():
+                    words[w] = array(code, [t.id for t in tokenize("Ġ" + w)]).tobytes()
+                elif _LETTERS.fullmatch(w):
+                    piece = "Ġ" + w.encode().decode("latin-1").translate(_SHOWN)
+                    words[w] = array(code, [t.id for t in tokenize(piece)]).tobytes()
+                else:
+                    rest.append(w)
+            unseen = rest
         plain = [w for w in unseen if "\n" not in w] if self.newline else []
         end = int.from_bytes(self.newline, "little") if self.newline else -1
         for at in range(0, len(plain), 4096):
@@ -109,15 +137,34 @@ class Encoder:
     def _encode_simple(self, texts: list[str]) -> list[bytes]:
         """Texts in which every space is followed by a non-space: cut at all spaces."""
         if len(self.words) > _PIECE_CACHE:
-            self.words.clear()
+            self.words, self.older = {}, self.words
         cut = [t.split(" ") for t in texts]
         seen = self.words
         unseen = set(chain.from_iterable(c[1:] for c in cut)).difference(seen)
-        apart = {w: parts for w in unseen if (parts := _parts(w))}
-        stems = {x for parts in apart.values() for behind_space, x in parts if behind_space}.difference(seen)
-        self._learn_words(sorted(unseen.difference(apart) | stems))
-        bare = list({x for parts in apart.values() for behind_space, x in parts if not behind_space})
+        known = unseen.intersection(self.older)
+        seen.update({w: self.older[w] for w in known})
+        unseen -= known
+        # A word and the punctuation behind it, and the lines of a word, are encoded apart.
+        plain, ended, apart = [], [], {}
+        for w in unseen:
+            if w.isalpha():
+                plain.append(w)
+                continue
+            stem = w.rstrip(_PUNCTUATION)
+            if len(stem) < len(w) and stem.isalpha():
+                ended.append((w, stem, w[len(stem):]))
+            elif parts := _parts(w):
+                apart[w] = parts
+            else:
+                plain.append(w)
+        stems = {stem for _, stem, _ in ended}
+        stems.update(x for parts in apart.values() for behind_space, x in parts if behind_space)
+        self._learn_words(sorted(stems.difference(seen).union(plain)))
+        bare = {x for parts in apart.values() for behind_space, x in parts if not behind_space}
+        bare = list(bare.union(tail for _, _, tail in ended))
         ids_of = dict(zip(bare, self._pieces(bare), strict=True))
+        for w, stem, tail in ended:
+            seen[w] = seen[stem] + ids_of[tail]
         for w, parts in apart.items():
             seen[w] = b"".join([seen[x] if behind_space else ids_of[x] for behind_space, x in parts])
         first = self._pieces([c[0] for c in cut])
@@ -150,9 +197,8 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
+    worker_belongs_to("tokenids", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

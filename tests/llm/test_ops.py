@@ -440,7 +440,7 @@ def test_memos_stay_bounded():
     c.word_ids.size = c.part_ids.size = 50
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     text = " ".join(f"word{i} thing{i * 7}" for i in range(400))
-    assert c.encode(text) == sp.encode(text) and len(c.word_ids) <= 50 and len(c.part_ids) <= 50
+    assert c.encode(text) == sp.encode(text) and len(c.word_ids) <= 50 and len(c.part_ids.old) <= 50
 
 
 # ---------------------------------------------------------------- 10 token ids
@@ -485,3 +485,17 @@ def test_piecewise_encoding_equals_whole_texts():
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(16))) for _ in range(8000)] + [None, "", LONG]
     whole = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == whole
+
+
+def test_letter_words_of_all_bytes_go_to_the_model(monkeypatch):
+    """Words that reach the model directly, over several generations of the memo."""
+    monkeypatch.setattr(tokenids, "_PIECE_CACHE", 30)
+    enc, tok = tokenids.Encoder(P.path("byte_bpe_50k.json")), tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert enc.direct
+    rng = random.Random(14)
+    letters = "abcXYZ" + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + rng.choice(["", ".", "\nQ", ",\nÀ?"])
+                          for _ in range(rng.randrange(1, 30))) for _ in range(40)]
+        whole = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == whole
