@@ -167,11 +167,11 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.select("key", "block", "fp").mapInPandas(_link_task(max_bits), "a long, b long").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-) -> DataFrame:
-    """One row per document: id, ``fp`` (long), ``fingerprint`` (16 hex digits), ``component_id``."""
+def _components(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, first_id, component, component_id) of every distinct fingerprint.
+
+    ``component`` is a fingerprint and names one component; ``component_id`` may name several, since ids may repeat.
+    """
     prints = materialize(
         docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(words_per_shingle)(F.col(text_col)).alias("fp")),
         "simhash-prints",
@@ -183,32 +183,44 @@ def near_duplicates(
     first = materialize(linked.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-first")
     named = materialize(
         classes.join(comp, "fp", "left").join(first, "component", "left")
-        .select("fp", F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("component_id"))
+        .select("fp", "first_id", F.coalesce("component", "fp").alias("component"),
+                F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("component_id"))
                 .alias("component_id")),
         "simhash-named",
     )
-    return prints.join(named, "fp").select(
+    return prints, named
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """One row per document: id, ``fp`` (long), ``fingerprint`` (16 hex digits), ``component_id``."""
+    prints, named = _components(docs, id_col, text_col, words_per_shingle, max_bits)
+    return prints.join(named.select("fp", "component_id"), "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one_per_group(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents whose id is the smallest of their component; a repeated kept id stays once.
+def keep_one_per_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """One document of each component: the smallest id, of its texts there the smallest fingerprint.
 
-    Documents with a NULL id stay only where no document of the component has an id (one of them).
+    An id may stay several times, with texts of different components. A document without an id stays only where
+    no document of the component has one. Among rows of equal id and fingerprint the choice is by their hash.
     """
-    found = near_duplicates(docs, **parameters)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__kept_id"), F.col("fp").alias("__kept_fp")
-    ).dropDuplicates(["__kept_id", "__kept_fp"])
-    columns = docs.columns
-    row_fp = fingerprint_udf(parameters.get("words_per_shingle", SHINGLE_WORDS))
-    unique = kept.where("__kept_id is not null")
-    with_id = docs.join(unique, docs["doc_id"] == unique["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    without = docs.where(F.col("doc_id").isNull())
-    nulls = kept.where("__kept_id is null")
-    without = (
-        without.withColumn("__kept_fp", row_fp(F.col("text"))).join(nulls, "__kept_fp", "left_semi")
-        .dropDuplicates(["__kept_fp"]).select(*columns)
+    _, named = _components(docs, id_col, text_col, words_per_shingle, max_bits)
+    kept = (
+        named.where(F.col("first_id").eqNullSafe(F.col("component_id")))
+        .groupBy("component").agg(F.min("component_id").alias("__kept_id"), F.min("fp").alias("__kept_fp"))
+        .drop("component")
+    )
+    rows = docs.withColumn("__fp", fingerprint_udf(words_per_shingle)(F.col(text_col)))
+    rows = rows.join(kept, rows[id_col].eqNullSafe(kept["__kept_id"]) & (rows["__fp"] == kept["__kept_fp"]), "left_semi")
+    hashed = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    return (
+        rows.groupBy(F.col(id_col).alias("__id"), "__fp")
+        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("__row")).select("__row.*")
     )
-    return with_id.select(*columns).unionByName(without)

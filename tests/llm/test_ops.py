@@ -310,6 +310,19 @@ def test_simhash_groups_and_edges(spark):
     assert simhash.near_duplicates(docs_frame(spark, EDGE).limit(0)).count() == 0
 
 
+def test_one_id_over_unlinked_texts_loses_none(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join(f"w{rng.randrange(9000)}" for _ in range(300))
+    shared, alone, hot, no_id = text(), text(), [text() for _ in range(40)], text()
+    near = lambda t: t + " end"
+    rows = [(3, shared), (5, near(shared)), (5, alone), *[(7, t) for t in hot], (None, no_id), (None, near(no_id))]
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one_per_group(docs_frame(spark, rows)).collect())
+    assert [t for i, t in kept if i] == [t for _, t in sorted([(3, shared), (5, alone), *[(7, t) for t in hot]])]
+    assert len([t for i, t in kept if not i]) == 1  # near copies without an id: one of them
+    again = simhash.keep_one_per_group(docs_frame(spark, rows[::-1]).repartition(5)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in again) == kept
+
+
 # ---------------------------------------------------------------- 7 language
 
 def test_gru_gradients():
