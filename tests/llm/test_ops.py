@@ -83,6 +83,30 @@ def test_wrapper_finds_template_without_markup_names(spark):
     assert got[100].startswith("Site name") and want[0] in got[100]  # one page, twenty times: no template
 
 
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+
+
+def main_texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in wrapper.extract_main_text(df).collect()}
+
+
+def test_wrapper_finds_template_longer_than_the_articles(spark):
+    rng = random.Random(7)
+    rows, want, legal = [], {}, words(rng, 75)  # 600 characters
+    for i in range(30):
+        want[i] = words(rng, 25)
+        rows.append((i, "http://long.example/x", page(f"<div><div>{legal}</div></div><div><p>{want[i]}</p></div>")))
+    story = words(rng, 25)  # near copies of one article: one vote together, so their article stays
+    for i in range(100, 500):
+        want[i] = f"{story}\nread {i} times"
+        rows.append((i, "http://long.example/x", page(
+            f"<div><div>{legal}</div></div><div><p>{story}</p><span>read {i} times</span></div>")))
+    want = {i: t.replace("\n", " ") for i, t in want.items()}
+    assert {i: t.replace("\n", " ") for i, t in main_texts(spark, rows).items()} == want
+
+
 def test_tree_matching_is_largest(spark):
     def best(a, b, p, q):
         if a.label[p] != b.label[q]:
