@@ -107,6 +107,27 @@ def test_wrapper_finds_template_longer_than_the_articles(spark):
     assert {i: t.replace("\n", " ") for i, t in main_texts(spark, rows).items()} == want
 
 
+def test_every_layout_has_a_wrapper(spark):
+    """Page-specific names on upper elements, a layout under 1% of its host, and pages of a layout of their own."""
+    rng = random.Random(8)
+    rows, want = [], {}
+
+    def add(host, body, attrs=""):
+        i = len(rows)
+        want[i] = words(rng, 20)
+        rows.append((i, f"http://{host}/x", f"<html><body {attrs}>{body.format(text=want[i], i=words(rng, 1))}</body></html>"))
+
+    plain = "<div>Site name</div><div><p>{text}</p></div><div>All rights reserved</div>"
+    for k in range(20):  # every page with names of its own
+        add("slugs.example", "<div class='{i}'>" + plain + "</div>", f"class='{words(rng, 1)}' id='{words(rng, 1)}'")
+    for k in range(900):
+        add("big.example", plain)
+    for k in range(6):  # under 1% of the pages
+        add("big.example", "<section>Imprint line</section><table><tr><td>{text}</td></tr></table>")
+    add("big.example", plain + "<section></section>")  # a layout of its own: aligned with the most similar one
+    assert main_texts(spark, rows) == want
+
+
 def test_tree_matching_is_largest(spark):
     def best(a, b, p, q):
         if a.label[p] != b.label[q]:
