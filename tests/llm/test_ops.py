@@ -128,6 +128,29 @@ def test_every_layout_has_a_wrapper(spark):
     assert main_texts(spark, rows) == want
 
 
+def test_names_do_not_drop_the_story(spark):
+    rng = random.Random(9)
+    story, ad = words(rng, 60), words(rng, 4)
+    card = f"<article><h3>{ad}</h3></article>"
+    bodies = {
+        "layout": f"<div class='layout has-sidebar'><article><p>{story}</p></article></div>",
+        "policy": f"<div class='social-policy related-article'><p>{story}</p></div><div class='ad-3'>{ad}</div>",
+        "sidebar": f"<div class='sidebar' id='no-sidebar'><div class='ad'>{ad}</div><p>{story}</p></div>",
+        "form": f"<form><input><p>{story}</p><div class='comments'>{ad}</div></form>",
+        "comments": f"<div><p>{story}</p></div><div class='comments'><p>{words(rng, 90)}</p></div>",
+    }
+    rows = [(i, f"http://{k}.example/", page(b)) for i, (k, b) in enumerate(bodies.items())]
+    assert main_texts(spark, rows) == {i: story for i in range(len(bodies))}
+    cards = main_texts(spark, [(1, "http://cards.example/", page(f"<div><p>{story}</p></div><div>{card}{card}</div>"))])
+    assert story in cards[1]
+    rows = []  # a constant notice without a whole name of the list goes by the votes
+    for i in range(20):
+        rows.append((i, "http://votes.example/", page(
+            f"<div class='cookie-bar'>{story}</div><div class='related'><p>{words(rng, 80)} x</p></div>")))
+    got = main_texts(spark, rows)
+    assert all(story not in t and t.endswith(" x") for t in got.values())
+
+
 def test_tree_matching_is_largest(spark):
     def best(a, b, p, q):
         if a.label[p] != b.label[q]:
