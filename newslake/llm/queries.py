@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import chat, decontam, embedding_join, langid, sentencepieces, sharding, simhash, tokenids, toxicity, wrapper
+from newslake.llm import (
+    chat, decontam, embedding_join, filter_audit, fracsketch, langid, runs, sentencepieces, sharding, simhash, tokenids,
+    toxicity, wrapper,
+)
 from newslake.llm.common import fold, read_table
 from newslake.session import scratch_path
 
@@ -124,6 +127,108 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.look_up(spark, path, copies).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+#: The audited filters over texts, by letter; E, the duplicates, is the operator's own.
+AUDITED = {
+    "A": filter_audit.too_short(200),
+    "B": filter_audit.too_repetitive(50),
+    "C": filter_audit.too_many("A-Z", 2),
+    "D": filter_audit.holds_any("#$%&*|"),
+}
+
+
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return filter_audit.audit_filters(docs, labels, AUDITED, "E")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), j AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS mask
+  FROM d LEFT JOIN j USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY part, mask
+), f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b
+), o AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM f a JOIN f b ON b.b <> a.b JOIN f c ON c.b NOT IN (a.b, b.b) JOIN f d ON d.b NOT IN (a.b, b.b, c.b)
+  JOIN f e ON e.b NOT IN (a.b, b.b, c.b, d.b)
+), s AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS gone
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (gone | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & gone = 0 AND mask & bit <> 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & gone <> 0 AND mask & bit <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & gone = 0 AND mask & bit <> 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & gone = 0 AND mask & bit <> 0), 0) AS toxic_lost
+  FROM cells, s GROUP BY part, filter_order, step, bit, gone
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth document by the hash of its id, the words from one on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(words):
+        n = F.size(words).cast("long")
+        g = F.floor(h / 10).cast("long")
+        start = g % F.greatest(n, F.lit(1))
+        period = 1 + F.floor((n - start) / (3 + g % 8)).cast("long")
+        changed = F.transform(words, lambda w, i: F.when(i < start, w).otherwise(
+            F.get(words, (start + (i - start) % period).cast("int"))))
+        return F.array_join(changed, " ")
+
+    words = filter_audit.words_of(F.coalesce("text", F.lit("")))
+    # An array of one, so that the words are a bound variable: they are cut once for a text.
+    text = F.when(h % 10 == 0, F.get(F.transform(F.array(words), repeated), 0)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repeated_tails(read_table(spark, sf_dir, "documents")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), "best.length",
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fracsketch.compare_with_edits(read_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"),
+        fracsketch.fingerprint_column("sketch").alias("fingerprint"),
+        fracsketch.fingerprint_column("edited_sketch").alias("edited_fingerprint"), "near_edited", "near_next",
+        "edited_in_own",
+    )
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_sharding": op2_sharding,
@@ -135,6 +240,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_ids": op10_token_ids,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fingerprints": op13_fingerprints,
 }
 
-SQL = {"op3_chat": OP3_SQL}
+SQL = {"op3_chat": OP3_SQL, "op11_filter_audit": OP11_SQL}
