@@ -12,7 +12,10 @@ symbols join to a piece that is due before either is absorbed by its own parent
 
 Pieces hold the space mark only at their front, so a text is cut before each run of space marks into words
 that encode independently; words and pair tests are memoized per Python worker in dictionaries that are
-bounded in size. Characters that no piece holds become byte pieces.
+bounded in size. A word's record holds its ids, their decimal text and the bytes they decode to, so a text's
+digests are made from its words' records. Words share prefixes, so the table of a short word is filled from its
+end, only where the walk back comes by, and what it finds about a prefix is kept for other words; a long run
+of characters has a table of its own, filled from the front. Characters that no piece holds become byte pieces.
 
 The vocabulary file is a parameter (a path that every worker can read). Defined results: NULL and empty
 texts have no ids and decode to the empty text.
@@ -22,10 +25,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from operator import itemgetter
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import functions as F
@@ -33,7 +38,8 @@ from pyspark.sql import functions as F
 from newslake.llm.common import worker_belongs_to
 
 MARK = "▁"
-_WORD_CACHE, _PART_CACHE, _PAIR_CACHE = 100_000, 100_000, 250_000
+_WORD_CACHE, _PART_CACHE, _PREFIX_CACHE, _PAIR_CACHE = 200_000, 50_000, 100_000, 250_000
+_SHORT = 64  # characters of a part whose prefixes are shared with other parts
 _UNRANKED = 1 << 60
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -54,9 +60,26 @@ class _Memo(dict):
         self[key] = value
         return value
 
+    def find(self, key):
+        """What is kept for a key, or None."""
+        value = self.get(key)
+        return self.old.get(key) if value is None else value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
 
-def _take(table: list, ids: list[int]) -> tuple:
-    return itemgetter(*ids)(table) if len(ids) > 1 else tuple(table[i] for i in ids)
+
+# Packed 32-bit ids; the ids in decimal, a comma before each; decoded bytes; the last id.
+Record = tuple[bytes, bytes, bytes, int]
+_IDS, _DECIMAL, _SURFACE = itemgetter(0), itemgetter(1), itemgetter(2)
+
+
+def _joined(records: list[Record]) -> Record:
+    return (b"".join(map(_IDS, records)), b"".join(map(_DECIMAL, records)), b"".join(map(_SURFACE, records)),
+            records[-1][3] if records else 0)
 
 
 class Coder:
@@ -90,17 +113,20 @@ class Coder:
         self._build_splits()
         self.pairs: list[dict[int, bool]] = [{} for _ in range(n)]
         self.n_pairs = 0
-        self.decimal = [str(i) for i in range(n)]
+        self.decimal = [b",%d" % i for i in range(n)]
         self.marked = {i for i, p in self.text.items() if p.startswith(MARK)}
-        single = "".join(map(re.escape, (p for p in self.id_of if len(p) == 1)))
-        self.unknown = re.compile(f"[^{single}]")
+        self.known = {p for p in self.id_of if len(p) == 1}
+        self.unknown = re.compile(f"[^{''.join(map(re.escape, self.known))}]")
         after = {y for p in self.id_of for x, y in zip(p, p[1:]) if x.isalnum()}
         apart = {ch for p in self.id_of for ch in p if not ch.isalnum() and ch != MARK} - after
         # No merge joins the characters of ``apart`` to a letter or digit before them.
         cut = f"(?<=[^\\W_])(?=[{''.join(map(re.escape, sorted(apart)))}])|" if apart else ""
         self.cuts = re.compile(f"{cut}(?=\\n)|(?<=\\n)|(?<=[^{MARK}])(?={MARK})")
+        self.apart = "".join(sorted(apart))
+        self.single = [(array("i", (i,)).tobytes(), self.decimal[i], self.surface[i], i) for i in range(n)]
+        self.prefixes = _Memo(None, _PREFIX_CACHE)
         self.part_ids = _Memo(self._encode_part, _PART_CACHE)
-        self.word_ids = _Memo(lambda w: self._encode_parts(MARK + w), _WORD_CACHE)
+        self.word_ids = _Memo(self._encode_word, _WORD_CACHE)
 
     def _build_splits(self) -> None:
         """The last merge of every piece, found in order of rank, and the automaton of reachable pieces.
@@ -179,7 +205,40 @@ class Coder:
         ids.reverse()
         return ids
 
-    def _encode_part(self, part: str) -> tuple[int, ...]:
+    def _encode_short(self, part: str) -> Record:
+        """The record of a part of at most ``_SHORT`` characters, all in the vocabulary."""
+        found = list(self.automaton.iter(part))  # (last character, piece), by place
+        return self._last(part, found, len(found))
+
+    def _last(self, prefix: str, found: list[tuple[int, int]], stop: int) -> Record:
+        """The record of a prefix: its last token is the one match at its end that fits what stands before it."""
+        end = len(prefix) - 1
+        first = stop
+        while first and found[first - 1][0] == end:
+            first -= 1
+        for _, t in found[first:stop]:
+            size = self.length[t]
+            if size > end:
+                return self.single[t]
+            head = prefix[:-size]
+            before = self.prefixes.find(head)
+            if before is None:
+                within = first
+                while found[within - 1][0] > end - size:
+                    within -= 1
+                before = self._last(head, found, within)
+                self.prefixes.keep(head, before)
+            ok = self.pairs[before[3]].get(t)
+            if ok is None:
+                ok = self.compatible(before[3], t)
+            if ok:
+                one = self.single[t]
+                return before[0] + one[0], before[1] + one[1], before[2] + one[2], t
+        raise ValueError("a character without a piece")
+
+    def _encode_part(self, part: str) -> Record:
+        if self.known.issuperset(part):
+            return self._encode_short(part) if 0 < len(part) <= _SHORT else self._record(self._encode_known(part))
         ids, at = [], 0
         for m in self.unknown.finditer(part):
             if at < m.start():
@@ -188,26 +247,40 @@ class Coder:
             at = m.end()
         if at < len(part):
             ids += self._encode_known(part[at:])
-        return tuple(ids)
-
-    def _encode_parts(self, marked: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for part in map(self.part_ids.__getitem__, self.cuts.split(marked)):
-            ids += part
-        return tuple(ids)
-
-    def encode(self, text: str | None) -> list[int]:
+        return self._record(ids)
+
+    def _record(self, ids: list[int]) -> Record:
+        return _joined([self.single[i] for i in ids])
+
+    def _encode_word(self, word: str) -> Record:
+        """The record of a word behind a space."""
+        if word.isalpha():  # no place to cut
+            return self._encode_part(MARK + word)
+        stem = word.rstrip(self.apart)
+        if stem != word and stem.isalpha():
+            return _joined([self.word_ids[stem], self.part_ids[word[len(stem):]]])
+        return _joined(list(map(self.part_ids.__getitem__, self.cuts.split(MARK + word))))
+
+    def records(self, text: str | None) -> list[Record]:
+        """The records that make up a text."""
         if not text:
             return []
         if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
-            return list(self._encode_parts(MARK + text.replace(" ", MARK)))
-        ids: list[int] = []
-        for word in map(self.word_ids.__getitem__, text.split(" ")):
-            ids += word
-        return ids
+            return list(map(self.part_ids.__getitem__, self.cuts.split(MARK + text.replace(" ", MARK))))
+        return list(map(self.word_ids.__getitem__, text.split(" ")))
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(b"".join(map(_IDS, self.records(text))), np.intc).tolist()
+
+    def roundtrip(self, text: str | None) -> tuple[int, str, str, np.ndarray]:
+        """Number of ids, digest of the ids in decimal joined by commas, digest of the text decoded from them, the ids."""
+        packed, listed, surface, _ = _joined(self.records(text))
+        ids = np.frombuffer(packed, np.intc)
+        decoded = surface[1:] if surface[:1] == b" " else surface  # the space put in front of every text
+        return len(ids), hashlib.sha256(listed[1:]).hexdigest(), hashlib.sha256(decoded).hexdigest(), ids
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(_take(self.surface, ids))
+        raw = b"".join([self.surface[i] for i in ids])
         try:
             text = raw.decode()
         except UnicodeDecodeError:
@@ -283,13 +356,6 @@ def decode_udf(path: str):
     return decode
 
 
-def _digest(c: Coder, ids: list[int]) -> tuple[int, str, str]:
-    """Length, digest of the ids in decimal joined by commas, digest of the text decoded from them."""
-    listed = ",".join(_take(c.decimal, ids))
-    return (len(ids), hashlib.sha256(listed.encode()).hexdigest(),
-            hashlib.sha256(c.decode(ids).encode("utf-8", "replace")).hexdigest())
-
-
 def roundtrip_udf(path: str):
     """Pandas UDF text -> struct of the number of ids and digests of the ids and of the decoded text."""
 
@@ -297,7 +363,7 @@ def roundtrip_udf(path: str):
     def roundtrip(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = coder(path)
         for texts in parts:
-            rows = [_digest(c, c.encode(t)) for t in texts]
+            rows = [c.roundtrip(t)[:3] for t in texts]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return roundtrip
@@ -311,7 +377,7 @@ def encoded_udf(path: str):
         c = coder(path)
         for texts in parts:
             for group in _groups(texts):
-                rows = [(*_digest(c, ids), ids) for ids in map(c.encode, group)]
+                rows = list(map(c.roundtrip, group))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     return encoded

@@ -524,6 +524,27 @@ def test_memos_stay_bounded():
     assert c.encode(text) == sp.encode(text) and len(c.word_ids) <= 50 and len(c.part_ids.old) <= 50
 
 
+def test_digests_come_from_word_records():
+    """Words that share prefixes, stems with punctuation, long runs without a space, all with memos that turn over."""
+    c, sp = sentencepieces.Coder(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    c.word_ids.size = c.part_ids.size = c.prefixes.size = 40
+    rng = random.Random(15)
+    syllables = ["th", "ing", "er", "on", "nd", "ción", "é", "ñ", "a", "Q", "ß", "漢", "x1"]
+
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 6))) + rng.choice(["", "", ".", ",\nEnd", "...", "'s", "!?"])
+
+    texts = [" ".join(word() for _ in range(rng.randrange(1, 25))) for _ in range(1500)]
+    texts += ["".join(rng.choice(syllables) for _ in range(n)) for n in (20, 60, 63, 64, 65, 5000)] + ["", None, " ", "\n", "a  b "]
+    for t in texts:
+        ids = sp.encode(t or "")
+        n, ids_sha, text_sha, found = c.roundtrip(t)
+        assert (n, found.tolist()) == (len(ids), ids), t
+        assert ids_sha == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert text_sha == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+    assert len(c.prefixes) <= 40
+
+
 # ---------------------------------------------------------------- 10 token ids
 
 def test_perfect_hash_is_minimal():
