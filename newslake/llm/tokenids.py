@@ -29,10 +29,11 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -135,12 +136,34 @@ class Encoder:
         self.words.update(zip(rest, self._ids([" " + w for w in rest]), strict=True))
 
     def _encode_simple(self, texts: list[str]) -> list[bytes]:
-        """Texts in which every space is followed by a non-space: cut at all spaces."""
+        """Texts in which every space is followed by a non-space: cut at all spaces.
+
+        Words are cut, numbered and put together again by Arrow; Python sees each distinct word of a batch once.
+        """
+        cut = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        starts, words = cut.offsets.to_numpy(), cut.flatten()
+        behind = np.ones(len(words), bool)
+        behind[starts[:-1]] = False
+        numbered = words.filter(pa.array(behind)).dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(distinct)
+        first = self._pieces(words.take(pa.array(starts[:-1])).to_numpy(zero_copy_only=False).tolist())
+        table = pa.array([*map(self.words.__getitem__, distinct), *first], pa.binary())
+        place = np.empty(len(words), np.int64)
+        place[behind] = numbered.indices.to_numpy()
+        place[starts[:-1]] = len(distinct) + np.arange(len(texts))
+        ids = table.take(pa.array(place))
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int32, len(ids) + 1, ids.offset * 4)[starts].tolist()
+        data = data.to_pybytes() if data else b""
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _learn(self, distinct: list[str]) -> None:
+        """Put the ids of words behind a space into ``words``."""
         if len(self.words) > _PIECE_CACHE:
             self.words, self.older = {}, self.words
-        cut = [t.split(" ") for t in texts]
         seen = self.words
-        unseen = set(chain.from_iterable(c[1:] for c in cut)).difference(seen)
+        unseen = set(distinct).difference(seen)
         known = unseen.intersection(self.older)
         seen.update({w: self.older[w] for w in known})
         unseen -= known
@@ -167,8 +190,6 @@ class Encoder:
             seen[w] = seen[stem] + ids_of[tail]
         for w, parts in apart.items():
             seen[w] = b"".join([seen[x] if behind_space else ids_of[x] for behind_space, x in parts])
-        first = self._pieces([c[0] for c in cut])
-        return [a + b"".join(map(seen.__getitem__, c[1:])) for a, c in zip(first, cut, strict=True)]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         memo = self.memo
