@@ -9,7 +9,7 @@ from newslake.plans.registry import query
 from newslake.plans.tables import table
 from newslake.session import scratch_path
 
-PER_FILE = 50
+PER_FILE = 1000
 
 JSON_FILES_SQL = f"""SELECT CAST(event_id % {PER_FILE} AS INTEGER) AS pos, 'http://e/' || CAST(event_id AS VARCHAR) AS url,
        event_type AS title, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS published_at
@@ -57,6 +57,25 @@ def q_json_array_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("files"))
 
 
+ARRAY_SCAN_SQL = """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, 'doc://' || CAST(doc_id AS VARCHAR) AS url,
+       source AS title, text AS content FROM documents
+"""
+
+
+@query("json_array_scan", ARRAY_SCAN_SQL)
+def q_json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1, SNK1, ORD3: all documents as one JSON array over many files, read back by byte ranges."""
+    from newslake.sinks.writers import write_json_array
+    from newslake.sources.json_chunks import scan_json_arrays
+
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("url"), F.col("source").alias("title"),
+        F.col("text").alias("content"))
+    path = write_json_array(docs, scratch_path(spark, "all-news"), ["doc_id"], drop=["doc_id"])
+    rows, _ = scan_json_arrays(spark, path, joined=True)
+    return rows.select("pos", "url", "title", "content")
+
+
 CSV_SQL = """SELECT CAST(doc_id AS VARCHAR) AS id, lang || ', ' || source || ', "q", x' AS tags FROM documents"""
 
 

@@ -82,11 +82,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-path of the checkpoint root for one job's written table."""
+    """A fresh, unique sub-path of the checkpoint root for one job's written table; ``drop_scratch`` deletes it."""
     root = checkpoint_root(spark)
     token = os.urandom(6).hex()
-    return f"{root.rstrip('/')}/newslake/{name}-{token}"
+    path = f"{root.rstrip('/')}/newslake/{name}-{token}"
+    _SCRATCH.append((spark, path))
+    return path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -95,11 +100,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-_SCRATCH: list[tuple[SparkSession, str]] = []
-
-
 def drop_scratch() -> None:
-    """Delete the tables that ``materialize`` wrote: call it when their readers are done.
+    """Delete what stands under the paths of ``scratch_path`` and ``materialize``: call it when their readers are done.
 
     Runs by itself at the end of the driver process, while its session is still up.
     """
@@ -121,6 +123,5 @@ def materialize(df, name: str):
     plan exactly once, unlike an uncached ``checkpoint()``, which runs it twice.
     """
     path = scratch_path(df.sparkSession, name)
-    _SCRATCH.append((df.sparkSession, path))
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
