@@ -234,6 +234,61 @@ def q_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_metrics(ex, b, new_rows(ex, b, key="o_custkey", order=["o_orderdate", "o_orderkey"]))
 
 
+def _alltime(spark: SparkSession, sf_dir: str):
+    """The stored all-time table after two batches of orders, and the metrics of both merges."""
+    from newslake.operators.alltime import AllTimeTable
+    from newslake.session import scratch_path
+
+    orders = _orders(spark, sf_dir)
+    stored = AllTimeTable(
+        spark, scratch_path(spark, "all-time"), orders.schema, key="o_custkey", time="o_orderdate", ties=["o_orderkey"],
+        buckets=16)
+    first = ["o_orderdate", "o_orderkey"]
+    runs = [stored.merge(orders.filter(F.col("o_orderdate") < F.lit(MERGE_CUT).cast("timestamp_ntz")), first=first),
+            stored.merge(_batch(spark, sf_dir), first=first)]
+    return stored, runs
+
+
+ALLTIME_SQL = f"""SELECT o_custkey, o_orderkey, o_orderdate FROM ({MERGE_SQL})"""
+
+
+@query("alltime_merge", ALLTIME_SQL)
+def q_alltime_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3, JOI6: two batches merged into the stored table, read back."""
+    stored, _ = _alltime(spark, sf_dir)
+    return stored.read().select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
+
+
+ALLTIME_NEWEST_SQL = f"""SELECT o_custkey, o_orderkey, o_orderdate FROM ({MERGE_SQL})
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 200
+"""
+
+
+@query("alltime_newest", ALLTIME_NEWEST_SQL)
+def q_alltime_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ORD1, TOP2, SRC10: the newest rows of the stored table, from the newest periods alone."""
+    stored, _ = _alltime(spark, sf_dir)
+    return stored.newest(200).select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
+
+
+ALLTIME_METRICS_SQL = f"""WITH o AS (SELECT count(*) FILTER (WHERE o_orderdate < TIMESTAMP '{MERGE_CUT}') AS a,
+  count(DISTINCT o_custkey) FILTER (WHERE o_orderdate < TIMESTAMP '{MERGE_CUT}') AS ka,
+  count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '{BATCH_FROM}') AS b, count(DISTINCT o_custkey) AS k FROM orders)
+SELECT 1 AS run, 'existing' AS metric, CAST(0 AS BIGINT) AS value FROM o UNION ALL SELECT 1, 'incoming', a FROM o
+UNION ALL SELECT 1, 'kept', ka FROM o UNION ALL SELECT 1, 'dropped', a - ka FROM o
+UNION ALL SELECT 2, 'existing', ka FROM o UNION ALL SELECT 2, 'incoming', b FROM o
+UNION ALL SELECT 2, 'kept', k - ka FROM o UNION ALL SELECT 2, 'dropped', b - (k - ka) FROM o
+"""
+
+
+@query("alltime_metrics", ALLTIME_METRICS_SQL)
+def q_alltime_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK9, AGG6: what the merges counted while they wrote."""
+    _, runs = _alltime(spark, sf_dir)
+    return spark.createDataFrame(
+        [(i + 1, m, v) for i, run in enumerate(runs) for m, v in run.items()], "run int, metric string, value long")
+
+
 #: The batch is processed on one day, whatever its articles' dates: all of it goes to that day's quarter.
 PROCESSED_ON = "1997-11-15"
 QUARTER_SQL = f"""WITH q AS (

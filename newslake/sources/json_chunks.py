@@ -207,9 +207,9 @@ def scan_json_arrays(
         F.xxhash64("_metadata.file_path").alias("fkey"), F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("size"))
     if joined:
-        first = listed.agg(F.min_by(F.struct("fkey", "name"), "path").alias("f"))
-        files = listed.crossJoin(F.broadcast(first)).select("fkey", "path", "size", F.col("f.fkey").alias("doc"))
-        names = first.where("f IS NOT NULL").select(F.col("f.fkey").alias("doc"), F.col("f.name").alias("file"))
+        first = listed.agg(F.min_by(F.struct("fkey", "name"), "path").alias("f")).first()["f"]
+        files = listed.select("fkey", "path", "size", F.lit(first["fkey"] if first else 0).cast("long").alias("doc"))
+        names = spark.createDataFrame([(first["fkey"], first["name"])] if first else [], "doc long, file string")
     else:
         files = listed.select("fkey", "path", "size", F.col("fkey").alias("doc"))
         names = listed.select(F.col("fkey").alias("doc"), F.col("name").alias("file"))

@@ -14,6 +14,9 @@ Stream checkpoints and sinks live under the session's checkpoint folder.
 
 from __future__ import annotations
 
+import time
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,21 @@ from newslake.operators.dedupe import dedupe_first
 from newslake.session import BROADCAST_BYTES, scratch_path
 
 
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Adaptive plans for the jobs of a ``foreachBatch`` handler: streaming turns them off in its session.
+
+    The handler's own jobs are ordinary batch jobs, whose small shuffles are worth coalescing.
+    """
+    name = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def snapshot_stream(
     spark: SparkSession,
     path: str,
@@ -41,6 +59,22 @@ def snapshot_stream(
     return reader.load(path)
 
 
+def order_files(spark: SparkSession, path: str, partition: str) -> None:
+    """Give the files under ``path/<partition>=<number>`` modification times in the order of the number.
+
+    A file stream takes files by modification time; files that one job wrote have it in no order.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith(f"{partition}=")]
+    folders.sort(key=lambda f: int(f.getName().split("=")[1]))
+    start = int(time.time() * 1000) - 60_000 * (len(folders) + 1)
+    for i, folder in enumerate(folders):
+        for s in fs.listStatus(folder):
+            fs.setTimes(s.getPath(), start + 60_000 * i, -1)
+
+
 def dedupe_within_watermark(stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 day") -> DataFrame:
     """STR2: drop re-sent items whose key was seen within ``delay`` of snapshot time.
 
@@ -52,6 +86,10 @@ def dedupe_within_watermark(stream: DataFrame, keys: list[str], event_time: str,
 
 def _first_seen_batch(sink: str, key: str, order: list[str]):
     def handle(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            write(batch, batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The micro-batch (bounded by maxFilesPerTrigger) feeds two branches: read it once.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -147,6 +185,6 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 __all__ = [
-    "daily_counts", "dedupe_within_watermark", "run_daily_counts", "run_first_seen",
+    "adaptive", "daily_counts", "dedupe_within_watermark", "order_files", "run_daily_counts", "run_first_seen",
     "snapshot_stream", "stream_paths",
 ]
