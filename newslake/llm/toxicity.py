@@ -96,11 +96,11 @@ def fit_ftrl(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int =
     return Model(index, w[index], float(bias), bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, may_learn, max_rows: int = MAX_TRAIN_ROWS) -> Model:
-    """Fit on at most ``max_rows`` labelled rows for which the column ``may_learn`` holds.
+def training_rows(docs: DataFrame, labels: DataFrame, may_learn, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+    """(k, doc_id, text, y): at most ``max_rows`` different labelled rows for which the column ``may_learn`` holds.
 
-    The sample is bounded; feature extraction runs where the texts are, the fit in one task,
-    and only the non-zero weights come back.
+    Bounded twice, by labelled ids and by different rows of them (ids may repeat), each by the smallest hashes, before
+    any text moves.
     """
     sample = (
         labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("y"))
@@ -108,7 +108,14 @@ def train(docs: DataFrame, labels: DataFrame, may_learn, max_rows: int = MAX_TRA
         .groupBy("doc_id").agg(F.max("y").alias("y"))
         .withColumn("k", F.xxhash64("doc_id")).orderBy("k", "doc_id").limit(max_rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("k", "doc_id", "text", "y")
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).join(F.broadcast(sample), "doc_id")
+    chosen = rows.select("row").distinct().orderBy("row").limit(max_rows)
+    return rows.join(F.broadcast(chosen), "row").dropDuplicates(["row"]).select("k", "doc_id", "text", "y")
+
+
+def train(docs: DataFrame, labels: DataFrame, may_learn, max_rows: int = MAX_TRAIN_ROWS) -> Model:
+    """Fit on the rows of ``training_rows``, in one task; only the non-zero weights come back."""
+    texts = training_rows(docs, labels, may_learn, max_rows)
 
     def featurize(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker_belongs_to("toxicity")
