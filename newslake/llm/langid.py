@@ -5,7 +5,9 @@ softmax over both states gives the probability of each language (the network lab
 position). A document's probabilities are the mean over all its positions, over the whole
 text: long texts are read as consecutive windows of ``WINDOW`` bytes, all windows of an Arrow
 batch side by side, so one step is one small matrix product for thousands of windows.
-Training is backpropagation through time with Adam on a bounded sample of labelled documents.
+Training is backpropagation through time with Adam on a bounded sample: at most ``DOCS_PER_LANG`` labelled
+documents of a language, and of all windows of their whole texts at most ``WINDOWS_PER_LANG``, each window with
+the same chance. Documents and windows are chosen by hash before they move; only windows reach the fit.
 
 Defined results: a NULL text, or one without any letter, is ``und`` with score 0. Ties go to
 the language that sorts first. With no labelled row at all every document is ``und``.
@@ -22,12 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslake.llm.common import worker_belongs_to
+from newslake.session import materialize
 
 HIDDEN = 8
 WINDOW = 128
 LANES = 2048  # windows computed side by side: bounds the memory of a step
-DOCS_PER_LANG = 300  # bound of the sample, smallest xxhash64(id) first
-WINDOWS_PER_DOC = 3
+DOCS_PER_LANG = 300  # bound of the sample, smallest hash of id and text first
+WINDOWS_PER_LANG = 6000  # bound of the windows of these documents, smallest hash first
+HELD_OUT_ROWS = 1000  # labelled rows that the rejection bound is read from
 STEPS, BATCH, RATE = 240, 192, 0.012
 UNDETERMINED = "und"
 SCHEMA = "lang_pred string, score double"
@@ -166,7 +170,7 @@ def fit(windows: np.ndarray, labels: np.ndarray, n_langs: int, hidden: int = HID
 def _windows(raw: bytes, window: int = WINDOW) -> np.ndarray:
     n = -(-len(raw) // window)
     out = np.zeros(n * window, np.uint8)
-    out[: len(raw)] = np.frombuffer(raw, np.uint8)
+    out[: len(raw)] = np.frombuffer(raw.replace(b"\0", b" "), np.uint8)  # 0 is the padding
     return out.reshape(n, window)
 
 
@@ -192,39 +196,54 @@ def document_probabilities(texts: list[bytes], model: Model) -> np.ndarray:
     return total / np.maximum(total.sum(axis=1, keepdims=True), 1e-9) * (length > 0)[:, None]
 
 
+def _smallest(rows: DataFrame, key: str, per: str, most: int) -> DataFrame:
+    """Of distinct (per, key) rows the ``most`` with the smallest keys for every value of ``per``.
+
+    A histogram of the keys says how far to look, so what meets in a window is little more than what is kept.
+    """
+    place = F.shiftrightunsigned(key, 48).alias("place")
+    counted = rows.select(per, place).groupBy(per, "place").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(per).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    near = counted.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < most)
+    found = rows.withColumn("place", place).join(near.select(per, "place"), [per, "place"])
+    order = Window.partitionBy(per).orderBy("place", key)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select(per, key)
+
+
+def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All windows of every text."""
+    worker_belongs_to("langid")
+    for f in frames:
+        for lang, k, text in zip(f["lang"], f["k"], f["text"], strict=True):
+            w = _windows(text.encode("utf-8", "replace"))
+            for at in range(0, len(w), LANES):
+                part = w[at:at + LANES]
+                yield pd.DataFrame({"lang": lang, "k": k, "i": np.arange(at, at + len(part)), "w": [x.tobytes() for x in part]})
+
+
 def train(docs: DataFrame, may_learn, docs_per_lang: int = DOCS_PER_LANG) -> Model:
-    """Fit on at most ``docs_per_lang`` texts of every language among the rows of ``may_learn``.
+    """Fit on at most ``docs_per_lang`` different rows of every language among the rows of ``may_learn``.
 
-    The sample takes the smallest id hashes per language; Spark limits the rows per language
-    before the shuffle. The fit runs in one task on the sample's windows.
+    The fit runs in one task on the sample's windows.
     """
     rows = (
         docs.select("doc_id", "text", "lang")
         .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0)).where(may_learn)
-        .withColumn("k", F.xxhash64("doc_id"))
+        .select("lang", "text", F.xxhash64("doc_id", "text").alias("k"))
     )
-    order = Window.partitionBy("lang").orderBy("k", "doc_id", "text")
-    sample = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_lang)
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker_belongs_to("langid")
-        for f in frames:
-            f = f.sort_values(["lang", "rank"])
-            out = {"lang": [], "k": [], "w": []}
-            for lang, k, text in zip(f["lang"], f["k"], f["text"], strict=True):
-                w = _windows(text.encode("utf-8", "replace"))
-                pick = np.random.default_rng(abs(int(k))).permutation(len(w))[:WINDOWS_PER_DOC]
-                for i in pick:
-                    out["lang"].append(lang)
-                    out["k"].append(k)
-                    out["w"].append(w[i].tobytes())
-            yield pd.DataFrame(out)
+    keys = materialize(rows.select("lang", "k").distinct(), "langid-keys")
+    chosen = materialize(_smallest(keys, "k", "lang", docs_per_lang), "langid-sample")  # a bounded number a language
+    sample = rows.join(F.broadcast(chosen), ["lang", "k"]).dropDuplicates(["lang", "k"])
+    windows = materialize(
+        sample.select("lang", "k", "text").mapInPandas(_cut, "lang string, k long, i int, w binary")
+        .withColumn("h", F.xxhash64("k", "i")), "langid-windows")
+    used = windows.join(F.broadcast(_smallest(windows.select("lang", "h"), "h", "lang", WINDOWS_PER_LANG)), ["lang", "h"])
 
     def fit_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f = pd.concat([pd.DataFrame({"lang": [], "k": [], "w": []}), *frames], ignore_index=True)
+        f = pd.concat([pd.DataFrame({"lang": [], "h": [], "w": []}), *frames], ignore_index=True)
         if not len(f):
             return
-        f = f.sort_values(["lang", "k", "w"], kind="stable")
+        f = f.sort_values(["lang", "h", "w"], kind="stable")
         langs = sorted(f["lang"].unique())
         windows = np.stack([np.frombuffer(w, np.uint8) for w in f["w"]])
         # Rare languages weigh as much as common ones: repeat their windows.
@@ -237,7 +256,7 @@ def train(docs: DataFrame, may_learn, docs_per_lang: int = DOCS_PER_LANG) -> Mod
                                 "value": [v.astype(np.float64).ravel()]})
 
     got = (
-        sample.select("lang", "rank", "k", "text").mapInPandas(cut, "lang string, k long, w binary").repartition(1)
+        used.select("lang", "h", "w").repartition(1)
         .mapInPandas(fit_task, "langs array<string>, name string, shape array<int>, value array<double>").collect()
     )
     if not got:
@@ -269,3 +288,21 @@ def predict_udf(model: Model):
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
     return predict
+
+
+def rejection_bound(docs: DataFrame, model: Model, held_out, rows: int = HELD_OUT_ROWS) -> float:
+    """The score under which a text is in none of the learned languages.
+
+    A tenth of the way from chance (one in the number of languages) to what all but a hundredth of the labelled rows
+    of ``held_out`` reach, whose number is bounded by ``rows`` (smallest hash first); chance if there are none.
+    """
+    if not model.langs:
+        return 0.0
+    chance = 1.0 / len(model.langs)
+    known = docs.where(F.col("lang").isin(model.langs) & (F.length("text") > 0)).where(held_out).select(
+        "text", F.xxhash64("doc_id", "text").alias("k"))
+    keys = known.select("k").distinct().orderBy("k").limit(rows)
+    sample = known.join(F.broadcast(keys), "k").dropDuplicates(["k"])
+    scored = sample.select(predict_udf(model)("text").alias("p")).where(F.col("p.lang_pred") != UNDETERMINED)
+    low = scored.agg(F.expr("percentile(p.score, 0.01)")).first()[0]
+    return chance if low is None else min(chance, low) + 0.1 * max(0.0, low - chance)
