@@ -168,12 +168,13 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (fp, first_id, component, component_id) of every distinct fingerprint.
+    """(doc_id, text_hash, fp) of every row, and (fp, first_id, component, component_id) of every distinct fingerprint.
 
     ``component`` is a fingerprint and names one component; ``component_id`` may name several, since ids may repeat.
     """
     prints = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(words_per_shingle)(F.col(text_col)).alias("fp")),
+        docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                    fingerprint_udf(words_per_shingle)(F.col(text_col)).alias("fp")),
         "simhash-prints",
     )
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
@@ -211,16 +212,31 @@ def keep_one_per_group(
     An id may stay several times, with texts of different components. A document without an id stays only where
     no document of the component has one. Among rows of equal id and fingerprint the choice is by their hash.
     """
-    _, named = _components(docs, id_col, text_col, words_per_shingle, max_bits)
+    prints, named = _components(docs, id_col, text_col, words_per_shingle, max_bits)
     kept = (
         named.where(F.col("first_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component").agg(F.min("component_id").alias("__kept_id"), F.min("fp").alias("__kept_fp"))
-        .drop("component")
+        .groupBy("component").agg(F.min("component_id").alias("kept_id"), F.min("fp").alias("fp")).drop("component")
     )
-    rows = docs.withColumn("__fp", fingerprint_udf(words_per_shingle)(F.col(text_col)))
-    rows = rows.join(kept, rows[id_col].eqNullSafe(kept["__kept_id"]) & (rows["__fp"] == kept["__kept_fp"]), "left_semi")
+    # One text of an id and fingerprint; n is how often its row repeats.
+    rows = prints.groupBy("doc_id", "fp", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.groupBy("doc_id", "fp").agg(F.min(F.struct("text_hash", "n")).alias("t"))
+    chosen = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["fp"] == kept["fp"]), "left_semi").select(
+        F.col("doc_id").alias("__id"), F.col("t.text_hash").alias("__text"), F.col("t.n").alias("__n"))
+    chosen = materialize(chosen, "simhash-chosen")
+
+    def taken(which: DataFrame) -> DataFrame:
+        """The documents of ``which``, found again by id and hash of the text: no text is fingerprinted twice."""
+        same = docs[id_col].eqNullSafe(which["__id"]) & (F.xxhash64(docs[text_col]) == which["__text"])
+        return docs.join(which, same, "left_semi")
+
+    single = taken(chosen.where(F.col("__n") == 1))
+    many = chosen.where(F.col("__n") > 1)
+    if not many.limit(1).count():
+        return single
+    # Repeated rows: each map task keeps one of its own before anything moves.
     hashed = [c for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
-    return (
-        rows.groupBy(F.col(id_col).alias("__id"), "__fp")
+    one = (
+        taken(many).groupBy(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__text"))
         .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("__row")).select("__row.*")
     )
+    return single.unionByName(one)
