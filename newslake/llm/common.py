@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,21 @@ def worker_belongs_to(owner: str, release: Callable[[], None] | None = None) ->
         _MEMORY[owner] = release
 
 
+@contextmanager
+def acyclic() -> Iterator[None]:
+    """Code that makes many objects and no cycles: the collector's search for cycles waits until it is through.
+
+    With large memos in the worker each search costs more than the work between two of them.
+    """
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newslake.llm.common import sorted_groups, worker_belongs_to
+from newslake.llm.common import acyclic, sorted_groups, worker_belongs_to
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
@@ -182,7 +182,7 @@ class Encoder:
                 plain.append(w)
         stems = {stem for _, stem, _ in ended}
         stems.update(x for parts in apart.values() for behind_space, x in parts if behind_space)
-        self._learn_words(sorted(stems.difference(seen).union(plain)))
+        self._learn_words([*stems.difference(seen).union(plain)])
         bare = {x for parts in apart.values() for behind_space, x in parts if not behind_space}
         bare = list(bare.union(tail for _, _, tail in ended))
         ids_of = dict(zip(bare, self._pieces(bare), strict=True))
@@ -254,7 +254,8 @@ def _write_blocks(path: str, end_id: int):
         for f in frames:
             for group in _text_groups(f["text"]):
                 part = f.iloc[group]
-                coded = enc.encode(part["text"].tolist())
+                with acyclic():
+                    coded = enc.encode(part["text"].tolist())
                 for key, none, raw in zip(part["key"].tolist(), part["no_key"].tolist(), coded, strict=True):
                     copy = copy + 1 if (key, none) == last else 0
                     last = (key, none)
