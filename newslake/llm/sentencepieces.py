@@ -35,7 +35,7 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import functions as F
 
-from newslake.llm.common import worker_belongs_to
+from newslake.llm.common import acyclic, worker_belongs_to
 
 MARK = "▁"
 _WORD_CACHE, _PART_CACHE, _PREFIX_CACHE, _PAIR_CACHE = 200_000, 50_000, 100_000, 250_000
@@ -363,7 +363,8 @@ def roundtrip_udf(path: str):
     def roundtrip(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = coder(path)
         for texts in parts:
-            rows = [c.roundtrip(t)[:3] for t in texts]
+            with acyclic():
+                rows = [c.roundtrip(t)[:3] for t in texts]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return roundtrip
@@ -377,7 +378,8 @@ def encoded_udf(path: str):
         c = coder(path)
         for texts in parts:
             for group in _groups(texts):
-                rows = list(map(c.roundtrip, group))
+                with acyclic():
+                    rows = list(map(c.roundtrip, group))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     return encoded
