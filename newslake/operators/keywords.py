@@ -16,8 +16,9 @@ from joins-free column work, one hash aggregate and per-document windows:
 * lowest score first, ties by term, top ``k`` per document.
 
 Every step keeps the document id in its grouping key, so with input partitioned by id
-(as the loaders arrange) the aggregate and the windows need no further shuffle; each
-window partition is one document's vocabulary.
+(as the loaders arrange) the aggregates and the windows need no further shuffle; each
+window partition is one document's vocabulary or one of its terms. All counts are hash
+aggregates over short rows: no list of sentences or neighbours is ever collected.
 """
 
 from __future__ import annotations
@@ -88,25 +89,33 @@ def keyword_features(
     tok = F.col("tok")
     upper_start = F.substring(tok, 1, 1).rlike(r"\p{Lu}") & (F.col("t_pos") > 0)
     acronym = (tok == F.upper(tok)) & (tok != F.lower(tok)) & (F.length(tok) > 1)
-    feats = cand.groupBy("_id", "n_sent", "term").agg(
-        F.count(F.lit(1)).alias("tf"),
-        F.count_if(upper_start).alias("tf_upper"),
-        F.count_if(acronym).alias("tf_acronym"),
-        F.sort_array(F.collect_list("s_idx")).alias("_sents"),
-        F.count("left").alias("left_n"),
-        F.size(F.collect_set("left")).alias("left_d"),
-        F.count("right").alias("right_n"),
-        F.size(F.collect_set("right")).alias("right_d"),
-    )
-    # Exact median and distinct sentences from the sorted sentence indices of the term.
-    n_occ = F.size("_sents")
-    lo = F.element_at("_sents", F.floor((n_occ + 1) / 2).cast("int"))
-    hi = F.element_at("_sents", (F.floor(n_occ / 2) + 1).cast("int"))
-    feats = (
-        feats.withColumn("med_sent", (lo + hi) / F.lit(2.0))
-        .withColumn("sf", F.size(F.array_distinct("_sents")))
-        .drop("_sents")
-    )
+    cand = cand.withColumn("up", upper_start.cast("int")).withColumn("ac", acronym.cast("int"))
+    # An occurrence counts for its sentence, its left and its right neighbour: one row each, so that sentences and
+    # distinct neighbours are what a first hash aggregate leaves, and a second one counts them.
+    parts = F.expr(
+        "stack(3, 0, s_idx, cast(null as string), up, ac, 1, cast(null as int), left, 0, 0, "
+        "2, cast(null as int), right, 0, 0) as (part, s_idx, near, up, ac)")
+    each = cand.select("_id", "n_sent", "term", parts).filter((F.col("part") == 0) | F.col("near").isNotNull())
+    each = each.groupBy("_id", "n_sent", "term", "part", "s_idx", "near").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("up").alias("up"), F.sum("ac").alias("ac"))
+    # Exact median of the sentence index by weighted selection: the sentence in which the running count reaches it.
+    same = Window.partitionBy("_id", "n_sent", "term", "part")
+    upto = same.orderBy("s_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.withColumn("n", F.sum("c").over(same)).withColumn("upto", F.sum("c").over(upto))
+
+    def reached(place: Column) -> Column:
+        here = (F.col("part") == 0) & (F.col("upto") >= place) & (F.col("upto") - F.col("c") < place)
+        return F.max(F.when(here, F.col("s_idx")))
+
+    def of(part: int, value: Column) -> Column:
+        return F.sum(F.when(F.col("part") == part, value).otherwise(0))
+
+    one = F.lit(1)
+    feats = each.groupBy("_id", "n_sent", "term").agg(
+        of(0, F.col("c")).alias("tf"), F.sum("up").alias("tf_upper"), F.sum("ac").alias("tf_acronym"), of(0, one).alias("sf"),
+        reached(F.floor((F.col("n") + 1) / 2)).alias("lo"), reached(F.floor(F.col("n") / 2) + 1).alias("hi"),
+        of(1, F.col("c")).alias("left_n"), of(1, one).alias("left_d"), of(2, F.col("c")).alias("right_n"), of(2, one).alias("right_d"),
+    ).withColumn("med_sent", (F.col("lo") + F.col("hi")) / F.lit(2.0))
     w = Window.partitionBy("_id")
     feats = (
         feats.withColumn("mean_tf", F.avg("tf").over(w))
@@ -133,9 +142,9 @@ def ranked_keywords(
     feats = keyword_features(df, id_col=id_col, text=text, stopwords=stopwords, lang_col=lang_col)
     w = Window.partitionBy("_id").orderBy(F.col("score").asc(), F.col("term").asc())
     top = feats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k)
-    per_doc = top.groupBy("_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]).alias("keywords")
-    )
+    # One aggregate a rank over rows that the window left sorted by document: nothing is collected.
+    ranks = [F.max(F.when(F.col("rank") == i, F.col("term"))) for i in range(1, top_k + 1)]
+    per_doc = top.groupBy("_id").agg(F.array_compact(F.array(*ranks)).alias("keywords"))
     return per_doc.withColumnRenamed("_id", id_col)
 
 

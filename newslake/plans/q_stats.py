@@ -28,18 +28,18 @@ cand AS (
   FROM tot CROSS JOIN stats CROSS JOIN v LEFT JOIN sh ON sh.id = tot.id AND sh.lang = stats.lang
 ),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS rk FROM cand)
-SELECT id, CASE WHEN tt > 0 THEN lang ELSE 'en' END AS lang_pred FROM r WHERE rk = 1 AND id % 2 <> 0
+SELECT id, CASE WHEN tt > 0 THEN lang ELSE 'en' END AS lang_pred, id % 2 <> 0 AS held_out FROM r WHERE rk = 1
 """
 
 
 @query("language_id", LANG_SQL)
 def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train gram profiles on the labelled documents of even id, then score those of odd id."""
+    """Train gram profiles on the labelled documents of even id, then score all; those of odd id are held out."""
     from newslake.operators.language import identify_language, train_profile
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("text").alias("content"))
     profile = train_profile(docs.where("id % 2 = 0"), lang="lang", text="content")
-    return identify_language(docs.where("id % 2 <> 0"), profile)
+    return identify_language(docs, profile).withColumn("held_out", F.col("id") % 2 != 0)
 
 
 def _stopwords_sql() -> str:

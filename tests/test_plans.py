@@ -41,3 +41,13 @@ def test_merge_filters_history_with_broadcast_batch_keys(spark, capsys):
 def test_digest_never_collects_a_day(spark, capsys):
     out = plan_of(catalog.all_queries()["daily_digest"](spark, SF_SMALL), capsys)
     assert "collect_list" not in out and "collect_set" not in out
+
+
+def test_ranked_keywords_collect_nothing(spark, capsys):
+    out = plan_of(catalog.all_queries()["keywords_ranked"](spark, SF_SMALL), capsys)
+    assert "collect_" not in out and "ObjectHashAggregate" not in out
+
+
+def test_every_document_gets_a_language(spark):
+    rows = catalog.all_queries()["language_id"](spark, SF_SMALL).collect()
+    assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count() and {r["held_out"] for r in rows} == {True, False}
