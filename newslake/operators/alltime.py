@@ -45,9 +45,11 @@ class AllTimeTable:
     """A table at ``path``, unique by ``key``, newest first by ``time`` (then ``ties``), in periods."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, *, key: str, time: str, ties: list[str],
-                 period: Callable[[Column], Column] = month_of, buckets: int = BUCKETS):
+                 period: Callable[[Column], Column] = month_of, buckets: int = BUCKETS,
+                 cluster: list[str] | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.key, self.time, self.ties, self.period, self.buckets = key, time, ties, period, buckets
+        self.cluster = cluster or []  # columns that rows of a period are sorted by before their time
 
     # ---------------------------------------------------------------- manifest
 
@@ -99,6 +101,19 @@ class AllTimeTable:
             held += e["rows"]
         return self._read(entries).orderBy(*self._newest_first()).limit(n)
 
+    def newest_where(self, n: int, predicate: Column) -> DataFrame:
+        """SRC10: the ``n`` newest rows that satisfy a predicate, in order.
+
+        Periods are opened from the newest on, twice as many each time, until so many rows are found; the predicate is
+        pushed into the scan, and where the table is clustered by its columns row groups are skipped.
+        """
+        entries, opened = self.manifest(), 1
+        while True:
+            found = self._read(entries[:opened]).where(predicate)
+            if opened >= len(entries) or found.limit(n).count() >= n:
+                return found.orderBy(*self._newest_first()).limit(n)
+            opened *= 2
+
     # ---------------------------------------------------------------- merging
 
     def _bucket(self) -> Column:
@@ -140,7 +155,7 @@ class AllTimeTable:
             return {"existing": existing, "incoming": incoming.get["rows"], "kept": 0, "dropped": incoming.get["rows"]}
         old = self._read([e for e in before if e["period"] in touched]).withColumn("period", period)
         rows = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
-        order = ["period", *self._newest_first()]
+        order = ["period", *self.cluster, *self._newest_first()]
         # Counted behind the exchange: dealing into ranges samples the rows once more.
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         rows.observe(kept, F.sum("__new").alias("rows")).drop("__new").write.mode("overwrite").partitionBy("period").parquet(

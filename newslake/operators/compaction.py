@@ -8,7 +8,7 @@ separate maintenance step after the write has succeeded.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslake.functions.text import as_col
@@ -47,4 +47,24 @@ def write_daily(df: DataFrame, path: str) -> str:
     return path
 
 
-__all__ = ["compact_snapshots", "write_daily"]
+def packed_files(parts: DataFrame, target_bytes: int) -> DataFrame:
+    """SNK7: (name, day, bin): parts of a day put into files of about ``target_bytes``, in the order of their names.
+
+    Over names and sizes alone, one row a part. A part starts a new file where the bytes before it have filled
+    another multiple of the target, so every file but a day's last is within a part's size of it.
+    """
+    before = Window.partitionBy("day").orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    return parts.withColumn("bin", F.floor(filled / F.lit(target_bytes)).cast("int")).select("name", "day", "bin")
+
+
+def write_packed(df: DataFrame, plan: DataFrame, path: str, part: str, order: list[str]) -> str:
+    """Write rows (``part`` names theirs) as one file per (day, bin) of ``packed_files``, in ``order``."""
+    placed = df.join(plan.withColumnRenamed("name", part), part)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.repartition(n, "day", "bin").sortWithinPartitions("day", "bin", *order)
+    dealt.write.mode("overwrite").partitionBy("day", "bin").parquet(path)
+    return path
+
+
+__all__ = ["compact_snapshots", "packed_files", "write_daily", "write_packed"]

@@ -8,10 +8,11 @@ Names without a date, and the all-time table, are always kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.functions.text import as_col
+from newslake.session import delete_path
 
 NAME_DATE_PATTERN = r"(\d{4}-\d{2}-\d{2})"
 ALWAYS_KEEP = ("all_news.json",)
@@ -42,4 +43,26 @@ def expired(df: DataFrame, name: str, as_of: str, days: int = 5) -> DataFrame:
     return df.filter(expired_flag(name, as_of, days))
 
 
-__all__ = ["expired", "expired_flag", "name_day", "retain"]
+def drop_expired_partitions(spark: SparkSession, path: str, as_of: str, days: int = 5) -> list[str]:
+    """SNK8: delete the expired partition folders of a table, judged by their names; returns the names.
+
+    Only the folder is listed: no data file is opened, and what has no date in its name stays.
+    """
+    names = partition_names(spark, path)
+    if not names:
+        return []
+    listed = spark.createDataFrame([(n,) for n in names], "name string")  # one row a partition
+    gone = sorted(r["name"] for r in expired(listed, "name", as_of, days).collect())
+    for name in gone:
+        delete_path(spark, f"{path.rstrip('/')}/{name}")
+    return gone
+
+
+def partition_names(spark: SparkSession, path: str) -> list[str]:
+    """The folders of a partitioned table, ``column=value`` each."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
+
+
+__all__ = ["drop_expired_partitions", "expired", "expired_flag", "name_day", "partition_names", "retain"]

@@ -168,6 +168,39 @@ def q_retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired(_named_events(spark, sf_dir), "file", RETENTION_AS_OF, RETENTION_DAYS)
 
 
+@query("retention_partitions", _retention_sql(True))
+def q_retention_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK8, FIL11: the same files as partitions of a table, dropped by their names; what is left is read."""
+    from newslake.operators.retention import drop_expired_partitions
+    from newslake.session import scratch_path
+
+    path = scratch_path(spark, "named")
+    _named_events(spark, sf_dir).repartition("file").write.partitionBy("file").parquet(path)
+    drop_expired_partitions(spark, path, RETENTION_AS_OF, RETENTION_DAYS)
+    return spark.read.parquet(path).select("event_id", "file")
+
+
+PACKED_SQL = """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
+WHERE ts IS NOT NULL GROUP BY 1
+"""
+
+
+@query("compact_by_size", PACKED_SQL)
+def q_compact_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK7: hourly parts packed into files of a target size by their names and bytes, read back by day."""
+    from newslake.operators.compaction import packed_files, write_packed
+    from newslake.session import materialize, scratch_path
+
+    ev = table(spark, sf_dir, "events").where("ts IS NOT NULL").select(
+        "event_id", "event_type", "ts", F.date_format("ts", "yyyy-MM-dd_HH").alias("part"))
+    parts = ev.groupBy("part").agg(F.sum(F.octet_length("event_type") + 16).alias("bytes")).select(
+        F.col("part").alias("name"), F.substring("part", 1, 10).alias("day"), "bytes")
+    plan = materialize(packed_files(parts, 64 << 10), "packed")
+    path = write_packed(ev, plan, scratch_path(spark, "packed-days"), "part", ["ts", "event_id"])
+    back = spark.read.parquet(path).select(F.col("day").cast("string").alias("day"), "event_id")
+    return back.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 # Merge scenario on orders: the accumulated table holds the first order of every
 # customer up to the cut; the incoming batch re-sends an overlapping half year.
 MERGE_CUT = "1998-01-01"

@@ -166,6 +166,42 @@ def q_daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DIGEST_OBJECT_SQL = f"SELECT day, status, title, url, platforms FROM ({DIGEST_SQL})"
+
+
+@query("digest_object", DIGEST_OBJECT_SQL)
+def q_digest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: the digest written as one object keyed by day over many files, read back."""
+    from newslake.operators.digest import read_digest_object, write_digest_object
+    from newslake.session import scratch_path
+
+    digest = daily_digest(tagged_dated_docs(spark, sf_dir), order=["seq"])
+    path = write_digest_object(digest, scratch_path(spark, "digest-object"), ["seq"])
+    return read_digest_object(spark, path).select(
+        "day", "status", "title", "url", F.array_join(F.col("platforms_mentioned"), "|").alias("platforms"))
+
+
+SOURCE_QUERY_SQL = f"""WITH {S.ARTICLES_CTE}
+SELECT a.id, a.url, p.published_at FROM art a LEFT JOIN pub p ON a.id = p.id
+WHERE a.lang = 'en' AND a.source <> 'src0' AND contains(lower(a.title), 'the')
+ORDER BY p.published_at DESC NULLS LAST, a.id LIMIT 100
+"""
+
+
+@query("source_query", SOURCE_QUERY_SQL)
+def q_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10, TOP2: language, source and searched-field predicates with the newest-first page cap, on the stored table."""
+    from newslake.operators.alltime import AllTimeTable
+    from newslake.session import scratch_path
+
+    arts = with_published(doc_articles(spark, sf_dir).drop("content"), spark, sf_dir)
+    stored = AllTimeTable(spark, scratch_path(spark, "source-table"), arts.schema, key="url", time="published_at",
+                          ties=["id"], buckets=16, cluster=["lang"])
+    stored.merge(arts, first=["seq"])
+    wanted = (F.col("lang") == "en") & (F.col("source") != "src0") & F.lower("title").contains("the")
+    return stored.newest_where(100, wanted).select("id", "url", "published_at")
+
+
 # --------------------------------------------------------------------------- articles
 
 DIGEST_STATUS_SQL = f"""WITH e AS (
