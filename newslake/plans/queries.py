@@ -349,6 +349,26 @@ def q_detect_entities_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(out, ["platforms_mentioned", "competitors_mentioned", "funds_mentioned", "companies_mentioned"])
 
 
+SUBSTRING_INDEX_SQL = """WITH t AS (
+  SELECT DISTINCT substring(lower(text), 1 + CAST(doc_id % 40 AS INTEGER), 2 + CAST(doc_id % 9 AS INTEGER)) AS term FROM documents
+), d AS (SELECT doc_id AS id, lower(coalesce(text, '')) AS low FROM documents)
+SELECT id, coalesce(string_agg(term, '|' ORDER BY term), '') AS terms, count(term) AS n
+FROM d LEFT JOIN t ON length(term) > 0 AND contains(low, term) GROUP BY id
+"""
+
+
+@query("substring_index", SUBSTRING_INDEX_SQL)
+def q_substring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOI2 with a list as long as the table: one term from every document, looked for in all documents."""
+    from newslake.operators.match import tag_substrings
+    from newslake.plans.tables import table
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    terms = docs.select(F.substr(F.lower("text"), (1 + F.col("id") % 40).cast("int"), (2 + F.col("id") % 9).cast("int")).alias("term"))
+    return tag_substrings(docs, terms, text="text", out="terms").select(
+        "id", F.array_join("terms", "|").alias("terms"), F.size("terms").cast("long").alias("n"))
+
+
 def _cascade_sql(low: str) -> str:
     parts = " ".join(f"WHEN {S.any_contains(low, terms)} THEN {S.lit(label)}" for label, terms in TEST_CASCADE)
     return f"CASE {parts} ELSE 'unknown' END"
