@@ -8,13 +8,14 @@ its ``k`` smallest shingle hashes (bottom-k MinHash), and asks which of them occ
 Items are partitioned by their number of shingles; each partition ``[2^i, 2^(i+1))`` has its own sketch
 size ``k = floor((1 - t) u) + 1`` for its upper size ``u``. A document that contains at least ``t`` of an
 item misses at most ``(1 - t) n`` of its shingles, fewer than ``k``, so at least one sketch entry occurs
-in the document: the search cannot lose a true match at any document length. A document is only probed
-against partitions it is large enough to contain. Candidates are verified on the words themselves: all
-distinct shingles of the item against those of the whole document.
+in the document: the search cannot lose a true match at any document length. Candidates of a partition that
+the document is too small for are dropped before they are verified on the words themselves: all distinct
+shingles of the item against those of the whole document.
 
-Sketches are broadcast in blocks of at most ``BLOCK_ENTRIES`` entries; a larger benchmark takes more
-passes over the documents, never a larger broadcast. No pair of documents is ever formed, and a passage
-shared by a third of the documents costs each of them one lookup.
+The benchmark is streamed through the driver in blocks of at most ``BLOCK_ENTRIES`` sketch entries. A block's
+pass over the documents is finished and written before the next block is built, so driver and workers hold one
+block (the driver also the rows of the next), whatever the benchmark's size. No pair of documents is ever
+formed, and a passage shared by a third of the documents costs each of them one lookup.
 
 Defined results: items with fewer than five words are one shingle of all their words; empty and NULL
 items match nothing, empty and NULL documents contain nothing. Items of equal text match alike and each
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from newslake.llm.common import worker_belongs_to
+from newslake.session import materialize
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -141,6 +143,15 @@ def _blocks(benchmark: DataFrame, n: int, t: float) -> Iterator[list[tuple[objec
     yield items
 
 
+def _with_more(blocks: Iterator[list]) -> Iterator[tuple[list, bool]]:
+    """Every block, and whether another follows."""
+    block = next(blocks)
+    for following in blocks:
+        yield block, True
+        block = following
+    yield block, False
+
+
 def contained_items(
     docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS, t: float = THRESHOLD
 ) -> DataFrame:
@@ -149,7 +160,7 @@ def contained_items(
     schema = StructType([StructField("doc_id", id_type), StructField("item_id", item_type),
                          StructField("containment", DoubleType())])
     out = None
-    for block in _blocks(benchmark, n, t):
+    for block, more in _with_more(_blocks(benchmark, n, t)):
         sketches = Sketches(block, n, t)
 
         def search(frames: Iterator[pd.DataFrame], sketches=sketches) -> Iterator[pd.DataFrame]:
@@ -161,6 +172,8 @@ def contained_items(
                     yield pd.DataFrame(got, columns=["doc_id", "item_id", "containment"])
 
         part = docs.select("doc_id", "text").mapInPandas(search, schema)
+        if more or out is not None:  # the pass ends here, and with it the block's broadcast
+            part = materialize(part, "decontam-block")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -169,8 +182,10 @@ def without_benchmark(
     docs: DataFrame, benchmark: DataFrame, n: int = SHINGLE_WORDS, t: float = THRESHOLD
 ) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item; all columns kept, no shuffle."""
-    for block in _blocks(benchmark, n, t):
+    for block, more in _with_more(_blocks(benchmark, n, t)):
         docs = docs.where(_clean_udf(Sketches(block, n, t))(F.col("text")))
+        if more:
+            docs = materialize(docs, "decontam-block")
     return docs
 
 
