@@ -10,6 +10,7 @@ from newslake.functions.text import NAMED_REFERENCES, strip, truncate_title
 from newslake.plans import sqlparts as S
 from newslake.plans.registry import query
 from newslake.plans.tables import doc_articles, table
+from newslake.session import materialize
 from newslake.sources.html import site_base
 
 BLOCKS_RE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -186,7 +187,7 @@ def q_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sound items with their place in the feed; ``in_whole``: also kept where a broken item drops its feed."""
     from newslake.sources.feeds import feed_items, parse_feeds
 
-    parsed = parse_feeds(_feeds(spark, sf_dir))
+    parsed = materialize(parse_feeds(_feeds(spark, sf_dir)), "parsed-feeds")  # read three times below
     whole = feed_items(parsed, whole_feed=True).select("file", "pos", F.lit(True).alias("in_whole"))
     return feed_items(parsed).join(whole, ["file", "pos"], "left").select(
         "file", "pos", "title", F.coalesce("in_whole", F.lit(False)).alias("in_whole"))
