@@ -158,7 +158,6 @@ def _code_point(ref: Column) -> Column:
 
 def decode_references(c: Column | str) -> Column:
     """Decode HTML character references: numeric ones and those of ``NAMED_REFERENCES``."""
-    text = as_col(c)
     numeric = r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
     def piece(p: Column, i: Column) -> Column:
@@ -167,10 +166,14 @@ def decode_references(c: Column | str) -> Column:
         return F.when(ch.isNotNull(), F.concat(ch, F.substr(p, F.length(ref) + 2))).when(
             i > 0, F.concat(F.lit("&#"), p)).otherwise(p)
 
-    out = F.when(text.contains("&#"), F.array_join(F.transform(F.split(text, "&#"), piece), "")).otherwise(text)
-    for ref, ch in NAMED_REFERENCES:
-        out = F.replace(out, F.lit(ref), F.lit(ch))
-    return F.when(text.contains("&"), out).otherwise(text)
+    def decoded(text: Column) -> Column:
+        out = F.when(text.contains("&#"), F.array_join(F.transform(F.split(text, "&#"), piece), "")).otherwise(text)
+        for ref, ch in NAMED_REFERENCES:
+            out = F.replace(out, F.lit(ref), F.lit(ch))
+        return F.when(text.contains("&"), out).otherwise(text)
+
+    # The text is a lambda variable: what it is made from is computed once, not once a reference.
+    return F.get(F.transform(F.array(as_col(c)), decoded), 0)
 
 
 def strip_tags(c: Column | str) -> Column:

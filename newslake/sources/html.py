@@ -50,13 +50,13 @@ def attribute(raw: Column | str) -> Column:
 
 def page_links(df: DataFrame, *, id_col: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """Every ``a[href]`` of a page: ``id, pos, href, text, abs_url`` (PRJ7 for relative links)."""
-    body = strip_markup_blocks(F.col(html))
+    body = F.col("_body")
     zipped = F.arrays_zip(
         F.regexp_extract_all(body, F.lit(ANCHOR), 1).alias("href"),
         F.regexp_extract_all(body, F.lit(ANCHOR), 2).alias("inner"),
     )
     return (
-        explode_with_pos(df, [F.col(id_col), F.col(url).alias("_url")], zipped, "pos", "a")
+        explode_with_pos(df.withColumn("_body", strip_markup_blocks(F.col(html))), [F.col(id_col), F.col(url).alias("_url")], zipped, "pos", "a")
         .select(id_col, "pos", attribute("a.href").alias("href"), strip_tags(F.col("a.inner")).alias("text"), "_url")
         .withColumn("abs_url", absolute_url("href", site_base("_url"))).drop("_url")
     )
@@ -64,12 +64,11 @@ def page_links(df: DataFrame, *, id_col: str = "page_id", html: str = "html", ur
 
 def page_meta(df: DataFrame, *, id_col: str = "page_id", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """``id, title, h1, first_p``: text of ``<title>``, the first ``<h1>`` and ``<p>``."""
-    body = strip_markup_blocks(F.col(html))
-
     def first(tag: str) -> Column:
-        return strip_tags(F.regexp_extract(body, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
+        return strip_tags(F.regexp_extract("_body", rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
 
-    return df.select(F.col(id_col), *keep, first("title").alias("title"), first("h1").alias("h1"), first("p").alias("first_p"))
+    # Stripped once: a column of its own, which three tags read.
+    return df.withColumn("_body", strip_markup_blocks(F.col(html))).select(F.col(id_col), *keep, first("title").alias("title"), first("h1").alias("h1"), first("p").alias("first_p"))
 
 
 def section_teasers(df: DataFrame, *, id_col: str, html: str = "html", base: Column | str | None = None) -> DataFrame:
