@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslake.plans.registry import query
@@ -76,6 +76,43 @@ def q_json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("pos", "url", "title", "content")
 
 
+AS_OF = "2024-01-10"
+SELECTION_SQL = """WITH f AS (
+  SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'news_' || strftime(ts, '%Y-%m-%d') || '.json'
+    WHEN 1 THEN 'finanzen_' || strftime(ts, '%Y-%m-%d_%H') || '00.json' WHEN 2 THEN 'news_2024_Q1.json'
+    WHEN 3 THEN 'all_news.json' ELSE 'news_filtered_for_companies_of_interest.json' END AS file FROM events WHERE ts IS NOT NULL
+), s AS (
+  SELECT 'batch' AS selection, * FROM f WHERE file LIKE 'news\\_2024-01-10%.json' ESCAPE '\\'
+  UNION ALL SELECT 'snapshots', * FROM f WHERE file LIKE 'finanzen\\_2024-01-09\\_%.json' ESCAPE '\\'
+  UNION ALL SELECT 'quarters', * FROM f WHERE file LIKE 'news\\_%\\_Q%.json' ESCAPE '\\'
+  UNION ALL SELECT 'articles', * FROM f WHERE file <> 'all_news.json' AND NOT contains(file, 'filtered_for_companies_of_interest')
+)
+SELECT selection, file, row_number() OVER (PARTITION BY selection ORDER BY file) AS place, count(*) AS n FROM s GROUP BY selection, file
+"""
+
+
+@query("file_selection", SELECTION_SQL)
+def q_file_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2, FIL11, ORD3, SCA13, SRC9: which landed files a job of a day reads, in the order of their names."""
+    from newslake.sources.json_files import select_names, write_if_any
+
+    kind, day = F.col("event_id") % 5, F.date_format("ts", "yyyy-MM-dd")
+    name = (F.when(kind == 0, F.concat(F.lit("news_"), day, F.lit(".json")))
+            .when(kind == 1, F.concat(F.lit("finanzen_"), F.date_format("ts", "yyyy-MM-dd_HH"), F.lit("00.json")))
+            .when(kind == 2, F.lit("news_2024_Q1.json")).when(kind == 3, F.lit("all_news.json"))
+            .otherwise(F.lit("news_filtered_for_companies_of_interest.json")))
+    landed = scratch_path(spark, "named-files")
+    table(spark, sf_dir, "events").where("ts IS NOT NULL").select("event_id", name.alias("file")).repartition("file").write.partitionBy(
+        "file").parquet(landed)
+    files = spark.read.parquet(landed).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    picked = files.select(F.explode(select_names("file", AS_OF)).alias("selection"), "file", "n")
+    placed = picked.withColumn("place", F.row_number().over(Window.partitionBy("selection").orderBy("file")))  # one row a file
+    out = scratch_path(spark, "selected")
+    if not write_if_any(placed, out, "parquet"):
+        return placed
+    return spark.read.parquet(out).select("selection", "file", F.col("place").cast("long").alias("place"), "n")
+
+
 CSV_SQL = """SELECT CAST(doc_id AS VARCHAR) AS id, lang || ', ' || source || ', "q", x' AS tags FROM documents"""
 
 

@@ -104,3 +104,25 @@ def q_keywords_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ranked_keywords(docs, id_col="id", text="content", top_k=10).select(
         "id", F.array_join("keywords", "|").alias("keywords")
     )
+
+
+_PLAIN = "SELECT doc_id AS id, coalesce(text, '') AS t FROM documents"
+COLLECTED_SQL = KEYWORDS_RANKED_SQL.replace(_PLAIN, _PLAIN.replace("coalesce(text", "coalesce(source, '') || ' ' || coalesce(text"))
+
+
+@query("collected_keywords", COLLECTED_SQL)
+def q_collected_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ8, FIL2: two collectors' articles, united with the query filter at its default (off), then given keywords."""
+    from newslake.operators.normalize import uniform_articles
+    from newslake.plans.jobs import collect_batch
+
+    docs = table(spark, sf_dir, "documents")
+
+    def collected(rows: DataFrame) -> DataFrame:
+        return uniform_articles(
+            rows, source=F.col("lang"), url=F.lit(None), title=F.col("source"), published_at=F.lit(""), content=F.col("text"),
+            extra={"file": F.lit("documents"), "pos": F.col("doc_id")})
+
+    batch = collect_batch(spark, {}, collected={
+        "first": collected(docs.where("lang = 'en'")), "second": collected(docs.where("lang <> 'en' OR lang IS NULL"))})
+    return batch.select(F.col("pos").alias("id"), F.array_join("keywords", "|").alias("keywords"))

@@ -10,13 +10,16 @@ rejects frame with a reason. A file holding ``[]`` is an empty source, not an er
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslake.functions.text import PY_WHITESPACE
+from newslake.functions.text import PY_WHITESPACE, as_col
+from newslake.operators.filters import exclude_files
 from newslake.schemas import ARTICLE_SCHEMA
 
+# Fixed value: what names the extracts that are no input themselves.
+DIGESTS = ("filtered_for_companies_of_interest",)
 REJECT_SCHEMA = "file string, reason string"
 
 
@@ -81,6 +84,25 @@ def quarter_glob(base: str) -> str:
     return f"{base.rstrip('/')}/news_*_Q*.json"
 
 
+def select_names(name: Column | str, as_of: str, *, excluded: tuple[str, ...] = DIGESTS) -> Column:
+    """The selections (SRC2, FIL11) that a landed file's name belongs to, for tables partitioned by it.
+
+    ``batch``: the day's batches; ``snapshots``: the hourly snapshots of the day before (the ones to be compacted);
+    ``quarters``: quarter tables; ``articles``: every JSON file but the all-time table and filtered extracts. ``as_of``
+    is the day (SCA13), never the clock. Each test is a LIKE on the name, so a filter on a selection prunes partitions.
+    """
+    n = as_col(name)
+    day = F.to_date(F.lit(as_of))
+    today, yesterday = F.date_format(day, "yyyy-MM-dd"), F.date_format(F.date_sub(day, 1), "yyyy-MM-dd")
+    tests = {
+        "batch": n.startswith(F.concat(F.lit("news_"), today)) & n.endswith(".json"),
+        "snapshots": n.startswith(F.concat(F.lit("finanzen_"), yesterday, F.lit("_"))) & n.endswith(".json"),
+        "quarters": n.like("news\\_%\\_Q%.json"),
+        "articles": n.like("%.json") & exclude_files(n, contains=excluded),
+    }
+    return F.array_compact(F.array(*[F.when(test, F.lit(k)) for k, test in tests.items()]))
+
+
 def write_if_any(df: DataFrame, path: str, fmt: str = "json") -> bool:
     """SRC9: write only when there is at least one row; returns whether it wrote."""
     if df.isEmpty():
@@ -91,5 +113,5 @@ def write_if_any(df: DataFrame, path: str, fmt: str = "json") -> bool:
 
 __all__ = [
     "daily_batch_glob", "quarter_glob", "read_json_arrays",
-    "snapshot_glob", "with_seq", "write_if_any",
+    "select_names", "snapshot_glob", "with_seq", "write_if_any",
 ]
