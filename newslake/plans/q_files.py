@@ -9,7 +9,7 @@ from newslake.plans.registry import query
 from newslake.plans.tables import table
 from newslake.session import scratch_path
 
-PER_FILE = 1000
+PER_FILE = 250
 
 JSON_FILES_SQL = f"""SELECT CAST(event_id % {PER_FILE} AS INTEGER) AS pos, 'http://e/' || CAST(event_id AS VARCHAR) AS url,
        event_type AS title, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS published_at
