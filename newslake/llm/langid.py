@@ -199,9 +199,10 @@ def document_probabilities(texts: list[bytes], model: Model) -> np.ndarray:
 def _smallest(rows: DataFrame, key: str, per: str, most: int) -> DataFrame:
     """Of distinct (per, key) rows the ``most`` with the smallest keys for every value of ``per``.
 
-    A histogram of the keys says how far to look, so what meets in a window is little more than what is kept.
+    A histogram of the keys (4,096 places a value) says how far to look; of what lies that near each map task hands
+    on its smallest ``most`` keys.
     """
-    place = F.shiftrightunsigned(key, 48).alias("place")
+    place = F.shiftrightunsigned(key, 52).alias("place")
     counted = rows.select(per, place).groupBy(per, "place").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy(per).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     near = counted.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < most)
