@@ -2,23 +2,24 @@
 
 Training is a hash aggregate ``groupBy(lang, gram).count()`` over the gram occurrences
 of labelled text (partial aggregation per task keeps the hash tables vocabulary-sized).
-Scoring counts the grams of each text first, so a frequent gram is one row per text, then
-joins (text, gram, count) with the profile, one row per (gram, language), broadcast only
-while its measured bytes allow, and sums per (text, language):
+Scoring joins the grams of each text, one row an occurrence, with the profile, one row a
+gram with its weight in every language, and sums them per text in the same task. The profile
+is broadcast, in blocks of bounded measured bytes with a pass over the texts each, so only
+one row of sums per text is ever shuffled:
 
     score(lang) = sum_g c_g * ln(n_{g,lang} + 1) - T * ln(N_lang + V)
 
 which equals ``sum_g c_g * ln((n_{g,lang} + 1) / (N_lang + V))`` (add-one smoothing; ``T``
 grams in the document, ``N_lang`` grams of the language, ``V`` distinct grams). The
 highest score wins, ties by language code; a document without grams gets ``en``. Texts are
-keyed by their digest: rows that share an id are scored by themselves. Grams are taken by
-code point. Only one number per language comes to the driver.
+keyed by id and digest: different texts that share an id are scored by themselves. Grams are
+taken by code point. Only one number per language comes to the driver.
 """
 
 from __future__ import annotations
 
-import json
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,27 +85,40 @@ def identify_language(df: DataFrame, profile: DataFrame, *, id_col: str = "id",
     if not stats:
         return df.select(F.col(id_col), F.lit(FALLBACK).alias(out))
     vocab = profile.select("gram").distinct().count()
-    side = profile.select("gram", "lang", F.log(F.col("n") + F.lit(1.0)).alias("w"))
-    if 4 * sum(r["size"] for r in stats) <= BROADCAST_BYTES:
-        side = F.broadcast(side)
-    docs = df.select(F.col(id_col), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_k"), F.col(text).alias("_t"))
-    grams = explode_grams(docs, ["_k"], "_t").groupBy("_k", "gram").agg(F.count(F.lit(1)).alias("n"))
-    found = (
-        grams.join(side, "gram").groupBy("_k", "lang").agg(F.sum(F.col("n") * F.col("w")).alias("s"))
-        .groupBy("_k").agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("_s"))
-    )
-    # Equal texts were counted together: their totals add up like their grams.
-    keyed = docs.select(id_col, "_k", gram_total("_t").alias("_T"))
-    totals = keyed.groupBy("_k").agg(F.sum("_T").alias("_sum"))
+    stats = sorted(stats, key=lambda r: r["lang"])
+    weight = F.log(F.col("n") + F.lit(1.0))
+    side = profile.groupBy("gram").agg(*[
+        F.coalesce(F.max(F.when(F.col("lang") == r["lang"], weight)), F.lit(0.0)).alias(f"_w{i}") for i, r in enumerate(stats)])
+    docs = df.select(
+        F.col(id_col).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_k"),
+        gram_total(text).alias("_T"), char_windows(text).alias("_ws"))
+    # A text without grams keeps one row.
+    wins = docs.select("_id", "_k", "_T", F.explode_outer("_ws").alias("_w"))
+    grams = wins.select("_id", "_k", "_T", F.explode_outer(window_grams("_w")).alias("gram"))
+    sums = [f"_s{i}" for i in range(len(stats))]
+    by = ["_id", "_k", "_T"]
+
+    def summed(rows: DataFrame, weights: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(weights), "gram", "left").groupBy(*by).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.coalesce(F.sum(f"_w{i}"), F.lit(0.0)).alias(c) for i, c in enumerate(sums)])
+
+    blocks = -(-4 * sum(r["size"] for r in stats) // BROADCAST_BYTES)
+    if blocks <= 1:
+        found = summed(grams, side)
+    else:
+        # A pass over the texts for every block of the profile: no gram of a text is ever shuffled.
+        block = F.pmod(F.xxhash64("gram"), F.lit(blocks))
+        parts = [materialize(summed(grams.where(block == b), side.where(block == b)), "language-sums") for b in range(blocks)]
+        found = reduce(DataFrame.unionByName, parts).groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["_n", *sums]])
+    # Rows of one id and text were counted together: their grams add up, and each of them is a row again.
     # (-score, lang) pairs; the smallest is the best language (ties by language code).
-    norms = [{"lang": r["lang"], "norm": math.log(r["n_lang"] + vocab)} for r in sorted(stats, key=lambda r: r["lang"])]
-    langs = F.from_json(F.lit(json.dumps(norms)), "array<struct<lang: string, norm: double>>")
-    best = F.array_min(F.transform(langs, lambda g: F.struct(
-        (F.col("_sum") * g["norm"] - F.coalesce(F.try_element_at("_s", g["lang"]), F.lit(0.0))).alias("neg"),
-        g["lang"].alias("lang"))))["lang"]
-    scored = totals.join(found, "_k", "left").select("_k", best.alias("_best"))
-    return keyed.join(scored, "_k").select(
-        F.col(id_col), F.when(F.col("_T") > 0, F.col("_best")).otherwise(F.lit(FALLBACK)).alias(out))
+    best = F.array_min(F.array(*[
+        F.struct((F.col("_n") * F.lit(math.log(r["n_lang"] + vocab)) - F.col(c)).alias("neg"), F.lit(r["lang"]).alias("lang"))
+        for r, c in zip(stats, sums, strict=True)]))["lang"]
+    pred = F.when(F.col("_T") > 0, best).otherwise(F.lit(FALLBACK))
+    copies = (F.col("_n") / F.greatest("_T", F.lit(1))).cast("int")
+    return found.select(F.col("_id").alias(id_col), F.explode(F.array_repeat(pred, copies)).alias(out))
 
 
 __all__ = ["char_windows", "explode_grams", "gram_total", "identify_language", "train_profile", "window_grams"]
