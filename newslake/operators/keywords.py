@@ -15,10 +15,10 @@ from joins-free column work, one hash aggregate and per-document windows:
   ``H = rel * pos / (case + norm / rel + spread / rel)``, ``score = H / (tf * (1 + H))``;
 * lowest score first, ties by term, top ``k`` per document.
 
-Every step keeps the document id in its grouping key, so with input partitioned by id
-(as the loaders arrange) the aggregates and the windows need no further shuffle; each
-window partition is one document's vocabulary or one of its terms. All counts are hash
-aggregates over short rows: no list of sentences or neighbours is ever collected.
+A document is ranked within its row by array work over its sorted occurrences, so nothing is
+shuffled and a task holds one text at a time. Rows that share an id count as one document:
+they alone go through hash aggregates and per-document windows over their occurrences, so
+any number of rows may share an id.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from newslake.functions.arrays import explode_with_pos
 from newslake.functions.text import SENTENCE_SPLIT, TOKEN_PATTERN, as_col, whitespace_split
+from newslake.session import BROADCAST_BYTES, materialize
 
 TOKEN_CHAR = r"[\p{L}\p{N}]"
 
@@ -50,6 +51,108 @@ def all_stopwords() -> list[str]:
     return sorted({w for ws in DEFAULT_STOPWORDS.values() for w in ws})
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a lambda variable is never copied into its uses."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _capitals(tok: Column, t_pos: Column) -> tuple[Column, Column]:
+    """Whether a token is capitalised within its sentence, and whether it is an acronym."""
+    return (F.substring(tok, 1, 1).rlike(r"\p{Lu}") & (t_pos > 0),
+            (tok == F.upper(tok)) & (tok != F.lower(tok)) & (F.length(tok) > 1))
+
+
+def _lang(lang_col: str | None) -> Column:
+    return F.coalesce(F.col(lang_col), F.lit("")) if lang_col else F.lit("")
+
+
+def _is_stop(term: Column, lang: Column, stop: list[str], by_lang: bool) -> Column:
+    if by_lang:
+        # (language, word) pairs as one literal hash set: a per-row lookup, no join.
+        pairs = sorted(f"{lg}|{w}" for lg, ws in DEFAULT_STOPWORDS.items() for w in ws)
+        return F.concat(lang, F.lit("|"), term).isin(*pairs)
+    return term.isin(*stop) if stop else F.lit(False)
+
+
+def _occurrences(sentences: Column, lang: Column, stop: list[str], by_lang: bool) -> Column:
+    """The candidate occurrences in the tokens of every sentence: (term, s_idx, left, right, up, ac)."""
+    def of_token(toks: Column, tok: Column, s: Column, t: Column) -> Column:
+        up, ac = _capitals(tok, t)
+        return F.struct(
+            F.lower(tok).alias("term"), s.alias("s_idx"), F.lower(F.get(toks, t - 1)).alias("left"),
+            F.lower(F.get(toks, t + 1)).alias("right"), up.alias("up"), ac.alias("ac"))
+
+    every = F.flatten(F.transform(sentences, lambda toks, s: F.transform(toks, lambda tok, t: of_token(toks, tok, s, t))))
+    return F.filter(every, lambda o: ~_is_stop(o["term"], lang, stop, by_lang))
+
+
+def _term_counts(occurrences: Column) -> Column:
+    """The counts of every term of a text, from its sorted occurrences: an array of structs."""
+    def of_term(g: Column) -> Column:
+        left, right, n = F.array_compact(g["left"]), F.array_compact(g["right"]), F.size(g)
+        yes = lambda flags: F.size(F.filter(flags, lambda x: x)).cast("long")
+        many = lambda xs: F.size(xs).cast("long")
+        return F.struct(
+            F.get(g, F.lit(0))["term"].alias("term"), many(g).alias("tf"), yes(g["up"]).alias("tf_upper"),
+            yes(g["ac"]).alias("tf_acronym"), many(F.array_distinct(g["s_idx"])).alias("sf"),
+            F.get(g, F.floor((n - 1) / 2).cast("int"))["s_idx"].alias("lo"),
+            F.get(g, F.floor(n / 2).cast("int"))["s_idx"].alias("hi"),
+            many(left).alias("left_n"), many(F.array_distinct(left)).alias("left_d"),
+            many(right).alias("right_n"), many(F.array_distinct(right)).alias("right_d"))
+
+    def within(o: Column, first: Column, last: Column) -> Column:
+        return F.transform(F.sequence(first, last), lambda i: F.get(o, i))  # ``slice`` copies the whole array each time
+
+    def of_sorted(o: Column) -> Column:
+        first = F.array_compact(F.transform(o, lambda x, i: F.when((i == 0) | (x["term"] != F.get(o, i - 1)["term"]), i)))
+        return _let(first, lambda at: F.transform(
+            at, lambda p, k: _let(within(o, p, F.coalesce(F.get(at, k + 1), F.size(o)) - 1), of_term)))
+
+    return _let(F.sort_array(occurrences), of_sorted)
+
+
+def _h(f, mean_tf: Column, std_tf: Column, max_tf: Column, n_sent: Column, let=_let) -> Column:
+    """``H`` of a term; ``f`` gives its counts by name."""
+    dl = F.when(f("left_n") > 0, f("left_d") / f("left_n")).otherwise(F.lit(0.0))
+    dr = F.when(f("right_n") > 0, f("right_d") / f("right_n")).otherwise(F.lit(0.0))
+    tf = f("tf").cast("double")
+    case = F.greatest(f("tf_upper"), f("tf_acronym")) / (F.lit(1.0) + F.log(tf))
+    pos = F.log(F.log(F.lit(3.0) + (f("lo") + f("hi")) / F.lit(2.0)))
+    norm = tf / (mean_tf + std_tf)
+    spread = f("sf") / n_sent
+    return let(F.lit(1.0) + (dl + dr) * tf / max_tf, lambda rel: rel * pos / (case + norm / rel + spread / rel))
+
+
+def _score(h: Column, tf: Column) -> Column:
+    return h / (tf.cast("double") * (F.lit(1.0) + h))
+
+
+def _top_terms(counts: Column, n_sent: Column, top_k: int) -> Column:
+    """The ``top_k`` best terms of a text from the counts of its terms."""
+    def of_counts(c: Column) -> Column:
+        tfs = F.transform(c["tf"], lambda x: x.cast("double"))
+        total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+        mean = lambda xs: total(xs) / F.greatest(F.size(xs), F.lit(1))
+        return _let(mean(tfs), lambda m: _let(
+            F.struct(F.sqrt(mean(F.transform(tfs, lambda x: (x - m) * (x - m)))).alias("std"), F.array_max(tfs).alias("max")),
+            lambda d: F.transform(c, lambda f: F.struct(
+                _let(_h(lambda k: f[k], m, d["std"], d["max"], n_sent), lambda h: _score(h, f["tf"])).alias("score"),
+                f["term"].alias("term")))))
+
+    return F.slice(F.sort_array(_let(counts, of_counts)), 1, top_k)["term"]
+
+
+def row_keywords(text: Column | str, top_k: int, stop: list[str], lang: Column, by_lang: bool) -> Column:
+    """The ``top_k`` best terms of one row's text, best first, by array work alone: no state beyond the row."""
+    sentences = F.transform(
+        F.split(F.coalesce(as_col(text), F.lit("")), SENTENCE_SPLIT), lambda x: F.regexp_extract_all(x, F.lit(TOKEN_PATTERN), 0))
+
+    def of_sentences(s: Column) -> Column:
+        return _top_terms(_term_counts(_occurrences(s, lang, stop, by_lang)), F.size(F.filter(s, lambda x: F.size(x) > 0)), top_k)
+
+    return _let(sentences, of_sentences)
+
+
 def keyword_features(
     df: DataFrame, *, id_col: str = "id", text: Column | str = "content", stopwords: list[str] | None = None,
     lang_col: str | None = None,
@@ -63,7 +166,7 @@ def keyword_features(
     t = F.coalesce(as_col(text), F.lit(""))
     # Sentences holding at least one token, counted per document without a join.
     n_sent = F.size(F.filter(F.split(t, SENTENCE_SPLIT), lambda x: x.rlike(TOKEN_CHAR)))
-    lang = F.coalesce(F.col(lang_col), F.lit("")) if lang_col else F.lit("")
+    lang = _lang(lang_col)
     src = df.select(F.col(id_col).alias("_id"), t.alias("_t"), n_sent.alias("n_sent"), lang.alias("_lang"))
     sents = explode_with_pos(src, ["_id", "n_sent", "_lang"], F.split(F.col("_t"), SENTENCE_SPLIT), "s_idx", "sentence")
     toks = sents.select(
@@ -80,16 +183,9 @@ def keyword_features(
         "_id", "n_sent", "_lang", "s_idx", "t_pos", F.col("o.tok").alias("tok"), F.lower("o.tok").alias("term"),
         F.lower("o.left").alias("left"), F.lower("o.right").alias("right"),
     )
-    if lang_col and stopwords is None:
-        # (language, word) pairs as one literal hash set: a per-row lookup, no join.
-        pairs = sorted(f"{lg}|{w}" for lg, ws in DEFAULT_STOPWORDS.items() for w in ws)
-        cand = occ.filter(~F.concat(F.col("_lang"), F.lit("|"), F.col("term")).isin(*pairs))
-    else:
-        cand = occ.filter(~F.col("term").isin(*stop)) if stop else occ
-    tok = F.col("tok")
-    upper_start = F.substring(tok, 1, 1).rlike(r"\p{Lu}") & (F.col("t_pos") > 0)
-    acronym = (tok == F.upper(tok)) & (tok != F.lower(tok)) & (F.length(tok) > 1)
-    cand = cand.withColumn("up", upper_start.cast("int")).withColumn("ac", acronym.cast("int"))
+    cand = occ.filter(~_is_stop(F.col("term"), F.col("_lang"), stop, bool(lang_col) and stopwords is None))
+    up, ac = _capitals(F.col("tok"), F.col("t_pos"))
+    cand = cand.withColumn("up", up.cast("int")).withColumn("ac", ac.cast("int"))
     # An occurrence counts for its sentence, its left and its right neighbour: one row each, so that sentences and
     # distinct neighbours are what a first hash aggregate leaves, and a second one counts them.
     parts = F.expr(
@@ -115,30 +211,21 @@ def keyword_features(
         of(0, F.col("c")).alias("tf"), F.sum("up").alias("tf_upper"), F.sum("ac").alias("tf_acronym"), of(0, one).alias("sf"),
         reached(F.floor((F.col("n") + 1) / 2)).alias("lo"), reached(F.floor(F.col("n") / 2) + 1).alias("hi"),
         of(1, F.col("c")).alias("left_n"), of(1, one).alias("left_d"), of(2, F.col("c")).alias("right_n"), of(2, one).alias("right_d"),
-    ).withColumn("med_sent", (F.col("lo") + F.col("hi")) / F.lit(2.0))
+    )
     w = Window.partitionBy("_id")
     feats = (
         feats.withColumn("mean_tf", F.avg("tf").over(w))
         .withColumn("std_tf", F.stddev_pop("tf").over(w))
         .withColumn("max_tf", F.max("tf").over(w))
     )
-    tf = F.col("tf").cast("double")
-    dl = F.when(F.col("left_n") > 0, F.col("left_d") / F.col("left_n")).otherwise(F.lit(0.0))
-    dr = F.when(F.col("right_n") > 0, F.col("right_d") / F.col("right_n")).otherwise(F.lit(0.0))
-    case = F.greatest("tf_upper", "tf_acronym") / (F.lit(1.0) + F.log(tf))
-    pos = F.log(F.log(F.lit(3.0) + F.col("med_sent")))
-    norm = tf / (F.col("mean_tf") + F.col("std_tf"))
-    rel = F.lit(1.0) + (dl + dr) * tf / F.col("max_tf")
-    spread = F.col("sf") / F.col("n_sent")
-    h = rel * pos / (case + norm / rel + spread / rel)
-    return feats.withColumn("h", h).withColumn("score", F.col("h") / (tf * (F.lit(1.0) + F.col("h"))))
+    h = _h(F.col, F.col("mean_tf"), F.col("std_tf"), F.col("max_tf"), F.col("n_sent"), lambda value, use: use(value))
+    return feats.withColumn("h", h).withColumn("score", _score(F.col("h"), F.col("tf")))
 
 
-def ranked_keywords(
-    df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10,
-    stopwords: list[str] | None = None, lang_col: str | None = None,
+def _merged_keywords(
+    df: DataFrame, id_col: str, text: Column | str, top_k: int, stopwords: list[str] | None, lang_col: str | None,
 ) -> DataFrame:
-    """``(id, keywords)``: the ``top_k`` best terms per document, best first (TOP1)."""
+    """``ranked_keywords`` by aggregates over all occurrences of an id, however many rows share it."""
     feats = keyword_features(df, id_col=id_col, text=text, stopwords=stopwords, lang_col=lang_col)
     w = Window.partitionBy("_id").orderBy(F.col("score").asc(), F.col("term").asc())
     top = feats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k)
@@ -148,14 +235,42 @@ def ranked_keywords(
     return per_doc.withColumnRenamed("_id", id_col)
 
 
+def _split_by_id(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose id no other row has, and the others (None if there are none)."""
+    again = materialize(
+        df.groupBy(F.col(id_col).alias("_rid")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_rid"), "repeated-ids")
+    seen = again.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col("_rid").cast("string")) + 16).alias("size")).first()
+    if not seen["n"]:
+        return df, None
+    side = F.broadcast(again) if 4 * (seen["size"] or 0) <= BROADCAST_BYTES else again
+    same = F.col(id_col).eqNullSafe(F.col("_rid"))
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
+
+
+def ranked_keywords(
+    df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10,
+    stopwords: list[str] | None = None, lang_col: str | None = None,
+) -> DataFrame:
+    """``(id, keywords)``: the ``top_k`` best terms per document, best first (TOP1), of documents with any."""
+    stop = all_stopwords() if stopwords is None else stopwords
+    once, again = _split_by_id(df, id_col)
+    own = row_keywords(text, top_k, stop, _lang(lang_col), bool(lang_col) and stopwords is None)
+    found = once.select(id_col, own.alias("keywords")).where(F.size("keywords") > 0)
+    return found if again is None else found.unionByName(_merged_keywords(again, id_col, text, top_k, stopwords, lang_col))
+
+
 def with_ranked_keywords(
     df: DataFrame, *, id_col: str = "id", text: Column | str = "content", top_k: int = 10, lang_col: str | None = None,
 ) -> DataFrame:
-    """Add ``keywords`` (``[]`` for empty text) by joining the per-document ranking back."""
-    kw = ranked_keywords(df, id_col=id_col, text=text, top_k=top_k, lang_col=lang_col)
-    return df.join(kw, id_col, "left").withColumn(
-        "keywords", F.coalesce(F.col("keywords"), F.array().cast("array<string>"))
-    )
+    """Add ``keywords`` (``[]`` for empty text); rows that share an id have those of all of them, a NULL id has none."""
+    none = F.array().cast("array<string>")
+    once, again = _split_by_id(df, id_col)
+    own = row_keywords(text, top_k, all_stopwords(), _lang(lang_col), bool(lang_col))
+    rows = once.withColumn("keywords", F.when(F.col(id_col).isNotNull(), own).otherwise(none))
+    if again is None:
+        return rows
+    kw = _merged_keywords(again, id_col, text, top_k, None, lang_col)
+    return rows.unionByName(again.join(kw, id_col, "left").withColumn("keywords", F.coalesce(F.col("keywords"), none)).select(rows.columns))
 
 
 __all__ = ["DEFAULT_STOPWORDS", "keyword_features", "ranked_keywords", "simple_keywords", "with_ranked_keywords"]

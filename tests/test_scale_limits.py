@@ -21,3 +21,20 @@ def test_grams_of_a_text_are_not_shuffled(spark, capsys, monkeypatch):
     assert len(got) == 8 and [x for x in want if x not in got] == []
     monkeypatch.setattr(language, "BROADCAST_BYTES", 1000)  # several blocks of the profile
     assert sorted((str(r["id"]), r["lang_pred"]) for r in language.identify_language(docs, profile).collect()) == got
+
+
+def test_keywords_of_single_rows_need_no_shuffle_of_occurrences(spark, capsys):
+    from newslake.operators import keywords
+
+    texts = ["Loans, loans and CREDIT lines. Credit risk rises! Banks lend. The Bank of loans", "", None, "the of 12 a. Ab ab AB",
+             "\u00dcber Gr\u00f6\u00dfe und Gr\u00f6\u00dfe.\nBank bank. Nordix NORDIX x"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, content string")
+    out = keywords.ranked_keywords(docs)
+    tree = plan_of(out, capsys).split("\n\n")[0]
+    assert "Exchange" not in tree and "Aggregate" not in tree and "Sort" not in tree
+    want = {r["id"]: r["keywords"] for r in keywords._merged_keywords(docs, "id", "content", 10, None, None).collect()}
+    assert {r["id"]: r["keywords"] for r in out.collect()} == want and set(want) == {0, 3, 4}
+    again = docs.unionByName(docs.where("id = 0")).unionByName(spark.createDataFrame([(3, "Zebra zebra"), (None, "Zebra")], docs.schema))
+    merged = {r["id"]: r["keywords"] for r in keywords._merged_keywords(again, "id", "content", 10, None, None).collect()}
+    rows = keywords.with_ranked_keywords(again).collect()
+    assert len(rows) == 8 and all(r["keywords"] == (merged.get(r["id"], []) if r["id"] is not None else []) for r in rows)
