@@ -170,12 +170,19 @@ def q_retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("retention_partitions", _retention_sql(True))
 def q_retention_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK8, FIL11: the same files as partitions of a table, dropped by their names; what is left is read."""
-    from newslake.operators.retention import drop_expired_partitions
+    """SNK8, FIL11: the same files as partitions of a table, dropped by their names; what is left is read.
+
+    Only names with a date can expire and have partitions of their own; the others, however many, share one.
+    """
+    from newslake.operators.retention import drop_expired_partitions, name_day
     from newslake.session import scratch_path
 
     path = scratch_path(spark, "named")
-    _named_events(spark, sf_dir).repartition("file").write.partitionBy("file").parquet(path)
+    undated = name_day("file").isNull()
+    rows = _named_events(spark, sf_dir).withColumn("part", F.when(undated, "undated").otherwise(F.col("file")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = F.when(undated, F.pmod(F.xxhash64("event_id"), F.lit(tasks)))  # the shared partition is written by all tasks
+    rows.repartition("part", dealt).write.partitionBy("part").parquet(path)
     drop_expired_partitions(spark, path, RETENTION_AS_OF, RETENTION_DAYS)
     return spark.read.parquet(path).select("event_id", "file")
 

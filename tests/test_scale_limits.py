@@ -49,3 +49,18 @@ def test_rejected_arrays_hold_fifty_events(spark, tmp_path):
     assert [tuple(r) for r in got] == [("malformed JSON", 3)]
     assert "/ 50)" in catalog.all_sql()["json_array_rejects"]
     assert catalog.all_queries()["json_array_files"](spark, str(tmp_path)).count() == 750
+
+
+def test_retention_folders_do_not_grow_with_undated_names(spark, tmp_path, monkeypatch):
+    from newslake.operators import retention
+    from newslake.plans import catalog
+
+    spark.sql("select id as event_id, id as user_id, if(id % 10 = 0, 'click', 'view') as event_type, "
+              "if(id = 10, null, timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 30 as int))) as ts "
+              "from range(300)").write.parquet(str(tmp_path / "events.parquet"))
+    listed, names = [], retention.partition_names
+    monkeypatch.setattr(retention, "partition_names", lambda *a: listed.append(names(*a)) or listed[-1])
+    got = catalog.all_queries()["retention_partitions"](spark, str(tmp_path)).collect()
+    want = catalog.all_queries()["retention_keep"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and 0 < len(got) < 300
+    assert len(listed[0]) <= 31
