@@ -31,7 +31,6 @@ WINDOW = 128
 LANES = 2048  # windows computed side by side: bounds the memory of a step
 DOCS_PER_LANG = 300  # bound of the sample, smallest hash of id and text first
 WINDOWS_PER_LANG = 6000  # bound of the windows of these documents, smallest hash first
-HELD_OUT_ROWS = 1000  # labelled rows that the rejection bound is read from
 STEPS, BATCH, RATE = 240, 192, 0.012
 UNDETERMINED = "und"
 SCHEMA = "lang_pred string, score double"
@@ -291,19 +290,24 @@ def predict_udf(model: Model):
     return predict
 
 
-def rejection_bound(docs: DataFrame, model: Model, held_out, rows: int = HELD_OUT_ROWS) -> float:
+def rejection_bound(docs: DataFrame, model: Model, held_out) -> float:
     """The score under which a text is in none of the learned languages.
 
     A tenth of the way from chance (one in the number of languages) to what all but a hundredth of the labelled rows
-    of ``held_out`` reach, whose number is bounded by ``rows`` (smallest hash first); chance if there are none.
+    of ``held_out`` reach; chance if there are none. Every different row counts, and their scores alone are sorted.
     """
     if not model.langs:
         return 0.0
     chance = 1.0 / len(model.langs)
     known = docs.where(F.col("lang").isin(model.langs) & (F.length("text") > 0)).where(held_out).select(
-        "text", F.xxhash64("doc_id", "text").alias("k"))
-    keys = known.select("k").distinct().orderBy("k").limit(rows)
-    sample = known.join(F.broadcast(keys), "k").dropDuplicates(["k"])
-    scored = sample.select(predict_udf(model)("text").alias("p")).where(F.col("p.lang_pred") != UNDETERMINED)
-    low = scored.agg(F.expr("percentile(p.score, 0.01)")).first()[0]
-    return chance if low is None else min(chance, low) + 0.1 * max(0.0, low - chance)
+        F.xxhash64("doc_id", "text").alias("k"), predict_udf(model)("text").alias("p"))
+    scored = known.where(F.col("p.lang_pred") != UNDETERMINED).groupBy("k").agg(F.min("p.score").alias("score"))
+    scores = materialize(scored.select("score"), "langid-held-out")
+    place = 0.01 * (scores.count() - 1)
+    if place < 0:
+        return chance
+    # The scores on both sides of the place, of which the driver gets two.
+    near = scores.orderBy("score").limit(int(place) + 2).orderBy(F.desc("score")).limit(2).collect()
+    upper, lower = near[0]["score"], near[-1]["score"]
+    low = lower + (place - int(place)) * (upper - lower)
+    return min(chance, low) + 0.1 * max(0.0, low - chance)

@@ -64,3 +64,16 @@ def test_retention_folders_do_not_grow_with_undated_names(spark, tmp_path, monke
     want = catalog.all_queries()["retention_keep"](spark, str(tmp_path)).collect()
     assert sorted(map(repr, got)) == sorted(map(repr, want)) and 0 < len(got) < 300
     assert len(listed[0]) <= 31
+
+
+def test_rejection_bound_reads_every_held_out_row(spark):
+    import numpy as np
+
+    from newslake.llm import langid
+
+    model = langid.Model(["x", "y"], langid._init(2, 4, np.random.default_rng(1)))
+    rows = [(i, "".join(chr(97 + (i * j * j + j) % 26) for j in range(3 + i % 11)), "x") for i in range(1500)]
+    docs = spark.createDataFrame(rows + rows[:40], "doc_id long, text string, lang string")
+    scores = [r[0] for r in spark.createDataFrame(rows, docs.schema).select(langid.predict_udf(model)("text")["score"]).collect()]
+    low = float(np.percentile(scores, 1))
+    assert abs(langid.rejection_bound(docs, model, F.lit(True)) - (min(0.5, low) + 0.1 * max(0.0, low - 0.5))) < 1e-12
