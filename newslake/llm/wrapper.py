@@ -25,11 +25,11 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
-from collections import defaultdict, deque
+from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -42,7 +42,7 @@ MIN_VOTERS = 3  # different pages that must be aligned with a node
 CONSTANT_SHARE = 0.9  # of which so many hold the same text
 BROADCAST_BYTES = 64 << 20
 LAYOUT_ENTRIES = 64
-EXACT_CELLS = 40_000  # child lists up to this product are matched by dynamic programming, longer ones by common runs
+EXACT_CELLS = 40_000  # tables of child lists up to this product are kept whole, of larger ones some rows: the match is the same
 
 # Element kinds of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -263,48 +263,19 @@ def layout(source: str | None) -> str:
     return ">".join(out)
 
 
-def _increasing(places: list[int]) -> list[int]:
-    """Indices of a longest increasing subsequence."""
-    tops: list[int] = []
-    at: list[int] = []
-    before = [-1] * len(places)
-    for i, p in enumerate(places):
-        k = bisect_left(tops, p)
-        before[i] = at[k - 1] if k else -1
-        if k == len(tops):
-            tops.append(p)
-            at.append(i)
-        else:
-            tops[k], at[k] = p, i
-    out, i = [], at[-1] if at else -1
-    while i >= 0:
-        out.append(i)
-        i = before[i]
-    return out[::-1]
-
-
-def _common_runs(left: list, right: list) -> list[tuple[int, int]]:
-    """Places of equal keys in the order of both lists: the k-th of a key meets the k-th, as many as go together."""
-    where: dict = defaultdict(deque)
-    for j, k in enumerate(right):
-        where[k].append(j)
-    met = [(i, where[k].popleft()) for i, k in enumerate(left) if where.get(k)]
-    return [met[i] for i in _increasing([j for _, j in met])]
-
-
 def align(a: Page, b: Page) -> dict[int, int]:
     """Simple tree matching: node of ``b`` by node of ``a`` for a largest match of the two trees.
 
     Equal subtrees at either end of two child lists match whole, which is optimal; dynamic programming runs over
     what is left between them. Elements of one kind whose names are not found among the other's siblings match
-    too: such names may be the page's own. Child lists whose product exceeds ``EXACT_CELLS`` are first matched by
-    their common runs of equal subtrees, then in each gap by dynamic programming if it is small enough and else by
-    common runs of labels: n log n, and not always the largest match. No step recurses, so depth has no limit.
+    too: such names may be the page's own. A weight depends on the shapes of two subtrees alone and is computed once
+    for them. The match is exact for lists of any length; of a large table some rows are kept and the others computed
+    again where they are read. No step recurses, so depth has no limit.
     """
     weight: dict[tuple[int, int], int] = {}
 
     def known(p: int, q: int) -> int | None:
-        return a.size[p] if a.shape[p] == b.shape[q] else weight.get((p, q))
+        return a.size[p] if a.shape[p] == b.shape[q] else weight.get((a.shape[p], b.shape[q]))
 
     def trim(x: list[int], y: list[int]) -> tuple[int, int]:
         lo = 0
@@ -324,30 +295,67 @@ def align(a: Page, b: Page) -> dict[int, int]:
             right = [k if k in mine else k.split(".", 1)[0] + "." for k in right]
         return left, right
 
-    def gaps(x: list[int], y: list[int]) -> Iterator[tuple[list[int], list[int], list[tuple[int, int]] | None]]:
-        """Parts of two child lists: to be matched exactly, or with their pairs."""
-        if len(x) * len(y) <= EXACT_CELLS:
-            yield x, y, None
-            return
-        runs = _common_runs([a.shape[p] for p in x], [b.shape[q] for q in y])
-        yield [], [], [(x[i], y[j]) for i, j in runs]
-        for (i, j), (k, m) in zip([(-1, -1), *runs], [*runs, (len(x), len(y))]):
-            u, v = x[i + 1:k], y[j + 1:m]
-            if u and v:
-                if len(u) * len(v) <= EXACT_CELLS:
-                    yield u, v, None
-                else:
-                    yield [], [], [(u[i], v[j]) for i, j in _common_runs(*keys(u, v))]
+    def kinds(x: list[int], y: list[int]) -> tuple[dict[int, tuple[int, str]], dict[int, tuple[int, str]]]:
+        """A child and its key for every different shape of two lists."""
+        left, right = keys(x, y)
+        return ({a.shape[p]: (p, k) for p, k in zip(x, left)}, {b.shape[q]: (q, k) for q, k in zip(y, right)})
 
     def wanted(x: list[int], y: list[int]) -> list[tuple[int, int]]:
         """Child pairs whose weight is needed and not known yet."""
+        left, right = kinds(x, y)
+        return [(p, q) for p, k in left.values() for q, m in right.values() if k == m and known(p, q) is None]
+
+    def rows(x: list[int], y: list[int]):
+        """A function from the place of a child of the first list and its row of the table to the next row."""
+        left, right = kinds(x, y)
+        gain = {s: np.array([known(p, q) if k == m else 0 for q, m in right.values()], np.int64) for s, (p, k) in left.items()}
+        place = {s: i for i, s in enumerate(right)}
+        at = np.array([place[b.shape[q]] for q in y])
+
+        def following(i: int, above: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(y) + 1, np.int64)
+            np.maximum.accumulate(np.maximum(above[1:], above[:-1] + gain[a.shape[x[i]]][at]), out=out[1:])
+            return out
+
+        return following
+
+    def best(x: list[int], y: list[int]) -> int:
+        """Weight of the best match of two lists."""
+        if len(x) * len(y) <= EXACT_CELLS:
+            return table(x, y)[-1][-1]
+        following, row = rows(x, y), np.zeros(len(y) + 1, np.int64)
+        for i in range(len(x)):
+            row = following(i, row)
+        return int(row[-1])
+
+    def matched(x: list[int], y: list[int]) -> list[tuple[int, int]]:
+        """The pairs of the best match of two lists."""
         out = []
-        for u, v, fixed in gaps(x, y):
-            if fixed is None:
-                left, right = keys(u, v)
-                out += [(p, q) for p, k in zip(u, left) for q, m in zip(v, right) if k == m and known(p, q) is None]
+        i, j = len(x), len(y)
+        if i * j <= EXACT_CELLS:
+            m, first, step = table(x, y), 0, i + 1
+        else:
+            following, row, step = rows(x, y), np.zeros(j + 1, np.int64), int(i**0.5) + 1
+            kept = {0: row}
+            for k in range(i):
+                row = following(k, row)
+                if (k + 1) % step == 0:
+                    kept[k + 1] = row
+            first = i + 1  # no rows at hand yet
+        while i and j:
+            if i - 1 < first:  # rows from the kept one above up to this one
+                first = (i - 1) // step * step
+                m = [kept[first]]
+                for k in range(first, i):
+                    m.append(following(k, m[-1]))
+            here, above = m[i - first], m[i - 1 - first]
+            if here[j] == above[j]:
+                i -= 1
+            elif here[j] == here[j - 1]:
+                j -= 1
             else:
-                out += [(p, q) for p, q in fixed if known(p, q) is None]
+                i, j = i - 1, j - 1
+                out.append((x[i], y[j]))
         return out
 
     def table(x: list[int], y: list[int]) -> list[list[int]]:
@@ -379,8 +387,8 @@ def align(a: Page, b: Page) -> dict[int, int]:
             if missing:
                 todo += missing
                 continue
-            inner = sum(table(s, t)[-1][-1] if fixed is None else sum(known(*f) for f in fixed) for s, t, fixed in gaps(u, v))
-            weight[p, q] = 1 + inner + sum(a.size[k] for k in x[:lo]) + sum(a.size[k] for k in x[len(x) - hi:])
+            inner = best(u, v) if u and v else 0
+            weight[a.shape[p], b.shape[q]] = 1 + inner + sum(a.size[k] for k in x[:lo]) + sum(a.size[k] for k in x[len(x) - hi:])
             todo.pop()
 
     weigh(0, 0)
@@ -394,20 +402,7 @@ def align(a: Page, b: Page) -> dict[int, int]:
         todo += zip(x[:lo], y[:lo])
         if hi:
             todo += zip(x[-hi:], y[-hi:])
-        for u, v, fixed in gaps(x[lo:len(x) - hi], y[lo:len(y) - hi]):
-            if fixed is not None:
-                todo += fixed
-                continue
-            m = table(u, v)
-            i, j = len(u), len(v)
-            while i and j:
-                if m[i][j] == m[i - 1][j]:
-                    i -= 1
-                elif m[i][j] == m[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    todo.append((u[i], v[j]))
+        todo += matched(x[lo:len(x) - hi], y[lo:len(y) - hi])
     return pairs
 
 

@@ -77,3 +77,18 @@ def test_rejection_bound_reads_every_held_out_row(spark):
     scores = [r[0] for r in spark.createDataFrame(rows, docs.schema).select(langid.predict_udf(model)("text")["score"]).collect()]
     low = float(np.percentile(scores, 1))
     assert abs(langid.rejection_bound(docs, model, F.lit(True)) - (min(0.5, low) + 0.1 * max(0.0, low - 0.5))) < 1e-12
+
+
+def test_long_child_lists_are_matched_exactly(monkeypatch):
+    import random
+
+    from newslake.llm import wrapper
+
+    rng = random.Random(5)
+    kinds = ["<p></p>", "<ul><li></li></ul>", "<ul><li></li><li><b></b></li></ul>", "<h2></h2>", "<div><i></i></div>", "<div><b></b><i></i></div>"]
+    for n in (3, 20, 60):
+        a, b = (wrapper.Page("".join(rng.choice(kinds) for _ in range(n + k))) for k in (0, 4))
+        monkeypatch.setattr(wrapper, "EXACT_CELLS", 10**9)
+        exact = wrapper.align(a, b)
+        monkeypatch.setattr(wrapper, "EXACT_CELLS", 8)
+        assert wrapper.align(a, b) == exact
