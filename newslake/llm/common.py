@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import gc
-import os
-import shutil
-import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -13,19 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.session import materialize
-
-
-#: Rows that travel to a Python worker at a time: texts may be long, and what a batch holds exists several times.
-BATCH_ROWS = 2000
-
-
-def prepare(spark: SparkSession) -> None:
-    """What the Python parts of the operators need: the package in the workers, and batches of at most ``BATCH_ROWS``."""
-    ship_package(spark)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+from newslake.session import materialize, prepare
 
 
 _MEMORY: dict[str, Callable[[], None]] = {}
@@ -58,25 +43,6 @@ def acyclic() -> Iterator[None]:
             gc.enable()
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send the package to the Python workers where they would not find it by themselves.
-
-    They do if the driver runs in the package's folder or has it in PYTHONPATH (the usual case, and what
-    ``--py-files`` is for); else Spark distributes a zip of it, once per application.
-    """
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED or os.path.realpath(root) in map(os.path.realpath, filter(None, found)):
-        return
-    name = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "newslake"), "zip", root, "newslake")
-    sc.addPyFile(name)
-    _SHIPPED.add(sc.applicationId)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
