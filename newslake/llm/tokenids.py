@@ -43,14 +43,17 @@ from newslake.llm.common import acyclic, sorted_groups, worker_belongs_to
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
+GROUP_CHARS = 8_000_000  # texts encoded together: the more, the fewer words are met again and again
 BUCKET_KEYS = 256
 ROWS_PER_SHARD = 20_000
-_PIECE_CACHE = 300_000
+_PIECE_CACHE = 500_000
 _CUT = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
 _SPACES = re.compile(" (?:[\\s\u180e\u200b\ufeff]|\\Z)")  # a space that is no place to cut
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # Bytes that a byte-level vocabulary shows as characters from 256 on, in order; all others show as themselves.
 _SHOWN = {b: 256 + i for i, b in enumerate([*range(0, 33), *range(127, 161), 173])}
+# The letters of _LETTERS as such a vocabulary shows them.
+_SHOWN_LETTERS = {c: c.encode().decode("latin-1").translate(_SHOWN) for c in map(chr, range(256)) if _LETTERS.fullmatch(c)}
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, but the apostrophe: it opens contractions
 _STEM = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")  # letters, then ASCII punctuation but the apostrophe
 _NULL_KEY = -(1 << 63)  # with a negative copy number: a NULL key
@@ -113,7 +116,7 @@ class Encoder:
                 if w.isascii() and w.isalpha():
                     words[w] = array(code, [t.id for t in tokenize("Ġ" + w)]).tobytes()
                 elif _LETTERS.fullmatch(w):
-                    piece = "Ġ" + w.encode().decode("latin-1").translate(_SHOWN)
+                    piece = "Ġ" + "".join([_SHOWN_LETTERS[c] for c in w])
                     words[w] = array(code, [t.id for t in tokenize(piece)]).tobytes()
                 else:
                     rest.append(w)
@@ -225,7 +228,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _text_groups(texts: pd.Series, chars: int = 4_000_000) -> Iterator[list[int]]:
+def _text_groups(texts: pd.Series, chars: int = GROUP_CHARS) -> Iterator[list[int]]:
     """Positions in groups of bounded text length, at least one text each."""
     group, size = [], 0
     for i, t in enumerate(texts):
@@ -292,28 +295,45 @@ def _slots(h: np.ndarray, pilots: np.ndarray, n: int) -> np.ndarray:
     return (_mix(h ^ _mix(pilots.astype(np.uint64), 23), 29) % np.uint64(n)).astype(np.int64)
 
 
+_PILOTS = _mix(np.arange(1 << 17), 23)
+_FIRST_PILOTS = 64
+_PILOT_BLOCKS = [(_FIRST_PILOTS, 1 << 10), *((1 << k, 2 << k) for k in range(10, 17))]
+
+
 def build_mph(h: np.ndarray) -> tuple[int, np.ndarray]:
     """Seed and pilots of a minimal perfect hash of the distinct hashes ``h``."""
     n = len(h)
     n_cells = max(1, -(-n // 4))
     for seed in range(1000):
         cell = _cells(h, seed, n_cells)
-        order = np.argsort(-np.bincount(cell, minlength=n_cells), kind="stable")
+        sizes = np.bincount(cell, minlength=n_cells)
+        order = np.argsort(-sizes, kind="stable")
+        grouped, ends = h[np.argsort(cell, kind="stable")], np.cumsum(sizes)
         taken, pilots = np.zeros(n, bool), np.zeros(n_cells, np.int64)
+        # The slots of all keys under the first pilots, at once: most cells need no other.
+        first = _slots(grouped[:, None], np.arange(_FIRST_PILOTS)[None, :], n)
         for c in order:
-            own = h[cell == c]
-            if not len(own):
+            if not sizes[c]:
                 break
-            for at in range(0, 1 << 17, 256):
-                tried = np.arange(at, at + 256)
-                s = _slots(own[None, :], tried[:, None], n)
-                free = ~taken[s].any(axis=1)
-                if len(own) > 1:
-                    s_sorted = np.sort(s, axis=1)
-                    free &= (s_sorted[:, 1:] != s_sorted[:, :-1]).all(axis=1)
-                if free.any():
-                    k = int(np.argmax(free))
-                    pilots[c], taken[s[k]] = tried[k], True
+            own = range(ends[c] - sizes[c], ends[c])
+            s = first[own.start:own.stop]
+            k = next((k for k in np.flatnonzero(~taken[s].any(axis=0)).tolist() if len(set(s[:, k].tolist())) == len(own)), None)
+            if k is not None:
+                pilots[c], taken[s[:, k]] = k, True
+                continue
+            for at, stop in _PILOT_BLOCKS:
+                tried, slots = np.arange(at, stop), []
+                for x in grouped[own.start:own.stop]:  # each key is tried with what is left by those before
+                    s = (_mix(x ^ _PILOTS[tried], 29) % np.uint64(n)).astype(np.int64)
+                    free = ~taken[s]
+                    for other in slots:
+                        free &= other != s
+                    free = np.flatnonzero(free)
+                    tried, slots = tried[free], [*(other[free] for other in slots), s[free]]
+                    if not len(tried):
+                        break
+                else:
+                    pilots[c], taken[[s[0] for s in slots]] = tried[0], True
                     break
             else:
                 break

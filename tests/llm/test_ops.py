@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 import tokenizers
@@ -554,6 +555,22 @@ def test_perfect_hash_is_minimal():
         assert sorted(tokenids.lookup(h, seed, pilots, n)) == list(range(n))
 
 
+def test_pilots_are_the_first_that_fit_and_a_batch_is_encoded_at_once():
+    for n in (5, 64, 300):
+        h = tokenids.key_hash(np.arange(n) * 11, np.zeros(n, np.int64))
+        seed, pilots = tokenids.build_mph(h)
+        cell = tokenids._cells(h, seed, len(pilots))
+        taken = set()
+        for c in np.argsort(-np.bincount(cell, minlength=len(pilots)), kind="stable"):
+            if len(own := h[cell == c]):
+                slots = next(s for p in range(1 << 17) if len(s := set(tokenids._slots(own, np.array([p]), n).tolist()) - taken) == len(own))
+                assert slots == set(tokenids._slots(own, pilots[c:c + 1], n).tolist())
+                taken |= slots
+    # Texts of usual length: a batch of them is one group, in which a word is met once.
+    assert [len(g) for g in tokenids._text_groups(pd.Series(["x" * 3300] * 2000))] == [2000]
+    assert [len(g) for g in tokenids._text_groups(pd.Series(["x" * 5_000_000] * 3))] == [2, 1]
+
+
 def test_token_files_roundtrip(spark, monkeypatch):
     monkeypatch.setattr(tokenids, "BLOCK_IDS", 64)
     path, tok = P.path("byte_bpe_50k.json"), tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
