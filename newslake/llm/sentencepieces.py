@@ -12,8 +12,8 @@ symbols join to a piece that is due before either is absorbed by its own parent
 
 Pieces hold the space mark only at their front, so a text is cut before each run of space marks into words
 that encode independently; words and pair tests are memoized per Python worker in dictionaries that are
-bounded in size. A word's record holds its ids, their decimal text and the bytes they decode to, so a text's
-digests are made from its words' records. Words share prefixes, so the table of a short word is filled from its
+bounded in size. A word's record is its packed ids and nothing else: workers hold many. What a group of texts' ids
+read as in decimal and decode to is looked up by Arrow, id by id. Words share prefixes, so the table of a short word is filled from its
 end, only where the walk back comes by, and what it finds about a prefix is kept for other words; a long run
 of characters has a table of its own, filled from the front. Characters that no piece holds become byte pieces.
 
@@ -25,20 +25,19 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
-from collections.abc import Iterator
-from operator import itemgetter
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
 from newslake.llm.common import acyclic, worker_belongs_to
 
 MARK = "▁"
-_WORD_CACHE, _PART_CACHE, _PREFIX_CACHE, _PAIR_CACHE = 200_000, 50_000, 100_000, 250_000
+_WORD_CACHE, _PART_CACHE, _PREFIX_CACHE, _PAIR_CACHE = 100_000, 50_000, 50_000, 250_000
 _SHORT = 64  # characters of a part whose prefixes are shared with other parts
 _UNRANKED = 1 << 60
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -72,14 +71,12 @@ class _Memo(dict):
         self[key] = value
 
 
-# Packed 32-bit ids; the ids in decimal, a comma before each; decoded bytes; the last id.
-Record = tuple[bytes, bytes, bytes, int]
-_IDS, _DECIMAL, _SURFACE = itemgetter(0), itemgetter(1), itemgetter(2)
-
-
-def _joined(records: list[Record]) -> Record:
-    return (b"".join(map(_IDS, records)), b"".join(map(_DECIMAL, records)), b"".join(map(_SURFACE, records)),
-            records[-1][3] if records else 0)
+def _texts(table: pa.Array, ids: np.ndarray, ends: np.ndarray) -> tuple[memoryview, list[int]]:
+    """The entries of all ``ids`` behind each other, and the places in them that belong to ``ends``."""
+    found = table.take(pa.array(ids))
+    _, places, data = found.buffers()
+    places = np.frombuffer(places, np.int64)[found.offset + ends] if len(ids) else np.zeros(len(ends), np.int64)
+    return memoryview(data or b"").cast("B"), places.tolist()
 
 
 class Coder:
@@ -113,7 +110,9 @@ class Coder:
         self._build_splits()
         self.pairs: list[dict[int, bool]] = [{} for _ in range(n)]
         self.n_pairs = 0
-        self.decimal = [b",%d" % i for i in range(n)]
+        self.decimal = pa.array([b",%d" % i for i in range(n)], pa.large_binary())
+        self.decoded = pa.array(self.surface, pa.large_binary())
+        self.dtype = np.dtype(np.uint16 if n <= 1 << 16 else np.int32)
         self.marked = {i for i, p in self.text.items() if p.startswith(MARK)}
         self.known = {p for p in self.id_of if len(p) == 1}
         self.unknown = re.compile(f"[^{''.join(map(re.escape, self.known))}]")
@@ -123,7 +122,8 @@ class Coder:
         cut = f"(?<=[^\\W_])(?=[{''.join(map(re.escape, sorted(apart)))}])|" if apart else ""
         self.cuts = re.compile(f"{cut}(?=\\n)|(?<=\\n)|(?<=[^{MARK}])(?={MARK})")
         self.apart = "".join(sorted(apart))
-        self.single = [(array("i", (i,)).tobytes(), self.decimal[i], self.surface[i], i) for i in range(n)]
+        packed = np.arange(n).astype(self.dtype).tobytes()
+        self.single = [packed[at:at + self.dtype.itemsize] for at in range(0, len(packed), self.dtype.itemsize)]
         self.prefixes = _Memo(None, _PREFIX_CACHE)
         self.part_ids = _Memo(self._encode_part, _PART_CACHE)
         self.word_ids = _Memo(self._encode_word, _WORD_CACHE)
@@ -205,13 +205,13 @@ class Coder:
         ids.reverse()
         return ids
 
-    def _encode_short(self, part: str) -> Record:
-        """The record of a part of at most ``_SHORT`` characters, all in the vocabulary."""
+    def _encode_short(self, part: str) -> bytes:
+        """The packed ids of a part of at most ``_SHORT`` characters, all in the vocabulary."""
         found = list(self.automaton.iter(part))  # (last character, piece), by place
-        return self._last(part, found, len(found))
+        return self._last(part, found, len(found))[0]
 
-    def _last(self, prefix: str, found: list[tuple[int, int]], stop: int) -> Record:
-        """The record of a prefix: its last token is the one match at its end that fits what stands before it."""
+    def _last(self, prefix: str, found: list[tuple[int, int]], stop: int) -> tuple[bytes, int]:
+        """The packed ids of a prefix and the last of them: its last token is the one match at its end that fits what stands before it."""
         end = len(prefix) - 1
         first = stop
         while first and found[first - 1][0] == end:
@@ -219,7 +219,7 @@ class Coder:
         for _, t in found[first:stop]:
             size = self.length[t]
             if size > end:
-                return self.single[t]
+                return self.single[t], t
             head = prefix[:-size]
             before = self.prefixes.find(head)
             if before is None:
@@ -228,17 +228,16 @@ class Coder:
                     within -= 1
                 before = self._last(head, found, within)
                 self.prefixes.keep(head, before)
-            ok = self.pairs[before[3]].get(t)
+            ok = self.pairs[before[1]].get(t)
             if ok is None:
-                ok = self.compatible(before[3], t)
+                ok = self.compatible(before[1], t)
             if ok:
-                one = self.single[t]
-                return before[0] + one[0], before[1] + one[1], before[2] + one[2], t
+                return before[0] + self.single[t], t
         raise ValueError("a character without a piece")
 
-    def _encode_part(self, part: str) -> Record:
+    def _encode_part(self, part: str) -> bytes:
         if self.known.issuperset(part):
-            return self._encode_short(part) if 0 < len(part) <= _SHORT else self._record(self._encode_known(part))
+            return self._encode_short(part) if 0 < len(part) <= _SHORT else self._packed(self._encode_known(part))
         ids, at = [], 0
         for m in self.unknown.finditer(part):
             if at < m.start():
@@ -247,37 +246,49 @@ class Coder:
             at = m.end()
         if at < len(part):
             ids += self._encode_known(part[at:])
-        return self._record(ids)
+        return self._packed(ids)
 
-    def _record(self, ids: list[int]) -> Record:
-        return _joined([self.single[i] for i in ids])
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
-    def _encode_word(self, word: str) -> Record:
-        """The record of a word behind a space."""
+    def _encode_word(self, word: str) -> bytes:
+        """The packed ids of a word behind a space."""
         if word.isalpha():  # no place to cut
             return self._encode_part(MARK + word)
         stem = word.rstrip(self.apart)
         if stem != word and stem.isalpha():
-            return _joined([self.word_ids[stem], self.part_ids[word[len(stem):]]])
-        return _joined(list(map(self.part_ids.__getitem__, self.cuts.split(MARK + word))))
+            return self.word_ids[stem] + self.part_ids[word[len(stem):]]
+        return b"".join(map(self.part_ids.__getitem__, self.cuts.split(MARK + word)))
 
-    def records(self, text: str | None) -> list[Record]:
-        """The records that make up a text."""
+    def packed(self, text: str | None) -> bytes:
+        """The packed ids of a text."""
         if not text:
-            return []
+            return b""
         if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
-            return list(map(self.part_ids.__getitem__, self.cuts.split(MARK + text.replace(" ", MARK))))
-        return list(map(self.word_ids.__getitem__, text.split(" ")))
+            return b"".join(map(self.part_ids.__getitem__, self.cuts.split(MARK + text.replace(" ", MARK))))
+        return b"".join(map(self.word_ids.__getitem__, text.split(" ")))
 
     def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(b"".join(map(_IDS, self.records(text))), np.intc).tolist()
+        return np.frombuffer(self.packed(text), self.dtype).tolist()
+
+    def roundtrips(self, texts: Iterable[str | None]) -> list[tuple[int, str, str, np.ndarray]]:
+        """Per text: number of ids, digest of the ids in decimal joined by commas, digest of the text decoded from them, the ids."""
+        packed = list(map(self.packed, texts))
+        ids = np.frombuffer(b"".join(packed), self.dtype)
+        ends = np.cumsum([0, *map(len, packed)]) // self.dtype.itemsize
+        listed, listed_ends = _texts(self.decimal, ids, ends)
+        decoded, decoded_ends = _texts(self.decoded, ids, ends)
+        out = []
+        for k, n in enumerate(np.diff(ends).tolist()):
+            a, b = decoded_ends[k], decoded_ends[k + 1]
+            a += decoded[a:min(a + 1, b)] == b" "  # the space put in front of every text
+            out.append((n, hashlib.sha256(listed[min(listed_ends[k] + 1, listed_ends[k + 1]):listed_ends[k + 1]]).hexdigest(),
+                        hashlib.sha256(decoded[a:b]).hexdigest(), ids[ends[k]:ends[k + 1]].astype(np.intc)))
+        return out
 
     def roundtrip(self, text: str | None) -> tuple[int, str, str, np.ndarray]:
-        """Number of ids, digest of the ids in decimal joined by commas, digest of the text decoded from them, the ids."""
-        packed, listed, surface, _ = _joined(self.records(text))
-        ids = np.frombuffer(packed, np.intc)
-        decoded = surface[1:] if surface[:1] == b" " else surface  # the space put in front of every text
-        return len(ids), hashlib.sha256(listed[1:]).hexdigest(), hashlib.sha256(decoded).hexdigest(), ids
+        """What ``roundtrips`` gives for one text."""
+        return self.roundtrips([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join([self.surface[i] for i in ids])
@@ -363,8 +374,10 @@ def roundtrip_udf(path: str):
     def roundtrip(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = coder(path)
         for texts in parts:
-            with acyclic():
-                rows = [c.roundtrip(t)[:3] for t in texts]
+            rows = []
+            for group in _groups(texts):
+                with acyclic():
+                    rows += [row[:3] for row in c.roundtrips(group)]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return roundtrip
@@ -379,7 +392,7 @@ def encoded_udf(path: str):
         for texts in parts:
             for group in _groups(texts):
                 with acyclic():
-                    rows = list(map(c.roundtrip, group))
+                    rows = c.roundtrips(group)
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     return encoded

@@ -546,6 +546,20 @@ def test_digests_come_from_word_records():
     assert len(c.prefixes) <= 40
 
 
+def test_word_records_are_small():
+    """A worker keeps many words: a word costs its packed ids, not their decimal text and bytes as well."""
+    c, sp = sentencepieces.Coder(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [" ".join(f"{x}ening{y}, {x}{y}ation" for y in "abcdefghij") for x in ("th", "re", "on", "ciudad")] + ["", None, "a  b "]
+    for t, (n, ids_sha, text_sha, found) in zip(texts, c.roundtrips(texts), strict=True):
+        ids = sp.encode(t or "")
+        assert (n, found.tolist()) == (len(ids), ids)
+        assert ids_sha == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert text_sha == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+    assert c.roundtrips([]) == []
+    assert all(type(v) is bytes and len(v) == 2 * len(sp.encode(w)) for w, v in c.word_ids.items())
+    assert c.word_ids.size + c.prefixes.size <= 150_000
+
+
 # ---------------------------------------------------------------- 10 token ids
 
 def test_perfect_hash_is_minimal():
