@@ -210,6 +210,15 @@ def _smallest(rows: DataFrame, key: str, per: str, most: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select(per, key)
 
 
+def _written(rows: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Narrow or few rows as a table of few files, by default an eighth of the shuffle's partitions.
+
+    On folders of a plain file system Hadoop starts a process for every file it creates, out of the executor.
+    """
+    files = files or max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return materialize(rows.coalesce(files), name)
+
+
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """All windows of every text."""
     worker_belongs_to("langid")
@@ -231,12 +240,12 @@ def train(docs: DataFrame, may_learn, docs_per_lang: int = DOCS_PER_LANG) -> Mod
         .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0)).where(may_learn)
         .select("lang", "text", F.xxhash64("doc_id", "text").alias("k"))
     )
-    keys = materialize(rows.select("lang", "k").distinct(), "langid-keys")
-    chosen = materialize(_smallest(keys, "k", "lang", docs_per_lang), "langid-sample")  # a bounded number a language
+    keys = _written(rows.select("lang", "k").distinct(), "langid-keys")
+    chosen = _written(_smallest(keys, "k", "lang", docs_per_lang), "langid-sample", 1)  # a bounded number a language
     sample = rows.join(F.broadcast(chosen), ["lang", "k"]).dropDuplicates(["lang", "k"])
-    windows = materialize(
+    windows = _written(
         sample.select("lang", "k", "text").mapInPandas(_cut, "lang string, k long, i int, w binary")
-        .withColumn("h", F.xxhash64("k", "i")), "langid-windows")
+        .withColumn("h", F.xxhash64("k", "i")), "langid-windows", 8)
     used = windows.join(F.broadcast(_smallest(windows.select("lang", "h"), "h", "lang", WINDOWS_PER_LANG)), ["lang", "h"])
 
     def fit_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -302,7 +311,7 @@ def rejection_bound(docs: DataFrame, model: Model, held_out) -> float:
     known = docs.where(F.col("lang").isin(model.langs) & (F.length("text") > 0)).where(held_out).select(
         F.xxhash64("doc_id", "text").alias("k"), predict_udf(model)("text").alias("p"))
     scored = known.where(F.col("p.lang_pred") != UNDETERMINED).groupBy("k").agg(F.min("p.score").alias("score"))
-    scores = materialize(scored.select("score"), "langid-held-out")
+    scores = _written(scored.select("score"), "langid-held-out")
     place = 0.01 * (scores.count() - 1)
     if place < 0:
         return chance

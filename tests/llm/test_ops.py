@@ -432,6 +432,31 @@ def test_language_id_learns_and_handles_edges(spark, monkeypatch):
     assert docs.select(langid.predict_udf(none)("text").alias("p")).first()["p"]["lang_pred"] == "und"
 
 
+def test_langid_writes_few_files(spark, monkeypatch):
+    """Intermediate tables of narrow or few rows are not a file for every shuffle partition."""
+    files, write = {}, langid.materialize
+
+    def counted(rows, name):
+        table = write(rows, name)
+        files[name] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(langid, "materialize", counted)
+    monkeypatch.setattr(langid, "STEPS", 2)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        docs = spark.range(600).selectExpr(
+            "id doc_id", "concat('words and more of them ', id) text", "if(id % 2 = 0, 'en', 'de') lang")
+        langid.rejection_bound(docs, langid.train(docs, F.col("doc_id") < 400), F.col("doc_id") >= 400)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert files.keys() == {"langid-keys", "langid-sample", "langid-windows", "langid-held-out"}
+    assert max(files.values()) <= 8 and files["langid-sample"] == 1
+
+
 def test_pooling_covers_the_whole_text(monkeypatch):
     """Windows of a long text weigh by their positions, whatever the batch they are computed in."""
     p = langid._init(2, 4, np.random.default_rng(1))
