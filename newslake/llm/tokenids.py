@@ -46,7 +46,7 @@ BLOCK_IDS = 1 << 18
 GROUP_CHARS = 8_000_000  # texts encoded together: the more, the fewer words are met again and again
 BUCKET_KEYS = 256
 ROWS_PER_SHARD = 20_000
-_PIECE_CACHE = 500_000
+_PIECE_CACHE = 250_000
 _CUT = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
 _SPACES = re.compile(" (?:[\\s\u180e\u200b\ufeff]|\\Z)")  # a space that is no place to cut
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
@@ -141,26 +141,41 @@ class Encoder:
     def _encode_simple(self, texts: list[str]) -> list[bytes]:
         """Texts in which every space is followed by a non-space: cut at all spaces.
 
-        Words are cut, numbered and put together again by Arrow; Python sees each distinct word of a batch once.
+        Words are cut, numbered and put together again by Arrow; Python sees each distinct word of a batch once,
+        letters without the punctuation behind them.
         """
         cut = pc.split_pattern(pa.array(texts, pa.string()), " ")
         starts, words = cut.offsets.to_numpy(), cut.flatten()
         behind = np.ones(len(words), bool)
         behind[starts[:-1]] = False
         numbered = words.filter(pa.array(behind)).dictionary_encode()
-        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self._learn(distinct)
+        coded = self._words(numbered.dictionary)
         first = self._pieces(words.take(pa.array(starts[:-1])).to_numpy(zero_copy_only=False).tolist())
-        table = pa.array([*map(self.words.__getitem__, distinct), *first], pa.binary())
+        table = pa.concat_arrays([coded, pa.array(first, pa.binary())])
         place = np.empty(len(words), np.int64)
         place[behind] = numbered.indices.to_numpy()
-        place[starts[:-1]] = len(distinct) + np.arange(len(texts))
+        place[starts[:-1]] = len(coded) + np.arange(len(texts))
         ids = table.take(pa.array(place))
         _, ends, data = ids.buffers()
         ends = np.frombuffer(ends, np.int32, len(ids) + 1, ids.offset * 4)[starts].tolist()
         data = data.to_pybytes() if data else b""
         return [data[a:b] for a, b in zip(ends, ends[1:])]
 
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words behind a space; what a memo keeps is the letters, not each with every punctuation."""
+        ahead = pc.ascii_rtrim(words, characters=_PUNCTUATION)
+        ended = pc.and_(pc.match_substring_regex(ahead, f"^{_LETTERS.pattern}$"), pc.not_equal(ahead, words))
+        stems = pc.if_else(ended, ahead, words).dictionary_encode()
+        distinct = stems.dictionary.to_pylist()
+        self._learn(distinct)
+        known = pa.array(list(map(self.words.__getitem__, distinct)), pa.binary()).take(stems.indices)
+        with_tail = np.flatnonzero(ended.to_numpy(zero_copy_only=False))
+        both = zip(words.take(with_tail).to_pylist(), ahead.take(with_tail).to_pylist(), strict=True)
+        tails = pa.array([b"", *self._pieces([w[len(stem):] for w, stem in both])], pa.binary())
+        tail_of = np.zeros(len(words), np.int64)
+        tail_of[with_tail] = 1 + np.arange(len(with_tail))
+        return pc.binary_join_element_wise(known, tails.take(pa.array(tail_of)), pa.scalar(b"", pa.binary()))
+
     def _learn(self, distinct: list[str]) -> None:
         """Put the ids of words behind a space into ``words``."""
         if len(self.words) > _PIECE_CACHE:

@@ -587,6 +587,18 @@ def test_word_records_are_small():
 
 # ---------------------------------------------------------------- 10 token ids
 
+def test_memo_keeps_letters_once():
+    """Letters with different punctuation behind them are one entry of the memo; ids are the library's."""
+    path = P.path("byte_bpe_50k.json")
+    enc, lib = tokenids.Encoder(path), tokenizers.Tokenizer.from_file(path)
+    ends = ["", ".", ",", "...", "!?", ")", "###", "'s", "'", "1", "\nand", "é", "é.", "漢,"]
+    texts = ["one " + " ".join(w + e for w in ("house", "Ärger", "niño") for e in ends), "go.", "'tis, x. 漢. .", "", None]
+    found = enc.encode(texts)
+    for t, raw in zip(texts, found, strict=True):
+        assert np.frombuffer(raw, f"<u{enc.width}").tolist() == lib.encode(t or "", add_special_tokens=False).ids
+    assert "house" in enc.words and not {f"house{e}" for e in (".", ",", "...", "!?", ")", "###")} & enc.words.keys()
+
+
 def test_perfect_hash_is_minimal():
     for n in (1, 2, 3, 17, 256, 700):
         h = tokenids.key_hash(np.arange(n) * 3 - 5, np.zeros(n, np.int64))
