@@ -28,6 +28,8 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -42,6 +44,9 @@ MIN_VOTERS = 3  # different pages that must be aligned with a node
 CONSTANT_SHARE = 0.9  # of which so many hold the same text
 BROADCAST_BYTES = 64 << 20
 LAYOUT_ENTRIES = 64
+MATCHES = 200_000  # node pairs of known tree matches that a task keeps
+NAMES = 4096  # elements of different names that a worker keeps, each of at most so many characters of attributes:
+NAME_CHARS = 256
 EXACT_CELLS = 40_000  # tables of child lists up to this product are kept whole, of larger ones some rows: the match is the same
 
 # Element kinds of the HTML standard.
@@ -67,7 +72,9 @@ _SAME = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"
          "tr": {"tr", "td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "td": {"table", "tr"}, "th": {"table", "tr"},
           "tr": {"table"}}
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>\"']*)", re.S)
+# The last group is missing where a quote or the tag itself has no end.
+_MARKUP = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>"']*+)(?:((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)?+""", re.S)
 _STOP = re.compile("[>\"']")
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -75,43 +82,89 @@ _COMPOUND = re.compile("[-_]+")
 _RELATIONS = {"has", "no", "with", "without", "is", "not", "hide", "show"}
 
 
-class Tokens:
-    """Markup of a page from a place on, in one forward scan whatever its quotes: each call moves on.
+def markup(source: str) -> Iterator[tuple[int, int, str, str | None, str]]:
+    """(start, end, "/" if it closes, tag or None, attributes) of each markup, in one forward scan whatever its quotes.
 
-    A quote without an end is a character, so its tag closes at the next ``>``; a tag without ``>`` is text.
+    A quote without an end is a character, so its tag closes at the next ``>``; from a tag without ``>`` on all is
+    text. An element whose content is no markup ends after its end tag, or with the page.
     """
+    gone: set[str] = set()  # quotes that do not occur any more
+    at: int | None = 0
+    while at is not None:
+        start_at, at = at, None
+        for m in _MARKUP.finditer(source, start_at):
+            start, end = m.span()
+            closing, tag, raw = m.groups()
+            if tag is None:
+                yield start, end, "", None, ""
+                continue
+            tag = tag.lower()
+            if raw is None:
+                at = _tag_end(source, end, gone)
+                if at < 0:
+                    return
+                raw, end = source[end:at - 1], at
+            if not closing and tag in _RAW_END:
+                close = _RAW_END[tag].search(source, end)
+                at = end = close.end() if close else len(source)
+            yield start, end, closing, tag, raw
+            if at is not None:
+                break
 
-    def __init__(self, source: str):
-        self.source = source
-        self.gone: set[str] = set()  # quotes, or ">", that do not occur any more
-
-    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
-        """(start, end, whether it closes, tag or None, attributes) of the next markup, or None."""
-        if ">" in self.gone:
-            return None
-        m = _MARKUP.search(self.source, at)
-        if m is None:
-            return None
-        if m.group(2) is None:
-            return m.start(), m.end(), False, None, ""
-        end = self._end(m.end())
-        if end < 0:
-            self.gone.add(">")
-            return None
-        return m.start(), end, bool(m.group(1)), m.group(2).lower(), self.source[m.end():end - 1]
-
-    def _end(self, at: int) -> int:
-        while m := _STOP.search(self.source, at):
-            mark, at = m.group(), m.end()
-            if mark == ">":
-                return at
-            if mark not in self.gone:
-                other = self.source.find(mark, at)
-                if other < 0:
-                    self.gone.add(mark)
-                else:
-                    at = other + 1
-        return -1
+
+def _tag_end(source: str, at: int, gone: set[str]) -> int:
+    while m := _STOP.search(source, at):
+        mark, at = m.group(), m.end()
+        if mark == ">":
+            return at
+        if mark not in gone:
+            other = source.find(mark, at)
+            if other < 0:
+                gone.add(mark)
+            else:
+                at = other + 1
+    return -1
+
+
+class Element(NamedTuple):
+    """What the name and the attributes of an element say, whatever stands around it."""
+
+    label: str
+    container: bool  # marks the article
+    drop: bool
+    around: bool  # furniture that may stand around the story
+    around_outside: bool  # the same, unless inside a marked article
+    named: bool  # by its class or id
+    outer: bool  # the same, unless inside a marked article
+    comments: bool
+
+
+def _element(tag: str, raw: str) -> Element:
+    attrs: dict[str, str] = {}
+    if raw and not raw.isspace():
+        for m in _ATTR.finditer(raw):
+            attrs.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
+    names = (attrs.get("class", "") + " " + attrs.get("id", "")).lower()
+    role = attrs.get("role")
+    words: set[str] = set()
+    if names.strip() and tag not in ("html", "body", "main"):
+        # Whole names, numbers aside. An article element is furniture only as a reader comment.
+        words = {w.strip("-_") for w in re.sub(r"\d+", "", names).split()}
+        # Of a compound name the first or the last part counts, unless it says that the element has such a thing.
+        parts = [w for w in (_COMPOUND.split(w) for w in words) if len(w) > 1 and w[0] not in _RELATIONS and w[-2] not in _RELATIONS]
+        words |= {w[0] for w in parts} | {w[-1] for w in parts}
+    known = CLASS_WORDS if tag != "article" else {"comment", "comments"}
+    # Page-wide elements carry names of the page itself (title or category slugs).
+    own = re.sub(r"\d+", "", names.strip()) if tag not in ("html", "body", *CONTAINERS) else ""
+    return Element(
+        label=f"{tag}.{own}" if own else tag,
+        container=tag in CONTAINERS or role in ("main", "article") or attrs.get("itemprop") == "articleBody",
+        drop=tag in FURNITURE - AROUND or role in ROLES - AROUND or "hidden" in attrs,
+        around=(tag in AROUND and tag != "header") or role in ROLES & AROUND, around_outside=tag == "header",
+        named=bool(words & known), outer=bool(words & OUTER_WORDS), comments=bool(words & COMMENTS))
+
+
+_known_element = lru_cache(NAMES)(_element)
 
 
 class Page:
@@ -129,69 +182,43 @@ class Page:
         self.size, self.shape = [1] * n, [0] * n
         for i in range(n - 1, -1, -1):  # children follow their parents
             kids = self.children[i]
-            self.size[i] = 1 + sum(self.size[k] for k in kids)
-            self.shape[i] = hash((self.label[i], *[self.shape[k] for k in kids]))
+            if kids:
+                self.size[i] = 1 + sum([self.size[k] for k in kids])
+                self.shape[i] = hash((self.label[i], *[self.shape[k] for k in kids]))
+            else:
+                self.shape[i] = hash((self.label[i],))
 
     def _open(self, tag: str, raw: str, parent: int) -> int:
-        attrs = {}
-        if raw and not raw.isspace():
-            for m in _ATTR.finditer(raw):
-                attrs.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
-        names = (attrs.get("class", "") + " " + attrs.get("id", "")).lower()
-        inside = self.inside[parent] or tag in CONTAINERS or attrs.get("role") in ("main", "article") \
-            or attrs.get("itemprop") == "articleBody"
-        role = attrs.get("role")
-        drop = self.drop[parent] or (tag in FURNITURE - AROUND) or (role in ROLES - AROUND) or "hidden" in attrs
-        named = (tag in AROUND and (tag != "header" or not self.inside[parent])) or role in ROLES & AROUND
-        words: set[str] = set()
-        if not drop and names.strip() and tag not in ("html", "body", "main"):
-            # Whole names, numbers aside. An article element is furniture only as a reader comment.
-            words = {w.strip("-_") for w in re.sub(r"\d+", "", names).split()}
-            known = CLASS_WORDS if tag != "article" else {"comment", "comments"}
-            # Of a compound name the first or the last part counts, unless it says that the element has such a thing.
-            parts = [w for w in (_COMPOUND.split(w) for w in words) if len(w) > 1 and w[0] not in _RELATIONS and w[-2] not in _RELATIONS]
-            words |= {w[0] for w in parts} | {w[-1] for w in parts}
-            named = named or bool(words & known) or (not inside and bool(words & OUTER_WORDS))
-        # Page-wide elements carry names of the page itself (title or category slugs).
-        own = re.sub(r"\d+", "", names.strip()) if tag not in ("html", "body", *CONTAINERS) else ""
-        self.label.append(f"{tag}.{own}" if own else tag)
+        e = _known_element(tag, raw) if len(raw) <= NAME_CHARS else _element(tag, raw)
+        within, at = self.inside[parent], len(self.label)
+        inside, drop = within or e.container, self.drop[parent] or e.drop
+        named = e.around or (e.around_outside and not within) or (not drop and (e.named or (e.outer and not inside)))
+        self.label.append(e.label)
         self.parent.append(parent)
         self.children.append([])
-        self.children[parent].append(len(self.label) - 1)
+        self.children[parent].append(at)
         self.drop.append(drop)
-        self.named.append(0 if not named else 2 if words & COMMENTS else 1)
+        self.named.append(0 if not named else 2 if e.comments and not drop else 1)
         self.inside.append(inside)
-        return len(self.label) - 1
+        return at
 
     def _read(self, source: str) -> None:
-        stack, tags = [0], ["#"]
+        stack, tags, holder = [0], ["#"], [0]  # open elements, their tags, the elements that text in them belongs to
         text: list[str] = []
-        at, n = 0, len(source)
-
-        def block_of() -> int:
-            for i in range(len(stack) - 1, -1, -1):
-                if tags[i] in BLOCKS or tags[i] == "#" or tags[i] in FURNITURE:
-                    return stack[i]
-            return 0
+        at = 0
 
         def flush() -> None:
             if text:
                 t = " ".join(entities.unescape("".join(text)).split())
                 text.clear()
                 if t:
-                    self.blocks.append((block_of(), t))
+                    self.blocks.append((holder[-1], t))
 
         def close(depth: int) -> None:
             flush()
-            del stack[depth:], tags[depth:]
+            del stack[depth:], tags[depth:], holder[depth:]
 
-        tokens = Tokens(source)
-        while at < n:
-            token = tokens.next(at)
-            if token is None:
-                text.append(source[at:])
-                break
-            start, end, closing, tag, raw = token
+        for start, end, closing, tag, raw in markup(source):
             if start > at:
                 text.append(source[at:start])
             at = end
@@ -199,11 +226,13 @@ class Page:
                 continue
             if closing:
                 if tag in tags:
-                    depth = len(tags) - 1 - tags[::-1].index(tag)
+                    depth = len(tags) - 1
+                    if tags[-1] != tag:
+                        depth -= tags[::-1].index(tag)
                     if tag in BLOCKS or tag in FURNITURE:
                         close(depth)
                     elif not any(t in BLOCKS for t in tags[depth + 1:]):
-                        del stack[depth:], tags[depth:]
+                        del stack[depth:], tags[depth:], holder[depth:]
                 elif tag == "p":
                     flush()
                 continue
@@ -226,13 +255,14 @@ class Page:
                     flush()
                 continue
             if tag in _RAW_END:
-                end = _RAW_END[tag].search(source, at)
-                at = end.end() if end else n
                 continue
             if tag in FURNITURE:
                 flush()
             stack.append(self._open(tag, raw, stack[-1]))
             tags.append(tag)
+            holder.append(stack[-1] if tag in BLOCKS or tag in FURNITURE else holder[-1])
+        if at < len(source):
+            text.append(source[at:])
         flush()
 
 
@@ -244,22 +274,18 @@ def layout(source: str | None) -> str:
     """
     tags: list[str] = []
     out: list[str] = []
-    at, source = 0, source or ""
-    tokens = Tokens(source)
-    while len(out) < LAYOUT_ENTRIES and (token := tokens.next(at)):
-        _, at, closing, tag, _ = token
-        if tag in _RAW_END and not closing:
-            end = _RAW_END[tag].search(source, at)
-            at = end.end() if end else len(source)
-        elif tag not in STRUCTURE:
+    for _, _, closing, tag, _ in markup(source or ""):
+        if tag not in STRUCTURE:
             continue
-        elif closing:
+        if closing:
             if tag in tags:
                 del tags[len(tags) - 1 - tags[::-1].index(tag):]
         else:
             tags.append(tag)
             if len(tags) < 4 and out[-1:] != [f"{len(tags)}{tag}"]:
                 out.append(f"{len(tags)}{tag}")
+                if len(out) == LAYOUT_ENTRIES:
+                    break
     return ">".join(out)
 
 
@@ -402,7 +428,8 @@ def align(a: Page, b: Page) -> dict[int, int]:
         todo += zip(x[:lo], y[:lo])
         if hi:
             todo += zip(x[-hi:], y[-hi:])
-        todo += matched(x[lo:len(x) - hi], y[lo:len(y) - hi])
+        if lo + hi < min(len(x), len(y)):
+            todo += matched(x[lo:len(x) - hi], y[lo:len(y) - hi])
     return pairs
 
 
@@ -414,15 +441,15 @@ def _by_node(page: Page) -> dict[int, list[str]]:
     return out
 
 
-def vote(page: Page, ref: Page) -> list[tuple[int, int, int, int]]:
+def vote(page: Page, ref: Page, pairs: dict[int, int]) -> list[tuple[int, int, int, int]]:
     """(reference node, hash of the text, hash and size of its words without numbers) of the aligned text nodes."""
-    theirs, pairs = _by_node(ref), align(page, ref)
+    theirs = {n for n, _ in ref.blocks if not ref.drop[n]}
     out = []
     for node, texts in _by_node(page).items():
         q = pairs.get(node)
         if q in theirs:
             text = "\n".join(texts)
-            words = " ".join(w for w in text.split() if any(map(str.isalpha, w)))
+            words = " ".join([w for w in text.split() if w[0].isalpha() or any(map(str.isalpha, w))])
             out.append((q, _hash(text), _hash(words), len(words)))
     return out
 
@@ -431,13 +458,12 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def main_text(page: Page, ref: Page | None, template: set[int]) -> str:
-    """Texts that are neither furniture nor template, one block a line.
+def main_text(page: Page, pairs: dict[int, int], template: set[int]) -> str:
+    """Texts that are neither furniture nor aligned with the template, one block a line.
 
     Names decide only about elements without the main varying text: one that holds over half of what varies, and
     every marked article of it, is no furniture. A marked article bounds the content if it holds over half of it.
     """
-    pairs = align(page, ref) if template and ref is not None else {}
     kept = [(n, t) for n, t in page.blocks if not page.drop[n] and pairs.get(n) not in template]
     whole, marked = sum(len(t) for _, t in kept), sum(len(t) for n, t in kept if page.inside[n])
     held: dict[int, list[int]] = defaultdict(lambda: [0, 0])  # by named element: text, and that of marked articles
@@ -483,7 +509,25 @@ def _similar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Refs(dict):
-    """Parsed reference pages of a task, by their source."""
+    """Parsed reference pages of a task, by their source, and known matches of other trees with theirs."""
+
+    def __init__(self):
+        super().__init__()
+        self.matches: dict[tuple[int, ...], dict[int, int]] = {}
+        self.held = 0
+
+    def align(self, page: Page, ref: Page) -> dict[int, int]:
+        """``align``, which depends on the two trees alone: pages of one shape have one match."""
+        key = (page.shape[0], len(page.label), ref.shape[0], len(ref.label))
+        pairs = self.matches.get(key)
+        if pairs is None:
+            pairs = align(page, ref)
+            self.held += len(pairs)
+            if self.held > MATCHES:
+                self.matches.clear()
+                self.held = len(pairs)
+            self.matches[key] = pairs
+        return pairs
 
     def __missing__(self, source: str) -> Page:
         if len(self) >= 2000:
@@ -497,20 +541,20 @@ def _votes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     memo = _Refs()
     for f in frames:
         out = []
-        for host, ref, source, h, weight, known in zip(
-                f["host"], f["ref"], f["html"], f["h"], f["weight"], f["ref_html"], strict=True):
-            votes = [(-1, 0, 0, 0), *vote(Page(source), memo[known])]
-            out.append((host, ref, h, weight, *map(list, zip(*votes))))
-        yield pd.DataFrame(out, columns=["host", "ref", "h", "weight", "node", "text", "words", "size"])
+        for host, ref, source, h, known in zip(f["host"], f["ref"], f["html"], f["h"], f["ref_html"], strict=True):
+            page, other = Page(source), memo[known]
+            votes = [(-1, 0, 0, 0), *vote(page, other, memo.align(page, other))]
+            out.append((host, ref, h, *map(list, zip(*votes))))
+        yield pd.DataFrame(out, columns=["host", "ref", "h", "node", "text", "words", "size"])
 
 
-_VOTES = ("host string, ref string, h long, weight double, node array<int>, text array<long>, words array<long>, "
-          "size array<int>")
+_VOTES = "host string, ref string, h long, node array<int>, text array<long>, words array<long>, size array<int>"
 
 
-def _counted(votes: DataFrame) -> DataFrame:
+def _counted(votes: DataFrame, equal: DataFrame) -> DataFrame:
     """(host, ref, votes array<struct<node, matched, same>>): pages at a node, and those with its commonest text.
 
+    Pages that ``equal`` (h, count) counts as the same share one vote.
     The node with the most differing text holds the main varying text of a layout. Pages that have the same words
     there (numbers aside) are copies and share one vote, however much text they share elsewhere. Where no node
     differs, all pages are copies and there are no votes.
@@ -525,7 +569,8 @@ def _counted(votes: DataFrame) -> DataFrame:
     main = materialize(main.select(*of, F.col("main.node").alias("main")), "page-main-nodes")
     at_main = F.expr("element_at(words, cast(array_position(node, main) as int))")
     story = F.when(F.array_contains("node", F.col("main")), at_main).otherwise(F.col("h"))
-    pages = votes.join(main, of).withColumn("story", story)
+    pages = _joined(votes.join(main, of).withColumn("story", story).select(*of, "h", "story", "node", "text"), equal, ["h"])
+    pages = pages.withColumn("weight", 1.0 / F.coalesce("count", F.lit(1)))
     copies = materialize(
         pages.groupBy(*of, "story").agg(F.sum("weight").alias("held")).where("held > 1"), "page-copies")
     shared = pages.join(copies, [*of, "story"], "left").withColumn(
@@ -562,9 +607,10 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not source:
                 texts.append("")
             elif known is None:
-                texts.append(main_text(Page(source), None, set()))
+                texts.append(main_text(Page(source), {}, set()))
             else:
-                texts.append(main_text(Page(source), memo[known], set(template)))
+                page = Page(source)
+                texts.append(main_text(page, memo.align(page, memo[known]), set(template)))
         yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": texts})
 
 
@@ -605,11 +651,10 @@ def induce(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     refs = materialize(
         _joined(rows, chosen, ["host", "h"], "inner").groupBy("host", "ref").agg(F.min("html").alias("ref_html")),
         "page-refs")
-    copies = rows.groupBy("h").count().where("count > 1")
-    voters = rows.join(copies, "h", "left").withColumn("weight", 1.0 / F.coalesce("count", F.lit(1)))
+    equal = materialize(rows.groupBy("h").count().where("count > 1"), "page-equal")
     votes = _counted(materialize(
-        _joined(_with_ref(voters, others), refs, ["host", "ref"], "inner")
-        .select("host", "ref", "html", "h", "weight", "ref_html").mapInPandas(_votes, _VOTES), "page-votes"))
+        _joined(_with_ref(rows, others), refs, ["host", "ref"], "inner")
+        .select("host", "ref", "html", "h", "ref_html").mapInPandas(_votes, _VOTES), "page-votes"), equal)
     wrappers = materialize(
         refs.join(votes, ["host", "ref"]).select("host", "ref", "ref_html", "votes")
         .mapInPandas(_templates, "host string, ref string, ref_html string, template array<int>")

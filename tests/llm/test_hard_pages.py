@@ -3,6 +3,7 @@
 import random
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -58,6 +59,53 @@ def test_deep_pages_as_a_job(spark):
     assert len(got) == 6 and all(len(t.split()) == 9 for t in got.values())
 
 
+def test_pages_of_one_shape_are_aligned_once(monkeypatch):
+    """And elements of one name are read once; what is kept of both has a bound."""
+    rng = random.Random(5)
+    calls, align = [], wrapper.align
+    monkeypatch.setattr(wrapper, "align", lambda a, b: calls.append(a) or align(a, b))
+    shapes = ["<div class='x-{k}'><p>{t}</p></div>", "<div class='x-{k}'><p>{t}</p><p>{t}</p><i>{t}</i></div>"]
+    pages = [page(shapes[i % 2].format(t=words(rng, 5), k=i)) for i in range(60)]
+    f = pd.DataFrame({"host": "a", "ref": "r", "html": pages, "h": range(60), "ref_html": pages[0], "template": [[]] * 60,
+                      "page_id": range(60), "url": "u"})
+    (votes,) = wrapper._votes(iter([f]))
+    assert len(calls) == 2
+    ref = wrapper.Page(pages[0])
+    for source, got in zip(pages, votes[["node", "text", "words", "size"]].itertuples(index=False)):
+        own = wrapper.Page(source)
+        assert list(zip(*got))[1:] == wrapper.vote(own, ref, align(own, ref))
+    calls.clear()
+    monkeypatch.setattr(wrapper, "MATCHES", 1)
+    (texts,) = wrapper._extract(iter([f]))
+    assert len(calls) == 60 and all(texts["text"].str.len() > 0)
+    wrapper._known_element.cache_clear()
+    for i in range(50):
+        wrapper.Page(f"<p class=one><a href='{'x' * 300}{i}'>")
+    assert wrapper._known_element.cache_info().currsize == 1
+
+
+def test_whole_pages_are_not_shuffled_for_the_votes(spark, monkeypatch):
+    rng, plans, write = random.Random(6), {}, wrapper.materialize
+
+    def written(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(wrapper, "materialize", written)
+    same = page(f"<div>Site name</div><p>{words(rng, 9)}</p>")
+    texts = [words(rng, 9) for _ in range(6)]
+    rows = [(i, "http://a.example/", page(f"<div>Site name</div><p>{t}</p>")) for i, t in enumerate(texts)]
+    rows += [(10 + i, "http://a.example/", same) for i in range(90)]  # one vote: not enough to make its text template
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = main_texts(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "MapInPandas" in plans["page-votes"] and "Exchange hashpartitioning" not in plans["page-votes"]
+    assert [got[i] for i in range(6)] == texts and got[10] in same and "Site" not in got[10]
+
+
 def test_compound_names_of_small_elements(spark):
     rng = random.Random(4)
     rows, want = [], {}
